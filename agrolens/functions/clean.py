@@ -14,7 +14,7 @@ __all__ = [
     "strip_text", "to_number", "to_ts", "normalise_serial", "strip_names", "drop_unnamed",
     "drop_all_null_rows", "drop_missing", "clean_records", "category_text", "shorten_label",
     "safe_key", "year_or_default", "valid_transactions", "with_revenue", "fill_constants",
-    "rename_source_columns", "zero_if_null",
+    "rename_source_columns", "zero_if_null", "with_row_index", "ensure_record_id",
 ]
 
 # Fixed value: the characters Python's str.strip() removes (str.isspace), U+3000 included.
@@ -88,11 +88,15 @@ def drop_missing(df: DataFrame, cols) -> DataFrame:
     return df.na.drop(how="any", subset=list(cols))
 
 
-def clean_records(raw: DataFrame) -> DataFrame:
-    """S3 -> F2: one typed projection over an all-text record table."""
+def clean_records(raw: DataFrame, keep=()) -> DataFrame:
+    """S3 -> F2: one typed projection over an all-text record table.
+
+    ``keep`` names extra columns passed through unchanged."""
     from agrolens.schema import NUMERIC_COLUMNS, RECORD_COLUMNS
     df = drop_unnamed(rename_source_columns(strip_names(raw)))
     df = drop_all_null_rows(df)
+    if "record_id" not in df.columns:
+        df = with_row_index(df, "record_id")
     for c in RECORD_COLUMNS:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
@@ -112,7 +116,7 @@ def clean_records(raw: DataFrame) -> DataFrame:
         else:
             e = col
         exprs.append(e.alias(c))
-    return df.select(*exprs)
+    return df.select(*[F.col(k) for k in keep], *exprs)
 
 
 def category_text(c, missing: str = "NA") -> Column:
@@ -151,3 +155,29 @@ def valid_transactions(df: DataFrame, price="unit_price", qty="quantity",
 def with_revenue(df: DataFrame, price="unit_price", qty="quantity", out="revenue") -> DataFrame:
     """C11: revenue = price * quantity."""
     return df.withColumn(out, F.col(price) * F.col(qty))
+
+
+def with_row_index(df: DataFrame, out: str = "record_id", start: int = 1) -> DataFrame:
+    """Consecutive row numbers in input order without a global window.
+
+    Per-partition row counts (one small row per partition) give each
+    partition's offset; rows keep their position inside the partition. Same
+    result as zipWithIndex, all in the DataFrame API. The input order is the
+    file order of the scan, so the ids are stable across task retries.
+    """
+    d = (df.withColumn("_pid", F.spark_partition_id())
+           .withColumn("_mid", F.monotonically_increasing_id()))
+    counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    from pyspark.sql import Window
+    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    return (d.join(F.broadcast(offsets.select("_pid", "_off", "_m0")), "_pid")
+             .withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_m0") + start).cast("bigint"))
+             .drop("_pid", "_mid", "_off", "_m0"))
+
+
+def ensure_record_id(df: DataFrame, col: str = "record_id") -> DataFrame:
+    """Keep the source sequence number (coerced, NULL -> 0) or number the rows."""
+    if col in df.columns:
+        return df.withColumn(col, F.coalesce(to_number(F.col(col)).cast("bigint"), F.lit(0).cast("bigint")))
+    return with_row_index(df, col)

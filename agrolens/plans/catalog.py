@@ -346,3 +346,242 @@ def model_price_outlier_count(spark, sf_dir):
     from agrolens.functions.clean import valid_transactions
     o = D.zscore_by_group(valid_transactions(records(spark, sf_dir)), "model", "unit_price", 3.0)
     return A.flag_count(o.withColumn("_f", F.lit(True)), "_f")
+
+
+# ---------------------------------------------------------------- S1-S9, C1-C13 round trips
+def _text_records(spark, sf_dir):
+    """The record view as the register delivers it: source headers (padded), every value
+    text, padded buyer / serial, slash dates, numbers as Spark prints doubles, a filler column."""
+    from agrolens.schema import SOURCE_TO_COLUMN
+    inv = {v: k for k, v in SOURCE_TO_COLUMN.items()}
+    r = records(spark, sf_dir)
+
+    def pad(c):
+        return F.concat(F.lit(" \t"), F.col(c).cast("string"), F.lit("　"))
+
+    cols = [F.col("record_key")]
+    for c in ["county", "township", "item_category", "manufacturer", "product_name", "model",
+              "dealer", "status"]:
+        cols.append(F.col(c).alias(inv[c]))
+    for c in ["buyer", "serial_no", "quantity", "unit_price", "unit_subsidy", "total_subsidy"]:
+        cols.append(pad(c).alias(f" {inv[c]} "))
+    cols.append(F.date_format("purchase_date", "yyyy/MM/dd HH:mm:ss").alias(inv["purchase_date"]))
+    cols.append(F.lit(None).cast("string").alias("Unnamed: 17"))
+    return r.select(*cols)
+
+
+_CLEAN_COLS = ["record_key", "county", "township", "buyer", "item_category", "manufacturer",
+               "product_name", "model", "quantity", "dealer", "unit_price", "unit_subsidy",
+               "total_subsidy", "serial_no", "status"]
+
+
+@register("clean_roundtrip", f"""
+SELECT {", ".join(_CLEAN_COLS)}, strftime(purchase_date, '%Y-%m-%d %H:%M:%S') AS purchase_date FROM records""")
+def clean_roundtrip(spark, sf_dir):
+    from agrolens.functions.clean import clean_records
+    c = clean_records(_text_records(spark, sf_dir), keep=["record_key"])
+    return c.select(*_CLEAN_COLS, F.date_format("purchase_date", "yyyy-MM-dd HH:mm:ss").alias("purchase_date"))
+
+
+@register("valid_revenue_rows", """
+SELECT record_key, p AS unit_price, q AS quantity, round_even(p * q, 2) AS revenue
+FROM (SELECT record_key, coalesce(unit_price, 0) AS p, coalesce(quantity, 0) AS q FROM records) t
+WHERE p > 100 AND q >= 1""")
+def valid_revenue_rows(spark, sf_dir):
+    from agrolens.functions.clean import valid_transactions, with_revenue
+    v = with_revenue(valid_transactions(records(spark, sf_dir)))
+    return v.select("record_key", "unit_price", "quantity", F.bround("revenue", 2).alias("revenue"))
+
+
+@register("feature_labels", """
+SELECT record_key, CASE WHEN length(product_name || ' / ' || dealer) > 25
+                        THEN substring(product_name || ' / ' || dealer, 1, 25) || '...'
+                        ELSE product_name || ' / ' || dealer END AS label,
+       translate(coalesce(CAST(township AS VARCHAR), 'NA') || '/' || item_category, '/ ', '__') AS file_key,
+       coalesce(CAST(year(purchase_date) AS INTEGER), 2024) AS purchase_year
+FROM records""")
+def feature_labels(spark, sf_dir):
+    from agrolens.functions.clean import category_text, safe_key, shorten_label, year_or_default
+    r = records(spark, sf_dir)
+    return r.select("record_key",
+                    shorten_label(F.concat_ws(" / ", "product_name", "dealer")).alias("label"),
+                    safe_key(F.concat_ws("/", category_text("township"), F.col("item_category"))).alias("file_key"),
+                    year_or_default("purchase_date").alias("purchase_year"))
+
+
+def _nation_pages(spark, sf_dir):
+    """One HTML page per region listing its nations in a table (plus a second table that
+    must be ignored), built by Spark from the nation table."""
+    from agrolens.records import table
+    n = table(spark, sf_dir, "nation")
+    row = F.concat(F.lit("<tr><td> "), F.col("n_nationkey").cast("string"), F.lit(" </td><td>"),
+                   F.col("n_name"), F.lit("</td><td>\n"), F.col("n_regionkey").cast("string"),
+                   F.lit("</td></tr><tr></tr>"))
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", row.alias("r")))),
+                                    lambda s: s["r"]), "")
+    return (n.groupBy("n_regionkey")
+             .agg(F.concat(F.lit("<html><body><p>Register &amp; list</p><table class='t'>"
+                                 "<tr><th> n_nationkey</th><th>n_name </th><th>n_regionkey</th></tr>"),
+                           rows, F.lit("</table><table><tr><th>x</th></tr><tr><td>ignored</td></tr>"
+                                       "</table></body></html>")).alias("html"))
+             .select(F.col("n_regionkey").cast("long").alias("page_id"), "html"))
+
+
+@register("html_table_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def html_table_roundtrip(spark, sf_dir):
+    from agrolens.sources.html_tables import extract_tables, to_columns
+    t = to_columns(extract_tables(_nation_pages(spark, sf_dir)), ["n_nationkey", "n_name", "n_regionkey"])
+    return t.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name",
+                    F.col("n_regionkey").cast("int").alias("n_regionkey"))
+
+
+@register("pages_first_tables")
+def pages_first_tables(spark, sf_dir):
+    from agrolens.records import table
+    from agrolens.sources.html_tables import extract_tables
+    return extract_tables(table(spark, sf_dir, "pages"))
+
+
+@register("page_batches", """
+WITH p AS (SELECT page_id + 1 AS page_no FROM pages),
+l AS (SELECT max(page_no) AS last_page FROM p),
+b AS (SELECT CAST(floor((page_no - 1) / 100) * 100 + 1 AS BIGINT) AS batch_start, last_page FROM p, l)
+SELECT batch_start, least(batch_start + 99, last_page) AS batch_end,
+       CAST(batch_start AS VARCHAR) || '_to_' || CAST(least(batch_start + 99, last_page) AS VARCHAR) AS batch,
+       count(*) AS page_count
+FROM b GROUP BY batch_start, last_page""")
+def page_batches(spark, sf_dir):
+    from agrolens.records import table
+    from agrolens.sources.sinks import page_batches as pb
+    p = table(spark, sf_dir, "pages").select((F.col("page_id") + 1).alias("page_no"))
+    return (pb(p, "page_no", 100, 1).groupBy("batch_start", "batch_end", "batch")
+            .agg(F.count(F.lit(1)).alias("page_count")))
+
+
+@register("merged_batches", """
+SELECT record_key, status, CASE WHEN status = 'F' THEN NULL ELSE dealer END AS dealer FROM records""")
+def merged_batches(spark, sf_dir):
+    from agrolens.operators.joins import union_batches
+    r = records(spark, sf_dir).select("record_key", "status", "dealer")
+    a = r.where(F.col("status") == "F").select("record_key", "status")          # batch without dealer
+    b = r.where((F.col("status") != "F") | F.col("status").isNull())
+    return union_batches([a, b]).select("record_key", "status", "dealer")
+
+
+@register("summary_document")
+def summary_document(spark, sf_dir):
+    from agrolens.sources.sinks import summary_document as sd
+    return sd(records(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- M2, M6-M8, D6, M13 baseline
+_BUCKET_SQL = "(('0x' || substr(md5(record_key), 1, 8))::UBIGINT % 100)"
+
+
+@register("train_test_split", f"""
+SELECT CASE WHEN {_BUCKET_SQL} >= 80 THEN 'test' ELSE 'train' END AS part, count(*) AS record_count
+FROM records GROUP BY 1""")
+def train_test_split(spark, sf_dir):
+    from agrolens.operators.features import split_train_test
+    s = split_train_test(records(spark, sf_dir))
+    return (s.groupBy(F.when(F.col("is_test"), "test").otherwise("train").alias("part"))
+             .agg(F.count(F.lit(1)).alias("record_count")))
+
+
+@register("ordered_target_stat", """
+SELECT record_key, manufacturer,
+       round_even((coalesce(sum(unit_price) OVER w, 0) + (SELECT avg(unit_price) FROM records))
+                  / (coalesce(count(unit_price) OVER w, 0) + 1), 4) AS manufacturer_enc
+FROM records
+WINDOW w AS (PARTITION BY manufacturer ORDER BY md5(record_key) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def ordered_target_stat(spark, sf_dir):
+    from agrolens.operators.features import ordered_target_encoding
+    e = ordered_target_encoding(records(spark, sf_dir), "manufacturer", "unit_price")
+    return e.select("record_key", "manufacturer", F.bround("manufacturer_enc", 4).alias("manufacturer_enc"))
+
+
+_GM_SQL = f"""
+WITH s AS (SELECT model, avg(unit_price) AS pred FROM records WHERE {_BUCKET_SQL} < 80 AND model IS NOT NULL
+           GROUP BY model),
+sc AS (SELECT r.*, r.unit_price AS actual_price, s.pred AS predicted_price, {_BUCKET_SQL} >= 80 AS is_test
+       FROM records r JOIN s ON r.model = s.model),
+m AS (SELECT avg(abs(actual_price - predicted_price)) AS mae,
+             stddev_pop(abs(actual_price - predicted_price)) AS mae_std,
+             avg((actual_price - predicted_price) ^ 2) AS mse, var_pop(actual_price) AS vy, count(*) AS n
+      FROM sc WHERE is_test)"""
+
+
+def _group_mean_scored(spark, sf_dir):
+    from agrolens.operators.features import split_train_test
+    r = split_train_test(records(spark, sf_dir))
+    pred = (r.where(~F.col("is_test") & F.col("model").isNotNull()).groupBy("model")
+             .agg(F.avg("unit_price").alias("predicted_price")))
+    return r.join(pred, "model", "inner").withColumn("actual_price", F.col("unit_price"))
+
+
+@register("group_mean_metrics", _GM_SQL + """
+SELECT n, round_even(mse, 4) AS mse, round_even(sqrt(mse), 4) AS rmse, round_even(1 - mse / vy, 6) AS r2,
+       round_even(mae, 4) AS mae, round_even(mae_std, 4) AS mae_std FROM m""")
+def group_mean_metrics(spark, sf_dir):
+    from agrolens.operators.features import regression_metrics
+    m = regression_metrics(_group_mean_scored(spark, sf_dir).where(F.col("is_test")))
+    return m.select("n", F.bround("mse", 4).alias("mse"), F.bround("rmse", 4).alias("rmse"),
+                    F.bround("r2", 6).alias("r2"), F.bround("mae", 4).alias("mae"),
+                    F.bround("mae_std", 4).alias("mae_std"))
+
+
+_RESID_SQL = _GM_SQL + """,
+a AS (SELECT sc.*, abs(actual_price - predicted_price) AS prediction_error,
+             actual_price - predicted_price AS price_difference
+      FROM sc CROSS JOIN m WHERE abs(actual_price - predicted_price) > m.mae + 2 * m.mae_std)"""
+
+
+@register("residual_anomalies_top10", _RESID_SQL + """
+SELECT record_key, county, item_category, manufacturer, dealer, round_even(actual_price, 2) AS actual_price,
+       round_even(predicted_price, 2) AS predicted_price, round_even(price_difference, 2) AS price_difference
+FROM a ORDER BY prediction_error DESC, record_key LIMIT 10""")
+def residual_anomalies_top10(spark, sf_dir):
+    from agrolens.operators.features import regression_metrics
+    sc = _group_mean_scored(spark, sf_dir)
+    m = regression_metrics(sc.where(F.col("is_test")))
+    a = D.top_rows(D.residual_anomaly(sc, m), "prediction_error", 10)
+    return a.select("record_key", "county", "item_category", "manufacturer", "dealer",
+                    F.bround("actual_price", 2).alias("actual_price"),
+                    F.bround("predicted_price", 2).alias("predicted_price"),
+                    F.bround("price_difference", 2).alias("price_difference"))
+
+
+@register("residual_anomaly_count", _RESID_SQL + "\nSELECT count(*) AS flag_count FROM a")
+def residual_anomaly_count(spark, sf_dir):
+    from agrolens.operators.features import regression_metrics
+    sc = _group_mean_scored(spark, sf_dir)
+    m = regression_metrics(sc.where(F.col("is_test")))
+    return A.flag_count(D.residual_anomaly(sc, m).withColumn("_f", F.lit(True)), "_f")
+
+
+@register("linear_forecast", """
+WITH d AS (SELECT township, CAST(purchase_date AS DATE) AS ds, CAST(quantity AS DOUBLE) AS y,
+                  CAST(date_diff('day', DATE '1970-01-01', CAST(purchase_date AS DATE)) AS DOUBLE) AS x
+           FROM records WHERE township IS NOT NULL AND purchase_date IS NOT NULL AND quantity IS NOT NULL),
+f AS (SELECT township, count(*) AS n, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept,
+             regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, avg(y) AS ybar, max(ds) AS last_ds
+      FROM d GROUP BY township HAVING count(*) >= 10),
+f2 AS (SELECT *, sqrt(greatest(syy - sxy * sxy / nullif(sxx, 0), 0) / nullif(n - 2, 0)) AS sigma FROM f),
+days AS (SELECT DISTINCT d.township, d.ds FROM d JOIN f ON d.township = f.township
+         UNION ALL
+         SELECT township, CAST(last_ds + INTERVAL (i) DAY AS DATE) FROM f, range(1, 31) r(i)),
+p AS (SELECT days.township, days.ds,
+             coalesce(intercept + slope * date_diff('day', DATE '1970-01-01', days.ds), ybar) AS yhat,
+             1.2815515655446004 * coalesce(sigma, 0) AS band
+      FROM days JOIN f2 ON days.township = f2.township)
+SELECT township, ds, round_even(yhat, 4) AS yhat, round_even(yhat - band, 4) AS yhat_lower,
+       round_even(yhat + band, 4) AS yhat_upper FROM p""")
+def linear_forecast(spark, sf_dir):
+    from agrolens.operators.forecast import linear_forecast as lf
+    return lf(records(spark, sf_dir), "township", "purchase_date", "quantity", 30, 10)
+
+
+@register("seasonal_forecast")
+def seasonal_forecast(spark, sf_dir):
+    from agrolens.operators.forecast import seasonal_forecast as sf
+    return sf(records(spark, sf_dir), "township", "purchase_date", "quantity", 30, 10)
