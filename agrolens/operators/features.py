@@ -36,10 +36,7 @@ def ordered_target_encoding(df: DataFrame, cat: str, target: str, order_key: str
     out = out or f"{cat}_enc"
     d = df.withColumn("_h", F.md5(F.col(order_key).cast("string"))) \
           .withColumn("_s", F.substring("_h", 1, split_hex))
-    if prior is None:
-        pr = d.agg(F.avg(target).alias("_prior"))
-    else:
-        pr = d.sparkSession.range(1).select(F.lit(float(prior)).alias("_prior"))
+    pr = _prior_df(d, target, prior)
     sl = d.groupBy(cat, "_s").agg(F.sum(target).alias("_ss"), F.count(target).alias("_sn"))
     wp = Window.partitionBy(cat).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     sl = (sl.withColumn("_ps", F.coalesce(F.sum("_ss").over(wp), F.lit(0.0)))
@@ -52,11 +49,37 @@ def ordered_target_encoding(df: DataFrame, cat: str, target: str, order_key: str
     return j.withColumn(out, enc).drop("_h", "_s", "_ps", "_pn", "_ws", "_wn", "_prior")
 
 
+def _prior_df(df: DataFrame, target: str, prior) -> DataFrame:
+    """One-row DataFrame with column _prior: the target mean, a given number, or a given one-row DF."""
+    if prior is None:
+        return df.agg(F.avg(target).alias("_prior"))
+    if isinstance(prior, DataFrame):
+        return prior.select(F.col(prior.columns[0]).alias("_prior"))
+    return df.sparkSession.range(1).select(F.lit(float(prior)).alias("_prior"))
+
+
+def ordered_target_encode_all(df: DataFrame, cats, target: str, order_key: str = "record_key",
+                              prior=None) -> DataFrame:
+    """M6 for several categorical columns: one shared prior, one encoding step per column.
+
+    Each step is persisted and materialised before the next one is planned, and
+    the previous step released, so no step re-derives the chain before it.
+    """
+    pr = _prior_df(df, target, prior).persist()
+    cur, prev = df, None
+    for c in cats:
+        nxt = ordered_target_encoding(cur, c, target, order_key, prior=pr).persist()
+        nxt.count()
+        if prev is not None:
+            prev.unpersist()
+        prev = cur = nxt
+    return cur
+
+
 def category_means(df: DataFrame, cat: str, target: str, out: str | None = None, prior=None) -> DataFrame:
     """M6 at scoring time: full-data (sum + prior) / (count + 1) per category."""
     out = out or f"{cat}_enc"
-    pr = df.agg(F.avg(target).alias("_prior")) if prior is None else \
-        df.sparkSession.range(1).select(F.lit(float(prior)).alias("_prior"))
+    pr = _prior_df(df, target, prior)
     return (df.groupBy(cat).agg(F.sum(target).alias("_s"), F.count(target).alias("_n"))
               .crossJoin(F.broadcast(pr))
               .select(cat, ((F.col("_s") + F.col("_prior")) / (F.col("_n") + 1)).alias(out)))

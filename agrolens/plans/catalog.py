@@ -585,3 +585,141 @@ def linear_forecast(spark, sf_dir):
 def seasonal_forecast(spark, sf_dir):
     from agrolens.operators.forecast import seasonal_forecast as sf
     return sf(records(spark, sf_dir), "township", "purchase_date", "quantity", 30, 10)
+
+
+# ---------------------------------------------------------------- M1, M3-M5, M9-M12, S10, D5 (rows-only)
+# Smoke-sized model settings for registered queries; the operators' defaults are the register's
+# sizes (100 trees depth 10, 1000 / 300 / 500 boosting rounds).
+RF_SMOKE = dict(num_trees=20, max_depth=8)
+_MODEL_CACHE: dict = {}
+
+
+def _rf_model(spark, sf_dir, with_year=False):
+    from agrolens.operators import models as M
+    k = ("rf", sf_dir, with_year)
+    if k not in _MODEL_CACHE:
+        num = M.TIME_NUMERIC if with_year else M.BASE_NUMERIC
+        _MODEL_CACHE[k] = M.fit_price_model(records(spark, sf_dir), M.random_forest(**RF_SMOKE),
+                                            M.BASE_CATEGORICAL, num, with_year=with_year)
+    return _MODEL_CACHE[k]
+
+
+@register("rf_test_predictions")
+def rf_test_predictions(spark, sf_dir):
+    from agrolens.operators import models as M
+    model, d = _rf_model(spark, sf_dir)
+    s = M.score(model, d.where(F.col("is_test")))
+    return s.select("record_key", *M.BASE_CATEGORICAL, *M.BASE_NUMERIC, "predicted_price", "actual_price")
+
+
+@register("rf_test_metrics")
+def rf_test_metrics(spark, sf_dir):
+    from agrolens.operators import models as M
+    from agrolens.operators.features import regression_metrics
+    model, d = _rf_model(spark, sf_dir)
+    return regression_metrics(M.score(model, d.where(F.col("is_test"))))
+
+
+@register("rf_feature_importance")
+def rf_feature_importance(spark, sf_dir):
+    from agrolens.operators import models as M
+    model, d = _rf_model(spark, sf_dir)
+    return M.feature_importance(model, d, 15)
+
+
+@register("rf_residual_anomalies_top10")
+def rf_residual_anomalies_top10(spark, sf_dir):
+    from agrolens.operators import models as M
+    from agrolens.operators.features import regression_metrics
+    model, d = _rf_model(spark, sf_dir)
+    allsc = M.score(model, d)
+    m = regression_metrics(allsc.where(F.col("is_test")))
+    a = D.top_rows(D.residual_anomaly(allsc, m), "prediction_error", 10)
+    return a.select("record_key", "county", "item_category", "manufacturer", "dealer",
+                    "actual_price", "predicted_price", "price_difference")
+
+
+@register("rf_next_year_specs")
+def rf_next_year_specs(spark, sf_dir):
+    """Price the test part's configurations as purchases of a future year (2026)."""
+    from agrolens.operators import models as M
+    model, d = _rf_model(spark, sf_dir, with_year=True)
+    specs = d.where(F.col("is_test")).withColumn("purchase_year", F.lit(2026))
+    return M.score(model, specs).select("record_key", *M.BASE_CATEGORICAL, "purchase_year", "predicted_price")
+
+
+@register("rf_saved_model_scores")
+def rf_saved_model_scores(spark, sf_dir):
+    """Save the fitted pipeline to the shared checkpoint folder, load it back, score."""
+    import hashlib
+
+    from agrolens.operators import models as M
+    from agrolens.session import scratch_path
+    model, d = _rf_model(spark, sf_dir)
+    path = scratch_path(spark, "rf_model_" + hashlib.md5(sf_dir.encode()).hexdigest()[:8])
+    M.save_model(model, path)
+    loaded = M.load_or_train(path, lambda: model)
+    return M.score(loaded, d.where(F.col("is_test"))).select("record_key", "predicted_price")
+
+
+@register("gbt_early_stopping_metrics")
+def gbt_early_stopping_metrics(spark, sf_dir):
+    """M4: boosting with early stopping (smoke: 30 rounds, patience 5)."""
+    from agrolens.operators import models as M
+    from agrolens.operators.features import regression_metrics
+    model, d, best = M.fit_boosted_early_stopping(records(spark, sf_dir), max_iter=30, patience=5, max_depth=4)
+    m = regression_metrics(M.score(model, d.where(F.col("is_test"))))
+    return m.withColumn("best_iteration", F.lit(best))
+
+
+@register("gbt_regularised_metrics")
+def gbt_regularised_metrics(spark, sf_dir):
+    """M5: row / column sampled boosting (smoke: 20 rounds)."""
+    from agrolens.operators import models as M
+    from agrolens.operators.features import regression_metrics
+    model, d = M.fit_price_model(records(spark, sf_dir), M.boosted_trees(max_iter=20, max_depth=5),
+                                 M.BASE_CATEGORICAL, M.TIME_NUMERIC, with_year=True)
+    return regression_metrics(M.score(model, d.where(F.col("is_test"))))
+
+
+@register("gbt_target_encoded_metrics")
+def gbt_target_encoded_metrics(spark, sf_dir):
+    """M6: categorical columns as ordered target statistics (train part), full-data means
+    of the train part at scoring, then boosting on the encoded numbers (smoke: 10 rounds)."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    from agrolens.operators import models as M
+    from agrolens.operators.features import (category_means, ordered_target_encode_all,
+                                             regression_metrics, split_train_test)
+    d = split_train_test(M.prepare(records(spark, sf_dir), M.BASE_CATEGORICAL, M.TIME_NUMERIC,
+                                   with_year=True)).persist()
+    train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
+    enc_cols = [f"{c}_enc" for c in M.BASE_CATEGORICAL]
+    prior = train.agg(F.avg(M.TARGET).alias("prior"))
+    train = ordered_target_encode_all(train, M.BASE_CATEGORICAL, M.TARGET, prior=prior)
+    means = {c: category_means(d.where(~F.col("is_test")), c, M.TARGET, prior=prior) for c in M.BASE_CATEGORICAL}
+    for c in M.BASE_CATEGORICAL:
+        test = test.join(means[c], c, "left")
+    asm = VectorAssembler(inputCols=enc_cols + M.TIME_NUMERIC, outputCol="features", handleInvalid="keep")
+    gbt = GBTRegressor(featuresCol="features", labelCol=M.TARGET, predictionCol="predicted_price",
+                       maxIter=10, stepSize=0.2, maxDepth=5, seed=42)
+    model = gbt.fit(asm.transform(train))
+    scored = model.transform(asm.transform(test)).withColumn("actual_price", F.col(M.TARGET))
+    return regression_metrics(scored)
+
+
+_IF_FEATURES = ["unit_price", "unit_subsidy", "total_subsidy", "quantity"]
+
+
+@register("iforest_scores")
+def iforest_scores(spark, sf_dir):
+    from agrolens.operators.isolation_forest import isolation_forest
+    r = records(spark, sf_dir).select("record_key", *_IF_FEATURES)
+    return isolation_forest(r, _IF_FEATURES, n_trees=200, contamination=0.02)
+
+
+@register("iforest_alert")
+def iforest_alert(spark, sf_dir):
+    """D7 as in the register: alert when more than 10 rows are isolation-forest anomalies."""
+    return D.alert_if(iforest_scores(spark, sf_dir), "iforest_anomaly", 10)

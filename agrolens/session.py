@@ -21,13 +21,17 @@ _BASE_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "agrolens", extra: dict | None = None) -> SparkSession:
+              app_name: str = "agrolens", extra: dict | None = None,
+              driver_memory: str | None = None) -> SparkSession:
     """Build (or reuse) a session. On a cluster pass master=None and let the
-    launcher decide; locally ``local[N]`` with shuffle partitions ~ N."""
+    launcher decide; locally ``local[N]`` with shuffle partitions ~ N and a
+    driver heap big enough for the single local JVM (it hosts the executors)."""
     b = SparkSession.builder.appName(app_name)
+    conf = dict(_BASE_CONF)
     if master:
         b = b.master(master)
-    conf = dict(_BASE_CONF)
+        if master.startswith("local"):
+            conf["spark.driver.memory"] = driver_memory or os.environ.get("AGROLENS_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
