@@ -42,11 +42,16 @@ def exact_quantiles(df: DataFrame, col: str, probs, accuracy: int = 200_000,
     def hi(i):
         return F.element_at("_q", 2 * i + 2)
 
-    # rows strictly below each slice (exact counts, partial aggregation)
+    # per slice: exact count of rows below it, its size, and the nearest value on each side
+    # (a wanted rank can sit just outside the bracket when n * eps < 1, i.e. on small inputs)
     below = joined.groupBy(*g).agg(
         F.first("_n").alias("_n"),
         *[F.sum(F.when(F.col("_x") < lo(i), 1).otherwise(0)).cast("bigint").alias(f"_b{i}")
-          for i in range(k)])
+          for i in range(k)],
+        *[F.sum(F.when((F.col("_x") >= lo(i)) & (F.col("_x") <= hi(i)), 1).otherwise(0)).cast("bigint")
+          .alias(f"_c{i}") for i in range(k)],
+        *[F.max(F.when(F.col("_x") < lo(i), F.col("_x"))).alias(f"_nb{i}") for i in range(k)],
+        *[F.min(F.when(F.col("_x") > hi(i), F.col("_x"))).alias(f"_na{i}") for i in range(k)])
     # distinct values inside each slice with their multiplicity
     slice_ids = F.filter(F.array(*[F.lit(i) for i in range(k)]),
                          lambda i: (F.col("_x") >= F.element_at("_q", i * 2 + 1))
@@ -54,18 +59,27 @@ def exact_quantiles(df: DataFrame, col: str, probs, accuracy: int = 200_000,
     sl = (joined.select(*g, "_x", F.explode(slice_ids).alias("_i"))
                 .groupBy(*g, "_i", "_x").agg(F.count(F.lit(1)).alias("_c")))
     sl = sl.join(below, g, "inner") if g else sl.crossJoin(below)
-    base = F.element_at(F.array(*[F.col(f"_b{i}") for i in range(k)]), F.col("_i") + 1)
+
+    def pick(prefix):
+        return F.element_at(F.array(*[F.col(f"{prefix}{i}") for i in range(k)]), F.col("_i") + 1)
+
     w = Window.partitionBy(*g, "_i").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    sl = sl.withColumn("_first", base + F.sum("_c").over(w) - F.col("_c"))
+    sl = (sl.withColumn("_base", pick("_b")).withColumn("_size", pick("_c"))
+            .withColumn("_prev", pick("_nb")).withColumn("_next", pick("_na")))
+    sl = sl.withColumn("_first", F.col("_base") + F.sum("_c").over(w) - F.col("_c"))
     sl = sl.withColumn("_last", F.col("_first") + F.col("_c") - 1)
     p_arr = F.array(*[F.lit(p) for p in probs])
     pos = F.element_at(p_arr, F.col("_i") + 1) * (F.col("_n") - 1)
-    r0, r1 = F.floor(pos), F.ceil(pos)
     sl = sl.withColumn("_pos", pos)
-    per = sl.groupBy(*g, "_i").agg(
-        F.max(F.when((F.col("_first") <= r0) & (r0 <= F.col("_last")), F.col("_x"))).alias("_v0"),
-        F.max(F.when((F.col("_first") <= r1) & (r1 <= F.col("_last")), F.col("_x"))).alias("_v1"),
-        F.first("_pos").alias("_pos"))
+
+    def at(r):
+        inside = F.max(F.when((F.col("_first") <= r) & (r <= F.col("_last")), F.col("_x")))
+        before = F.max(F.when(r == F.col("_base") - 1, F.col("_prev")))
+        after = F.max(F.when(r == F.col("_base") + F.col("_size"), F.col("_next")))
+        return F.coalesce(inside, before, after)
+
+    r0, r1 = F.floor("_pos"), F.ceil("_pos")
+    per = sl.groupBy(*g, "_i").agg(at(r0).alias("_v0"), at(r1).alias("_v1"), F.first("_pos").alias("_pos"))
     per = per.withColumn("_v", F.col("_v0") + (F.col("_pos") - F.floor("_pos")) * (F.col("_v1") - F.col("_v0")))
     out = per.groupBy(*g).agg(*[F.max(F.when(F.col("_i") == i, F.col("_v"))).alias(f"q{i}") for i in range(k)])
     return out
