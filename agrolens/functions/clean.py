@@ -43,10 +43,22 @@ def to_number(c) -> Column:
     return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
 
 
-def to_ts(c, formats=DATE_FORMATS) -> Column:
-    """Text -> timestamp; the first layout that parses wins, otherwise NULL."""
+def to_ts(c, formats=None) -> Column:
+    """Text -> timestamp, bad -> NULL.
+
+    Default: '-', '/' and 'T' layouts are unified and the layout is picked by the
+    number of ':' (one parse attempt per row, no exception-driven fallbacks);
+    'yyyyMMdd' digits also parse. ``formats`` = explicit list, first match wins.
+    """
     s = strip_text(_c(c).cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+    if formats is not None:
+        return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+    u = F.regexp_replace(F.translate(s, "/", "-"), "^([0-9]+-[0-9]+-[0-9]+)T", "$1 ")
+    colons = F.length(u) - F.length(F.regexp_replace(u, ":", ""))
+    return (F.when(s.rlike("^[0-9]{8}$"), F.try_to_timestamp(s, F.lit("yyyyMMdd")))
+             .when(colons == 0, F.try_to_timestamp(u, F.lit("y-M-d")))
+             .when(colons == 1, F.try_to_timestamp(u, F.lit("y-M-d H:m")))
+             .when(colons == 2, F.try_to_timestamp(u, F.lit("y-M-d H:m:s"))))
 
 
 def normalise_serial(c) -> Column:

@@ -136,7 +136,8 @@ def isolation_forest(df: DataFrame, features, key: str = "record_key", n_trees:
     def scorer(batches):
         yield from _score_batches(batches, bnodes.value, fcols, eff_sample)
 
-    scored = d.mapInPandas(scorer, schema)
+    # scores are read by the threshold passes and the output: compute them once
+    scored = d.mapInPandas(scorer, schema).persist()
     thr = exact_quantiles(scored, "iforest_score", [1.0 - contamination]).select(F.col("q0").alias("_thr"))
     out = (scored.crossJoin(F.broadcast(thr))
                  .withColumn("iforest_anomaly", F.coalesce(F.col("iforest_score") > F.col("_thr"), F.lit(False)))

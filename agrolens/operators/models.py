@@ -42,10 +42,16 @@ def prepare(df: DataFrame, cat_cols, num_cols, target: str = TARGET, with_year:
     return d
 
 
-def encoder_stages(cat_cols, num_cols):
-    """M1: alphabetical indexing + sparse one-hot, unseen levels kept as an all-zero slot."""
+def encoder_stages(cat_cols, num_cols, encoding: str = "onehot"):
+    """M1: alphabetical indexing, then either sparse one-hot (unseen level -> all-zero slot)
+    or, with ``encoding='indexed'``, the index itself as a categorical feature (nominal
+    metadata): trees then split on category subsets — far fewer columns than one-hot."""
     idx = [StringIndexer(inputCols=list(cat_cols), outputCols=[f"{c}__idx" for c in cat_cols],
                          stringOrderType="alphabetAsc", handleInvalid="keep")]
+    if encoding == "indexed":
+        asm = VectorAssembler(inputCols=[f"{c}__idx" for c in cat_cols] + list(num_cols),
+                              outputCol="features", handleInvalid="keep")
+        return idx + [asm]
     ohe = OneHotEncoder(inputCols=[f"{c}__idx" for c in cat_cols],
                         outputCols=[f"{c}__ohe" for c in cat_cols], dropLast=True, handleInvalid="keep")
     asm = VectorAssembler(inputCols=[f"{c}__ohe" for c in cat_cols] + list(num_cols),
@@ -70,14 +76,21 @@ def boosted_trees(max_iter: int = 300, step: float = 0.05, max_depth: int = 7, s
 
 
 def fit_price_model(df: DataFrame, estimator, cat_cols=BASE_CATEGORICAL, num_cols=BASE_NUMERIC,
-                    with_year: bool = False, key: str = "record_key"):
+                    with_year: bool = False, key: str = "record_key", encoding: str = "onehot"):
     """M1+M2+model: prepare, split 80/20 by content hash, fit on the train part.
 
     The prepared table is persisted (every encoder / tree pass reads it; lost
     blocks are recomputed from lineage). Returns (PipelineModel, prepared
     DataFrame with ``is_test``)."""
     d = split_train_test(prepare(df, cat_cols, num_cols, with_year=with_year), key).persist()
-    model = Pipeline(stages=encoder_stages(cat_cols, num_cols) + [estimator]).fit(d.where(~F.col("is_test")))
+    train = d.where(~F.col("is_test"))
+    if encoding == "indexed":
+        enc = Pipeline(stages=encoder_stages(cat_cols, num_cols, encoding)).fit(train)
+        arity = max(len(labels) for labels in enc.stages[0].labelsArray) + 1  # + unseen slot
+        est = estimator.copy().setMaxBins(max(estimator.getMaxBins(), arity))
+        fitted = est.fit(enc.transform(train))
+        return PipelineModel(stages=list(enc.stages) + [fitted]), d
+    model = Pipeline(stages=encoder_stages(cat_cols, num_cols) + [estimator]).fit(train)
     return model, d
 
 
@@ -134,11 +147,11 @@ def feature_importance(model: PipelineModel, prepared: DataFrame, top: int = 15,
             names[a["idx"]] = a.get("name", f"f{a['idx']}")
 
     def label(n: str) -> str:
-        # '<col>__ohe_<value>' -> '<col> (<value>)'
+        # '<col>__ohe_<value>' -> '<col> (<value>)'; indexed columns keep the column name
         if "__ohe_" in n:
             col, val = n.split("__ohe_", 1)
             return f"{col} ({val})"
-        return n
+        return n[:-5] if n.endswith("__idx") else n
 
     imp = est.featureImportances.toArray().tolist()
     rows = [(label(names.get(i, f"f{i}")), float(v)) for i, v in enumerate(imp) if (v > 0 or not positive_only)]

@@ -589,7 +589,9 @@ def seasonal_forecast(spark, sf_dir):
 
 # ---------------------------------------------------------------- M1, M3-M5, M9-M12, S10, D5 (rows-only)
 # Smoke-sized model settings for registered queries; the operators' defaults are the register's
-# sizes (100 trees depth 10, 1000 / 300 / 500 boosting rounds).
+# sizes (100 trees depth 10, 1000 / 300 / 500 boosting rounds). Forests and the regularised
+# boosting use native categorical splits (encoding='indexed'); the early-stopping boosting
+# uses the sparse one-hot encoding (M1).
 RF_SMOKE = dict(num_trees=20, max_depth=8)
 _MODEL_CACHE: dict = {}
 
@@ -600,7 +602,7 @@ def _rf_model(spark, sf_dir, with_year=False):
     if k not in _MODEL_CACHE:
         num = M.TIME_NUMERIC if with_year else M.BASE_NUMERIC
         _MODEL_CACHE[k] = M.fit_price_model(records(spark, sf_dir), M.random_forest(**RF_SMOKE),
-                                            M.BASE_CATEGORICAL, num, with_year=with_year)
+                                            M.BASE_CATEGORICAL, num, with_year=with_year, encoding="indexed")
     return _MODEL_CACHE[k]
 
 
@@ -678,7 +680,7 @@ def gbt_regularised_metrics(spark, sf_dir):
     from agrolens.operators import models as M
     from agrolens.operators.features import regression_metrics
     model, d = M.fit_price_model(records(spark, sf_dir), M.boosted_trees(max_iter=20, max_depth=5),
-                                 M.BASE_CATEGORICAL, M.TIME_NUMERIC, with_year=True)
+                                 M.BASE_CATEGORICAL, M.TIME_NUMERIC, with_year=True, encoding="indexed")
     return regression_metrics(M.score(model, d.where(F.col("is_test"))))
 
 
