@@ -725,3 +725,47 @@ def iforest_scores(spark, sf_dir):
 def iforest_alert(spark, sf_dir):
     """D7 as in the register: alert when more than 10 rows are isolation-forest anomalies."""
     return D.alert_if(iforest_scores(spark, sf_dir), "iforest_anomaly", 10)
+
+
+# ---------------------------------------------------------------- more A16 / A20 / streaming
+@register("township_top20", """
+SELECT township, count(*) AS record_count FROM records WHERE township IS NOT NULL
+GROUP BY township ORDER BY record_count DESC, township LIMIT 20""")
+def township_top20(spark, sf_dir):
+    return A.top_by_count(records(spark, sf_dir), "township", 20)
+
+
+@register("top_performers_top_category", f"""
+SELECT item_category, rank, manufacturer, model, round_even(average_price, 2) AS average_price,
+       round_even(sales_count, 2) AS sales_count, round_even(max_central_subsidy, 2) AS max_central_subsidy
+FROM (SELECT *, row_number() OVER (PARTITION BY item_category ORDER BY average_price DESC, manufacturer, model) AS rank
+      FROM (SELECT item_category, manufacturer, model, avg(unit_price) AS average_price,
+                   sum(quantity) AS sales_count, max(unit_subsidy) AS max_central_subsidy
+            FROM records WHERE item_category = (SELECT item_category FROM ({_TOP6_SQL}) t LIMIT 1)
+              AND manufacturer IS NOT NULL AND model IS NOT NULL
+            GROUP BY item_category, manufacturer, model) g) t
+WHERE rank <= 5""")
+def top_performers_top_category(spark, sf_dir):
+    """A20 as the register calls it: one category (here the most frequent one), top 5."""
+    r = records(spark, sf_dir)
+    top1 = A.top_categories(r, n=1).select("item_category")
+    return A.top_performers(r.join(F.broadcast(top1), "item_category", "left_semi"), n=5)
+
+
+@register("streamed_html_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def streamed_html_roundtrip(spark, sf_dir):
+    """Streaming ingestion: page batches built from `nation` land as files, an available-now
+    stream extracts their tables into an append-only table, which is read back."""
+    import uuid
+
+    from agrolens.session import scratch_path
+    from agrolens.sources.html_tables import to_columns
+    from agrolens.streaming.page_ingest import start_ingest
+    base = scratch_path(spark, "stream-" + uuid.uuid4().hex[:8])
+    pages = _nation_pages(spark, sf_dir).withColumn("url", F.lit(None).cast("string"))
+    pages.select("page_id", "url", "html").repartition(2, "page_id").write.parquet(f"{base}/pages")
+    q = start_ingest(spark, f"{base}/pages", f"{base}/rows", f"{base}/_checkpoint", max_files_per_trigger=1)
+    q.awaitTermination()
+    t = to_columns(spark.read.parquet(f"{base}/rows"), ["n_nationkey", "n_name", "n_regionkey"])
+    return t.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name",
+                    F.col("n_regionkey").cast("int").alias("n_regionkey"))

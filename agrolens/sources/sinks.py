@@ -67,3 +67,8 @@ def summary_document(df: DataFrame, region="township", item="item_category", pri
 def write_summary_json(df: DataFrame, path: str, **kw) -> None:
     """S9 sink: the summary document as JSON."""
     summary_document(df, **kw).coalesce(1).write.mode("overwrite").json(path)
+
+
+def restore_order(df: DataFrame, col: str = "record_id") -> DataFrame:
+    """Results in source order — a sort at the sink only (range-partitioned, distributed)."""
+    return df.orderBy(col)
