@@ -18,8 +18,9 @@ __all__ = [
 ]
 
 # Fixed value: the characters Python's str.strip() removes (str.isspace), U+3000 included.
-_SPACE_CLASS = "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
-_STRIP_RE = f"^{_SPACE_CLASS}+|{_SPACE_CLASS}+$"
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+                 "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+                 "\u2028\u2029\u202f\u205f\u3000")
 # A plain decimal number, optional exponent ("1d", "1,0", "abc" do not match).
 _NUMBER_RE = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 # Accepted date layouts, most specific first.
@@ -32,8 +33,9 @@ def _c(c) -> Column:
 
 
 def strip_text(c) -> Column:
-    """Trim like Python's str.strip(): spaces, tabs, newlines and U+3000."""
-    return F.regexp_replace(_c(c), _STRIP_RE, "")
+    """Trim like Python's str.strip(): spaces, tabs, newlines and U+3000 (character-set trim,
+    no regex)."""
+    return F.trim(_c(c), F.lit(PY_WHITESPACE))
 
 
 def to_number(c) -> Column:

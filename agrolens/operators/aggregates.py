@@ -116,10 +116,12 @@ def manufacturer_table(df: DataFrame, key="manufacturer", value="unit_subsidy",
 
 
 def remap_count(df: DataFrame, lookup: DataFrame, key="county", value="quantity") -> DataFrame:
-    """Non-null ``value`` count per remapped key (after C14)."""
+    """Non-null ``value`` count per remapped key (after C14), plus the largest count
+    (the map's scale bound)."""
     from agrolens.operators.joins import remap
     r = remap(df, lookup, key, out="city")
-    return (_nonnull(r, "city").groupBy("city").agg(F.count(value).alias("record_count")))
+    counts = _nonnull(r, "city").groupBy("city").agg(F.count(value).alias("record_count"))
+    return with_max(counts, "record_count", "max_count")
 
 
 def market_position(df: DataFrame, cat="item_category", maker="manufacturer",

@@ -153,7 +153,8 @@ FROM records r LEFT JOIN city_lookup lk ON r.county = lk.from_name"""
 
 
 @register("city_record_count", f"""
-SELECT city, count(quantity) AS record_count FROM ({_REMAP_SQL}) t WHERE city IS NOT NULL GROUP BY city""")
+SELECT city, record_count, max(record_count) OVER () AS max_count FROM (
+  SELECT city, count(quantity) AS record_count FROM ({_REMAP_SQL}) t WHERE city IS NOT NULL GROUP BY city) c""")
 def city_record_count(spark, sf_dir):
     return A.remap_count(records(spark, sf_dir), city_lookup(spark, sf_dir), "county", "quantity")
 
