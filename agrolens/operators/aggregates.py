@@ -138,7 +138,7 @@ def market_position(df: DataFrame, cat="item_category", maker="manufacturer",
                      F.bround("total_revenue", 2).alias("total_revenue")))
 
 
-def describe(df: DataFrame, col="unit_price", accuracy: int = 200_000) -> DataFrame:
+def describe(df: DataFrame, col="unit_price", accuracy: int | None = None) -> DataFrame:
     """Count, mean, sample std, min, 25/50/75 % (linear), max — exact, distributed."""
     s = df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"),
                F.min(col).alias("min"), F.max(col).alias("max"))

@@ -1,15 +1,15 @@
 """Multivariate outliers with an isolation forest (D5), built and scored on Spark.
 
-1. Sampling: tree t takes the ``sample_size`` rows with the smallest hash
-   u_t(row) = xxhash64(key, seed, t). Rows are first pre-filtered to
-   u_t < ~4 * sample_size / n (an array filter per row, JVM-side), so only
-   ~1000 candidates per tree are ranked (window over a bounded group).
+1. Sampling: every row gets one uniform from a content hash; tree t takes the
+   ``sample_size`` rows nearest after its own offset t/T on the unit circle,
+   searched in a window holding ~4 * sample_size rows, so only ~1000
+   candidates per tree are ranked (window over a bounded group).
 2. Growing: ``groupBy('tree').applyInPandas`` grows one tree per group from
    its <= sample_size rows (random feature, uniform split, depth limit
    ceil(log2(sample_size))); the node tables (trees x <= 511 rows) are the
    only thing collected, and they are broadcast back.
 3. Scoring: ``mapInPandas`` walks all trees for an Arrow batch at once
-   (vectorised numpy); score = 2 ** (-mean path length / c(sample_size)).
+   (one (rows x trees) numpy state); score = 2 ** (-mean path length / c(sample_size)).
 4. Threshold: the exact (1 - contamination) quantile of the scores over all
    rows (distributed exact quantile); anomaly = score strictly above it.
 """
@@ -68,31 +68,39 @@ def _grow(tree_id: int, X: np.ndarray, seed: int, max_depth: int) -> list:
     return nodes
 
 
-def _score_batches(batches, nodes: pd.DataFrame, features, sample_size: int):
-    trees = []
+def _flatten(nodes: pd.DataFrame):
+    """All trees in one node table with global child indices; returns arrays + root ids."""
+    parts, roots, off = [], [], 0
     for _, t in nodes.groupby("tree"):
         t = t.sort_values("node")
-        leaf_len = np.where(t["leaf"], t["depth"] + np.array([_c(s) for s in t["size"]]), 0.0)
-        trees.append((t["feature"].to_numpy(), t["threshold"].to_numpy(), t["left"].to_numpy(),
-                      t["right"].to_numpy(), t["leaf"].to_numpy(), leaf_len))
+        parts.append((t["feature"].to_numpy(), t["threshold"].to_numpy(),
+                      np.where(t["leaf"], -1, t["left"].to_numpy() + off),
+                      np.where(t["leaf"], -1, t["right"].to_numpy() + off),
+                      t["leaf"].to_numpy(dtype=bool),
+                      np.where(t["leaf"], t["depth"] + np.array([_c(v) for v in t["size"]]), 0.0)))
+        roots.append(off)
+        off += len(t)
+    cat = [np.concatenate([p[i] for p in parts]) for i in range(6)]
+    return cat, np.array(roots)
+
+
+def _score_batches(batches, nodes: pd.DataFrame, features, sample_size: int):
+    (feat, thr, left, right, leaf, leaf_len), roots = _flatten(nodes)
+    feat = np.where(feat < 0, 0, feat)
     cn = _c(sample_size)
     for pdf in batches:
         X = pdf[features].to_numpy(dtype=float)
-        total = np.zeros(len(X))
-        rows = np.arange(len(X))
-        for feat, thr, left, right, leaf, leaf_len in trees:
-            cur = np.zeros(len(X), dtype=np.int64)
-            for _ in range(64):
-                active = ~leaf[cur]
-                if not active.any():
-                    break
-                f = feat[cur]
-                go_left = X[rows, np.where(active, f, 0)] < thr[cur]
-                nxt = np.where(go_left, left[cur], right[cur])
-                cur = np.where(active, nxt, cur)
-            total += leaf_len[cur]
+        rows = np.arange(len(X))[:, None]
+        cur = np.broadcast_to(roots, (len(X), len(roots))).copy()   # (rows, trees)
+        for _ in range(64):
+            active = ~leaf[cur]
+            if not active.any():
+                break
+            go_left = X[rows, feat[cur]] < thr[cur]
+            cur = np.where(active, np.where(go_left, left[cur], right[cur]), cur)
+        mean_path = leaf_len[cur].mean(axis=1) if len(roots) else np.zeros(len(X))
         pdf = pdf.copy()
-        pdf["iforest_score"] = np.power(2.0, -(total / len(trees)) / cn) if cn > 0 else 0.5
+        pdf["iforest_score"] = np.power(2.0, -mean_path / cn) if cn > 0 else 0.5
         yield pdf
 
 
@@ -107,16 +115,19 @@ def isolation_forest(df: DataFrame, features, key: str = "record_key", n_trees:
     n = d.agg(F.count(F.lit(1)).alias("_n"))
     tau = F.least(F.lit(1.0), F.lit(oversample * sample_size) / F.col("_n"))
 
-    def u(t):
-        h = F.xxhash64(F.col(key), F.lit(seed), t)
-        return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(2 ** 53))
-
-    cand = (d.select(key, *fcols).crossJoin(F.broadcast(n))
-              .select(key, *fcols, F.explode(F.filter(
-                  F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                              lambda t: F.struct(t.alias("tree"), u(t).alias("u"))),
-                  lambda s: s["u"] < tau)).alias("_s"))
-              .select(key, *fcols, F.col("_s.tree").alias("tree"), F.col("_s.u").alias("u")))
+    # One uniform u per row (content hash). Tree t's candidates are the rows whose u falls
+    # in the window [t/T, t/T + tau) on the unit circle, ranked by the distance from the
+    # window start: a uniformly random sample without replacement for every tree, with no
+    # per-row lambda (sequence + explode are code-generated). For tau <= 1/T the windows are
+    # disjoint; every row lies in at most ceil(tau * T) windows.
+    nt = n_trees
+    u = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 11).cast("double") / F.lit(float(2 ** 53))
+    lo = (F.floor(F.col("_u") * nt - tau * nt) + 1).cast("long")
+    hi = F.floor(F.col("_u") * nt).cast("long")
+    cand = (d.select(key, *fcols).crossJoin(F.broadcast(n)).withColumn("_u", u)
+              .select(key, *fcols, "_u", F.explode(F.sequence(lo, hi)).alias("_k"))
+              .select(key, *fcols, F.pmod(F.col("_k"), F.lit(nt)).cast("int").alias("tree"),
+                      (F.col("_u") - F.col("_k") / F.lit(float(nt))).alias("u")))
     w = Window.partitionBy("tree").orderBy("u", key)
     sample = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample_size)
     max_depth = int(math.ceil(math.log2(max(sample_size, 2))))

@@ -19,10 +19,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_quantiles(df: DataFrame, col: str, probs, accuracy: int = 200_000,
+def choose_accuracy(n_rows: int, max_slice_rows: int = 2_000_000) -> int:
+    """Smallest sketch accuracy whose rank slices (~6 n / accuracy rows) stay below
+    ``max_slice_rows``; at least 10k, at most 1M (sketch memory)."""
+    return int(min(1_000_000, max(10_000, 6 * n_rows / max_slice_rows)))
+
+
+def exact_quantiles(df: DataFrame, col: str, probs, accuracy: int | None = None,
                     group_cols=()) -> DataFrame:
-    """Return one row per group with columns q0..q{k-1} (linear interpolation)."""
+    """Return one row per group with columns q0..q{k-1} (linear interpolation).
+
+    ``accuracy=None`` picks it from the row count (one scalar count job) so that the
+    slice ranked per quantile stays bounded: cheap sketches on small data, bounded
+    slices on very large data.
+    """
     probs = [float(p) for p in probs]
+    if accuracy is None:
+        accuracy = choose_accuracy(df.count())
     k = len(probs)
     eps = 3.0 / accuracy
     g = list(group_cols)
