@@ -100,7 +100,14 @@ def seasonal_forecast(df: DataFrame, group: str = "township", date: str = "purch
     per_day = per_day.join(sizes.select(group), group, "left_semi")
 
     def fit(key, pdf):
-        return _fit_group(key, pdf, periods, ridge)
+        try:
+            return _fit_group(key, pdf, periods, ridge)
+        except (np.linalg.LinAlgError, ValueError):
+            # the register skips groups whose fit fails
+            return pd.DataFrame({"group": pd.Series([], dtype="object"), "ds": pd.Series([], dtype="object"),
+                                 "yhat": pd.Series([], dtype="float64"),
+                                 "yhat_lower": pd.Series([], dtype="float64"),
+                                 "yhat_upper": pd.Series([], dtype="float64")})
 
     out = (per_day.select(group, "x", "y_mean", F.col("w").cast("double").alias("w"), "ss_within")
                   .groupBy(group)

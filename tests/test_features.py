@@ -77,3 +77,13 @@ def test_seasonal_forecast_shape(spark):
     assert all(r.yhat_lower <= r.yhat <= r.yhat_upper for r in out)
     end = max(line, key=lambda r: r.ds)
     assert end.yhat == pytest.approx(2.0 * 89 + 1, rel=0.05)
+
+
+def test_seasonal_forecast_skips_failing_group(spark):
+    # ten purchases on one single day: trend column is constant -> singular fit -> group skipped
+    rows = [("oneday", dt.datetime(2023, 1, 1), float(i)) for i in range(10)]
+    rows += [("ok", dt.datetime(2023, 1, 1) + dt.timedelta(days=i), float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "township string, purchase_date timestamp, quantity double")
+    out = seasonal_forecast(df).collect()
+    assert {r.township for r in out} <= {"ok", "oneday"}
+    assert any(r.township == "ok" for r in out)
