@@ -23,7 +23,7 @@ def split_train_test(df: DataFrame, key: str = "record_key", test_pct: int = 20,
 
 
 def ordered_target_encoding(df: DataFrame, cat: str, target: str, order_key: str = "record_key",
-                            out: str | None = None, prior=None, split_hex: int = 3) -> DataFrame:
+                            out: str | None = None, prior=None, split_hex: int = 4) -> DataFrame:
     """M6: ordered target statistic (sum of earlier targets + prior) / (earlier count + 1),
     rows of a category ordered by md5(order_key).
 
