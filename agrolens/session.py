@@ -43,17 +43,27 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_LOCAL_CKPT: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment (a shared file system);
     only when it is unset (local tests) do we create one of our own.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    global _LOCAL_CKPT
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="agrolens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        if _LOCAL_CKPT is None:
+            _LOCAL_CKPT = tempfile.mkdtemp(prefix="agrolens-ckpt-")
+        d = _LOCAL_CKPT
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - core conf may be read-only at runtime
+            pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
