@@ -599,7 +599,7 @@ _MODEL_CACHE: dict = {}
 
 def _rf_model(spark, sf_dir, with_year=False):
     from agrolens.operators import models as M
-    k = ("rf", sf_dir, with_year)
+    k = ("rf", spark.sparkContext.applicationId, sf_dir, with_year)  # fitted objects live in one JVM
     if k not in _MODEL_CACHE:
         num = M.TIME_NUMERIC if with_year else M.BASE_NUMERIC
         _MODEL_CACHE[k] = M.fit_price_model(records(spark, sf_dir), M.random_forest(**RF_SMOKE),
