@@ -41,26 +41,28 @@ def strip_text(c) -> Column:
 def to_number(c) -> Column:
     """Text -> double; anything that is not a plain number (incl. 'nan', '1d', '') -> NULL."""
     s = strip_text(_c(c).cast("string"))
-    v = F.when(s.rlike(_NUMBER_RE), s.try_cast("double"))
-    return F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+    # the pattern admits no 'nan' / 'inf' text, so the guarded cast never yields NaN;
+    # the value expression appears once (a NaN check around it would evaluate it twice)
+    return F.when(s.rlike(_NUMBER_RE), s.try_cast("double"))
 
 
 def to_ts(c, formats=None) -> Column:
     """Text -> timestamp, bad -> NULL.
 
-    Default: '-', '/' and 'T' layouts are unified and the layout is picked by the
-    number of ':' (one parse attempt per row, no exception-driven fallbacks);
-    'yyyyMMdd' digits also parse. ``formats`` = explicit list, first match wins.
+    Default: '/' and 'T' are unified to '-' and ' ' by a character translation and the
+    layout is picked by the number of ':' (one parse attempt per row, no regex, no
+    exception-driven fallbacks); 8 digits without separators parse as 'yyyyMMdd'.
+    ``formats`` = explicit list, first match wins.
     """
     s = strip_text(_c(c).cast("string"))
     if formats is not None:
         return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
-    u = F.regexp_replace(F.translate(s, "/", "-"), "^([0-9]+-[0-9]+-[0-9]+)T", "$1 ")
-    colons = F.length(u) - F.length(F.regexp_replace(u, ":", ""))
-    return (F.when(s.rlike("^[0-9]{8}$"), F.try_to_timestamp(s, F.lit("yyyyMMdd")))
-             .when(colons == 0, F.try_to_timestamp(u, F.lit("y-M-d")))
+    u = F.translate(s, "/T", "- ")
+    colons = F.length(u) - F.length(F.translate(u, ":", ""))
+    return (F.when(colons == 2, F.try_to_timestamp(u, F.lit("y-M-d H:m:s")))
              .when(colons == 1, F.try_to_timestamp(u, F.lit("y-M-d H:m")))
-             .when(colons == 2, F.try_to_timestamp(u, F.lit("y-M-d H:m:s"))))
+             .when(u.contains("-"), F.try_to_timestamp(u, F.lit("y-M-d")))
+             .when(F.length(u) == 8, F.try_to_timestamp(u, F.lit("yyyyMMdd"))))
 
 
 def normalise_serial(c) -> Column:

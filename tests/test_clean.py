@@ -31,6 +31,15 @@ def test_to_ts_layouts(spark):
     assert out[5] == dt.datetime(2023, 5, 3, 1, 2, 3)
 
 
+def test_to_ts_compact_and_iso_layouts(spark):
+    out = _one(spark, C.to_ts, ["20230504", "2023-05-01T10:20:30", " 2023-05-01 10:20 ", "2023-13-01",
+                                "12345678", "T", "2023-05-01 10:20:30.5"])
+    assert out[0] == dt.datetime(2023, 5, 4)
+    assert out[1] == dt.datetime(2023, 5, 1, 10, 20, 30)
+    assert out[2] == dt.datetime(2023, 5, 1, 10, 20)
+    assert out[3:] == [None, None, None, None]
+
+
 def test_normalise_serial(spark):
     assert _one(spark, C.normalise_serial, [" A1 ", "", "None", "nan", None, "  "]) == ["A1", None, None, None, None, None]
 
