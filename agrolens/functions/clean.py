@@ -104,14 +104,18 @@ def drop_missing(df: DataFrame, cols) -> DataFrame:
     return df.na.drop(how="any", subset=list(cols))
 
 
-def clean_records(raw: DataFrame, keep=()) -> DataFrame:
+def clean_records(raw: DataFrame, keep=(), number_rows: bool = True) -> DataFrame:
     """S3 -> F2: one typed projection over an all-text record table.
 
-    ``keep`` names extra columns passed through unchanged."""
+    ``keep`` names extra columns passed through unchanged. Without a sequence column
+    the rows are numbered in input order (C13, a second pass over the input);
+    ``number_rows=False`` gives record_id the register's value for a missing number (0)
+    instead, for inputs whose order carries no meaning (pages gathered in completion
+    order)."""
     from agrolens.schema import NUMERIC_COLUMNS, RECORD_COLUMNS
     df = drop_unnamed(rename_source_columns(strip_names(raw)))
     df = drop_all_null_rows(df)
-    if "record_id" not in df.columns:
+    if "record_id" not in df.columns and number_rows:
         df = with_row_index(df, "record_id")
     for c in RECORD_COLUMNS:
         if c not in df.columns:

@@ -376,8 +376,11 @@ _CLEAN_COLS = ["record_key", "county", "township", "buyer", "item_category", "ma
                "total_subsidy", "serial_no", "status"]
 
 
-@register("clean_roundtrip", f"""
-SELECT {", ".join(_CLEAN_COLS)}, strftime(purchase_date, '%Y-%m-%d %H:%M:%S') AS purchase_date FROM records""")
+_CLEAN_SQL = f"""
+SELECT {", ".join(_CLEAN_COLS)}, strftime(purchase_date, '%Y-%m-%d %H:%M:%S') AS purchase_date FROM records"""
+
+
+@register("clean_roundtrip", _CLEAN_SQL)
 def clean_roundtrip(spark, sf_dir):
     from agrolens.functions.clean import clean_records
     c = clean_records(_text_records(spark, sf_dir), keep=["record_key"])
@@ -410,30 +413,58 @@ def feature_labels(spark, sf_dir):
                     year_or_default("purchase_date").alias("purchase_year"))
 
 
-def _nation_pages(spark, sf_dir):
-    """One HTML page per region listing its nations in a table (plus a second table that
-    must be ignored), built by Spark from the nation table."""
-    from agrolens.records import table
-    n = table(spark, sf_dir, "nation")
-    row = F.concat(F.lit("<tr><td> "), F.col("n_nationkey").cast("string"), F.lit(" </td><td>"),
-                   F.col("n_name"), F.lit("</td><td>\n"), F.col("n_regionkey").cast("string"),
-                   F.lit("</td></tr><tr></tr>"))
-    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n_nationkey", row.alias("r")))),
-                                    lambda s: s["r"]), "")
-    return (n.groupBy("n_regionkey")
-             .agg(F.concat(F.lit("<html><body><p>Register &amp; list</p><table class='t'>"
-                                 "<tr><th> n_nationkey</th><th>n_name </th><th>n_regionkey</th></tr>"),
-                           rows, F.lit("</table><table><tr><th>x</th></tr><tr><td>ignored</td></tr>"
-                                       "</table></body></html>")).alias("html"))
-             .select(F.col("n_regionkey").cast("long").alias("page_id"), "html"))
-
-
-@register("html_table_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+RECORDS_PER_PAGE = 50
+
+
+def _html_text(c):
+    """Cell text with the three characters HTML needs escaped; NULL -> empty cell."""
+    t = F.coalesce(c.cast("string"), F.lit(""))
+    for ch, ent in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        t = F.replace(t, F.lit(ch), F.lit(ent))
+    return t
+
+
+def _record_pages(spark, sf_dir, per_page: int = RECORDS_PER_PAGE):
+    """The whole record view rendered as register pages: every page holds the first table
+    (padded source headers, register-style text cells, an empty row) followed by a second
+    table that must be ignored. Records go to page floor(u * P) with u uniform from a hash
+    of the unique record key and P = ceil(n / per_page), so pages hold ~per_page rows
+    whatever the key skew; the page count grows with the data."""
+    raw = _text_records(spark, sf_dir)
+    cols = [c for c in raw.columns if c != "record_key"]
+    n = raw.agg(F.count(F.lit(1)).alias("_n"))
+    pages_n = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(per_page))))
+    u = F.shiftrightunsigned(F.xxhash64("record_key"), 11).cast("double") / F.lit(float(2 ** 53))
+    row = F.concat(F.lit("<tr><td>"), _html_text(F.col("record_key")), F.lit("</td>"),
+                   *[F.concat(F.lit("<td>"), _html_text(F.col(f"`{c}`")), F.lit("</td>")) for c in cols],
+                   F.lit("</tr><tr></tr>\n"))
+    head = "".join(f"<th> {c.strip()} </th>" for c in ["record_key"] + cols)
+    paged = raw.crossJoin(F.broadcast(n)).select(F.floor(u * pages_n).alias("page_id"), "record_key",
+                                                 row.alias("r"))
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("record_key", "r"))),
+                                    lambda x: x["r"]), "")
+    return (paged.groupBy("page_id")
+                 .agg(F.concat(F.lit("<html><body><p>Register &amp; list</p><table class='t'><tr>" + head + "</tr>"),
+                               rows, F.lit("</table><table><tr><th>x</th></tr><tr><td>ignored</td></tr>"
+                                           "</table></body></html>")).alias("html")))
+
+
+def _pages_to_records(rows):
+    """Extracted (header, cells) rows -> named source columns -> cleaned records."""
+    from agrolens.functions.clean import clean_records
+    from agrolens.schema import SOURCE_TO_COLUMN
+    names = ["record_key"] + [k for k in SOURCE_TO_COLUMN if k not in ("序号", "是否超录申请")]
+    from agrolens.sources.html_tables import to_columns
+    c = clean_records(to_columns(rows, names).drop("page_id", "row_no"), keep=["record_key"], number_rows=False)
+    return c.select(*_CLEAN_COLS, F.date_format("purchase_date", "yyyy-MM-dd HH:mm:ss").alias("purchase_date"))
+
+
+@register("html_table_roundtrip", _CLEAN_SQL)
 def html_table_roundtrip(spark, sf_dir):
-    from agrolens.sources.html_tables import extract_tables, to_columns
-    t = to_columns(extract_tables(_nation_pages(spark, sf_dir)), ["n_nationkey", "n_name", "n_regionkey"])
-    return t.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name",
-                    F.col("n_regionkey").cast("int").alias("n_regionkey"))
+    """S4 end to end: every record rendered into register pages, the first table of each
+    page extracted (mapInPandas), mapped by header text and cleaned back to typed records."""
+    from agrolens.sources.html_tables import extract_tables
+    return _pages_to_records(extract_tables(_record_pages(spark, sf_dir)))
 
 
 @register("pages_first_tables")
@@ -753,20 +784,18 @@ def top_performers_top_category(spark, sf_dir):
     return A.top_performers(r.join(F.broadcast(top1), "item_category", "left_semi"), n=5)
 
 
-@register("streamed_html_roundtrip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@register("streamed_html_roundtrip", _CLEAN_SQL)
 def streamed_html_roundtrip(spark, sf_dir):
-    """Streaming ingestion: page batches built from `nation` land as files, an available-now
-    stream extracts their tables into an append-only table, which is read back."""
+    """Streaming ingestion: the record pages land as files, an available-now stream extracts
+    their tables (a few files per micro-batch) into an append-only table, which is read back
+    and cleaned."""
     import uuid
 
     from agrolens.session import scratch_path
-    from agrolens.sources.html_tables import to_columns
     from agrolens.streaming.page_ingest import start_ingest
     base = scratch_path(spark, "stream-" + uuid.uuid4().hex[:8])
-    pages = _nation_pages(spark, sf_dir).withColumn("url", F.lit(None).cast("string"))
-    pages.select("page_id", "url", "html").repartition(2, "page_id").write.parquet(f"{base}/pages")
-    q = start_ingest(spark, f"{base}/pages", f"{base}/rows", f"{base}/_checkpoint", max_files_per_trigger=1)
+    pages = _record_pages(spark, sf_dir).withColumn("url", F.lit(None).cast("string"))
+    pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").write.parquet(f"{base}/pages")
+    q = start_ingest(spark, f"{base}/pages", f"{base}/rows", f"{base}/_checkpoint", max_files_per_trigger=4)
     q.awaitTermination()
-    t = to_columns(spark.read.parquet(f"{base}/rows"), ["n_nationkey", "n_name", "n_regionkey"])
-    return t.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "n_name",
-                    F.col("n_regionkey").cast("int").alias("n_regionkey"))
+    return _pages_to_records(spark.read.parquet(f"{base}/rows"))

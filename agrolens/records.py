@@ -73,9 +73,10 @@ def records(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
     key = hashlib.md5("|".join(stamp).encode()).hexdigest()[:16]
     if key not in _MATERIALIZED:
         out = scratch_path(spark, f"records-{key}-{uuid.uuid4().hex[:8]}")
-        # hash-spread on the unique record key: even files whatever the input skew, and
-        # deterministic on task retry (unlike round-robin repartitioning)
-        records_join(spark, sf_dir).repartition("record_key").write.mode("overwrite").parquet(out)
+        # written straight from the join's hash partitions: no extra shuffle of the full
+        # table. AQE's skew-join split bounds the size of any partition a hot key lands in,
+        # and the commit protocol keeps only one attempt's files per task (retry-safe).
+        records_join(spark, sf_dir).write.mode("overwrite").parquet(out)
         _MATERIALIZED[key] = out
     return spark.read.parquet(_MATERIALIZED[key])
 
