@@ -42,6 +42,33 @@ def prepare(df: DataFrame, cat_cols, num_cols, target: str = TARGET, with_year:
     return d
 
 
+# Largest vocabulary kept per categorical column: the labels reach the driver (inside
+# the fitted indexer) and bound a forest's maxBins, so they must not grow with the data.
+MAX_LEVELS = 4096
+
+
+def fit_encoders(train: DataFrame, cat_cols, num_cols, encoding: str = "onehot",
+                 max_levels: int = MAX_LEVELS) -> PipelineModel:
+    """Fit the encoder stages with a bounded vocabulary.
+
+    Each column's ``max_levels`` most frequent levels are chosen by a distributed
+    top-k (aggregate, then TakeOrderedAndProject); the indexer is fitted on that
+    small union only, so at most ``max_levels`` labels per column reach the driver.
+    With alphabetical ordering this gives the same indexer as fitting on all rows
+    whenever a column has no more levels than the cap; rarer levels fall into the
+    indexer's unseen slot (``handleInvalid='keep'``), at fit and at scoring time alike.
+    """
+    levels = None
+    for c in cat_cols:
+        top = (train.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
+                    .orderBy(F.desc("_n"), F.asc(c)).limit(max_levels).select(c))
+        levels = top if levels is None else levels.unionByName(top, allowMissingColumns=True)
+    stages = encoder_stages(cat_cols, num_cols, encoding)
+    idx = stages[0].fit(levels)
+    rest = Pipeline(stages=stages[1:]).fit(idx.transform(train))
+    return PipelineModel(stages=[idx] + list(rest.stages))
+
+
 def encoder_stages(cat_cols, num_cols, encoding: str = "onehot"):
     """M1: alphabetical indexing, then either sparse one-hot (unseen level -> all-zero slot)
     or, with ``encoding='indexed'``, the index itself as a categorical feature (nominal
@@ -60,10 +87,12 @@ def encoder_stages(cat_cols, num_cols, encoding: str = "onehot"):
 
 
 def random_forest(num_trees: int = 100, max_depth: int = 10, seed: int = 42, max_bins: int = 32):
-    """M3: sklearn-style forest (all features per split, bootstrap)."""
+    """M3: sklearn-style forest (all features per split, bootstrap). Node ids are cached per
+    row (checkpointed to the shared folder every 10 levels), so deep trees do not re-walk
+    every row from the root at each level."""
     return RandomForestRegressor(featuresCol="features", labelCol=TARGET, predictionCol="predicted_price",
                                  numTrees=num_trees, maxDepth=max_depth, featureSubsetStrategy="all",
-                                 seed=seed, maxBins=max_bins)
+                                 seed=seed, maxBins=max_bins, cacheNodeIds=True, checkpointInterval=10)
 
 
 def boosted_trees(max_iter: int = 300, step: float = 0.05, max_depth: int = 7, subsample: float = 0.8,
@@ -76,7 +105,8 @@ def boosted_trees(max_iter: int = 300, step: float = 0.05, max_depth: int = 7, s
 
 
 def fit_price_model(df: DataFrame, estimator, cat_cols=BASE_CATEGORICAL, num_cols=BASE_NUMERIC,
-                    with_year: bool = False, key: str = "record_key", encoding: str = "onehot"):
+                    with_year: bool = False, key: str = "record_key", encoding: str = "onehot",
+                    max_levels: int = MAX_LEVELS):
     """M1+M2+model: prepare, split 80/20 by content hash, fit on the train part.
 
     The prepared table is persisted (every encoder / tree pass reads it; lost
@@ -84,19 +114,19 @@ def fit_price_model(df: DataFrame, estimator, cat_cols=BASE_CATEGORICAL, num_col
     DataFrame with ``is_test``)."""
     d = split_train_test(prepare(df, cat_cols, num_cols, with_year=with_year), key).persist()
     train = d.where(~F.col("is_test"))
+    enc = fit_encoders(train, cat_cols, num_cols, encoding, max_levels)
+    est = estimator
     if encoding == "indexed":
-        enc = Pipeline(stages=encoder_stages(cat_cols, num_cols, encoding)).fit(train)
         arity = max(len(labels) for labels in enc.stages[0].labelsArray) + 1  # + unseen slot
         est = estimator.copy().setMaxBins(max(estimator.getMaxBins(), arity))
-        fitted = est.fit(enc.transform(train))
-        return PipelineModel(stages=list(enc.stages) + [fitted]), d
-    model = Pipeline(stages=encoder_stages(cat_cols, num_cols) + [estimator]).fit(train)
-    return model, d
+    fitted = est.fit(enc.transform(train))
+    return PipelineModel(stages=list(enc.stages) + [fitted]), d
 
 
 def fit_boosted_early_stopping(df: DataFrame, cat_cols=PIPELINE_CATEGORICAL, num_cols=PIPELINE_NUMERIC,
                                max_iter: int = 1000, patience: int = 50, step: float = 0.1,
-                               max_depth: int = 5, min_rows: int = 50, key: str = "record_key"):
+                               max_depth: int = 5, min_rows: int = 50, key: str = "record_key",
+                               max_levels: int = MAX_LEVELS):
     """M4: boosting with early stopping on the held-out part.
 
     Fit ``max_iter`` rounds once, score every prefix of the ensemble on the test
@@ -108,7 +138,7 @@ def fit_boosted_early_stopping(df: DataFrame, cat_cols=PIPELINE_CATEGORICAL, num
     d = split_train_test(prepare(df, cat_cols, num_cols, fills={"quantity": 1.0}), key).persist()
     if d.limit(min_rows).count() < min_rows:
         return None, d, 0
-    enc = Pipeline(stages=encoder_stages(cat_cols, num_cols)).fit(d.where(~F.col("is_test")))
+    enc = fit_encoders(d.where(~F.col("is_test")), cat_cols, num_cols, "onehot", max_levels)
     e = enc.transform(d).persist()
     gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, predictionCol="predicted_price",
                        maxIter=max_iter, stepSize=step, maxDepth=max_depth, seed=42, checkpointInterval=10)

@@ -49,12 +49,17 @@ _LOCAL_CKPT: str | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system);
-    only when it is unset (local tests) do we create one of our own.
+    On a cluster this must be set by the deployment (a shared file system); a
+    machine-local folder would lose written tables with the executor that held
+    them, so a non-local master without the setting is an error. Only a local
+    master (tests) with the setting unset gets a folder of our own.
     """
     global _LOCAL_CKPT
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS / object "
+                               "storage) for this cluster; agrolens writes intermediate tables there")
         if _LOCAL_CKPT is None:
             _LOCAL_CKPT = tempfile.mkdtemp(prefix="agrolens-ckpt-")
         d = _LOCAL_CKPT

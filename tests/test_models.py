@@ -52,3 +52,21 @@ def test_isolation_forest_flags_outliers(spark):
     assert {"out1", "out2"} <= flagged
     assert abs(len(flagged) - 0.02 * len(rows)) <= 2
     assert all(r.iforest_label == (-1 if r.iforest_anomaly else 1) for r in out)
+
+
+def test_encoder_vocabulary_is_bounded(spark):
+    from pyspark.ml.feature import StringIndexer
+    df = _records(spark)
+    cats, nums = ["manufacturer", "model"], ["quantity"]
+    full = StringIndexer(inputCols=cats, outputCols=[f"{c}__idx" for c in cats],
+                         stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
+    enc = M.fit_encoders(df, cats, nums, "indexed")
+    assert [list(x) for x in enc.stages[0].labelsArray] == [list(x) for x in full.labelsArray]
+    capped = M.fit_encoders(df, cats, nums, "indexed", max_levels=2)
+    labels = [list(x) for x in capped.stages[0].labelsArray]
+    assert all(len(x) == 2 for x in labels)
+    # levels outside the cap share the unseen slot (index = number of kept labels)
+    rows = capped.transform(df).select("model", "model__idx").distinct().collect()
+    kept = set(labels[1])
+    assert all((r.model__idx == 2.0) == (r.model not in kept) for r in rows)
+    assert capped.transform(df).count() == df.count()
