@@ -68,3 +68,26 @@ def test_summary_document(spark):
     r = summary_document(df).first()
     assert r.total_rows == 3 and r.regions_top20 == {"t1": 2, "t2": 1} and r.item_counts == {"c1": 2, "c2": 1}
     assert r.price_stats["count"] == 2 and r.price_stats["p50"] == 15.0
+
+
+def test_plain_fast_path_matches_html_parser():
+    """Differential check: the regex fast path and the html.parser state machine agree on
+    random pages built from well-formed, malformed and tricky fragments."""
+    import random
+    rnd = random.Random(11)
+    toks = ["<table>", "</table>", "<TABLE class=x>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "</th>",
+            "<td/>", "<b>", "</b>", " a ", "x&amp;y", "&lt;", "&am", "p;", "<!-- <td>c</td> -->", "<br/>",
+            "\n", "<td title=\"a>b\">", "v", "<script>var s='<td>';</script>", "&#31;", "<tr class=r>",
+            "<TD>", "</TD >", "<thead>", "<tdx>", "</td/>", "<td/x>", "<table-x>", "</table >", "<", ">",
+            "'", "< b", "O'Brien", "\xa0", "<!DOCTYPE html>", "<title>a<b>c</title>", "\x00", "</ x>",
+            "<td\xa0>", "<table><tr><th>n</th></tr><tr><td>in</td></tr></table>", "　",
+            "<td class='c'>", "<td a=\"x\" b='y'>", "<td a='\"' b=\">\">", "<td a=\"x>", "<td a='<'>", "1<2"]
+    plain = 0
+    for _ in range(4000):
+        h = "".join(rnd.choice(toks) for _ in range(rnd.randint(1, 40)))
+        assert parse_first_table(h) == parse_first_table(h, fast=False), repr(h)
+    for _ in range(2000):
+        h = "".join(rnd.choice(toks[:13] + ["<TD>", "</TD >", "<thead>", "<tdx>"]) for _ in range(rnd.randint(1, 60)))
+        plain += parse_first_table(h) is not None
+        assert parse_first_table(h) == parse_first_table(h, fast=False), repr(h)
+    assert plain > 50
