@@ -726,8 +726,10 @@ def gbt_target_encoded_metrics(spark, sf_dir):
     from agrolens.operators import models as M
     from agrolens.operators.features import (category_means, ordered_target_encode_all,
                                              regression_metrics, split_train_test)
+    # only the key, features and target travel through the six encoding shuffles
     d = split_train_test(M.prepare(records(spark, sf_dir), M.BASE_CATEGORICAL, M.TIME_NUMERIC,
-                                   with_year=True)).persist()
+                                   with_year=True)
+                         .select("record_key", *M.BASE_CATEGORICAL, *M.TIME_NUMERIC, M.TARGET)).persist()
     train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
     enc_cols = [f"{c}_enc" for c in M.BASE_CATEGORICAL]
     prior = train.agg(F.avg(M.TARGET).alias("prior"))
