@@ -29,6 +29,14 @@ def duplicate_serials(df: DataFrame, serial: str = "serial_no",
     return d.join(dups, "_serial", "inner").drop("_serial")
 
 
+def wall_clock_micros(c) -> F.Column:
+    """Microseconds since 1970-01-01 00:00 of the wall-clock time (no time zone), like the
+    register's naive datetimes: a zoned cast would make a day across a DST change 23 or
+    25 hours long in a non-UTC session."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, c.cast("timestamp_ntz"))
+
+
 def rapid_repeat(df: DataFrame, buyer: str = "buyer", category: str = "item_category",
                  date: str = "purchase_date", days: int = 30,
                  null_buyers_as_one: bool = False) -> DataFrame:
@@ -52,7 +60,7 @@ def rapid_repeat(df: DataFrame, buyer: str = "buyer", category: str = "item_cate
     d = (df.where(F.col(date).isNotNull())
            .withColumn("_b", b).withColumn("_c", c)
            .where(F.col("_b").isNotNull() & F.col("_c").isNotNull())
-           .withColumn("_t", F.unix_micros(F.col(date).cast("timestamp"))))
+           .withColumn("_t", wall_clock_micros(F.col(date))))
     buckets = (d.groupBy("_b", "_c", F.floor(F.col("_t") / F.lit(width)).alias("_bk"))
                 .agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"), F.max("_t").alias("_hi")))
     w = Window.partitionBy("_b", "_c").orderBy("_bk")

@@ -54,6 +54,19 @@ def test_rapid_repeat_random_against_brute_force(spark):
         assert {r.k for r in D.rapid_repeat(df, days=days).collect()} == _brute_rapid(rows, days)
 
 
+def test_rapid_repeat_is_wall_clock_in_any_session_zone(spark):
+    """Naive (wall-clock) day distances, also when the session zone has DST changes."""
+    rows = [(1, "a", "c", dt.datetime(2023, 2, 10)), (2, "a", "c", dt.datetime(2023, 3, 13)),   # 31 d over DST
+            (3, "b", "c", dt.datetime(2023, 10, 6)), (4, "b", "c", dt.datetime(2023, 11, 5, 23))]  # 30 d 23 h
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame(rows, "k int, buyer string, item_category string, purchase_date timestamp_ntz")
+        assert {r.k for r in D.rapid_repeat(df, days=30).collect()} == _brute_rapid(rows, 30) == {3, 4}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_rapid_repeat_null_buyers_parity(spark):
     df = spark.createDataFrame(F3, "k int, buyer string, item_category string, purchase_date timestamp")
     got = {r.k for r in D.rapid_repeat(df, days=30, null_buyers_as_one=True).collect()}
