@@ -22,8 +22,17 @@ def split_train_test(df: DataFrame, key: str = "record_key", test_pct: int = 20,
     return df.withColumn(col, hash_bucket(key) >= (100 - test_pct))
 
 
+def choose_split_hex(n_rows: int, max_slice_rows: int = 1_000_000) -> int:
+    """Fewest leading hex digits k such that a slice (1/16**k of a category) stays below
+    ``max_slice_rows`` rows even when one category holds every row."""
+    k = 0
+    while n_rows > max_slice_rows * 16 ** k and k < 8:
+        k += 1
+    return k
+
+
 def ordered_target_encoding(df: DataFrame, cat: str, target: str, order_key: str = "record_key",
-                            out: str | None = None, prior=None, split_hex: int = 4) -> DataFrame:
+                            out: str | None = None, prior=None, split_hex: int | None = None) -> DataFrame:
     """M6: ordered target statistic (sum of earlier targets + prior) / (earlier count + 1),
     rows of a category ordered by md5(order_key).
 
@@ -31,9 +40,12 @@ def ordered_target_encoding(df: DataFrame, cat: str, target: str, order_key: str
     slices by the leading hex digits of the hash (the ordering key itself):
     slice totals (aggregate) give each slice's prefix, a window over the few
     slice totals per category accumulates them, and the running sum inside a
-    slice is a window over ~1/16**split_hex of the category.
+    slice is a window over ~1/16**split_hex of the category. ``split_hex=None`` sizes the
+    slices from the row count (one count job); the result is the same for every value.
     """
     out = out or f"{cat}_enc"
+    if split_hex is None:
+        split_hex = choose_split_hex(df.count())
     d = df.withColumn("_h", F.md5(F.col(order_key).cast("string"))) \
           .withColumn("_s", F.substring("_h", 1, split_hex))
     pr = _prior_df(d, target, prior)
@@ -59,16 +71,18 @@ def _prior_df(df: DataFrame, target: str, prior) -> DataFrame:
 
 
 def ordered_target_encode_all(df: DataFrame, cats, target: str, order_key: str = "record_key",
-                              prior=None) -> DataFrame:
+                              prior=None, split_hex: int | None = None) -> DataFrame:
     """M6 for several categorical columns: one shared prior, one encoding step per column.
 
     Each step is persisted and materialised before the next one is planned, and
     the previous step released, so no step re-derives the chain before it.
     """
     pr = _prior_df(df, target, prior).persist()
+    if split_hex is None:
+        split_hex = choose_split_hex(df.count())
     cur, prev = df, None
     for c in cats:
-        nxt = ordered_target_encoding(cur, c, target, order_key, prior=pr).persist()
+        nxt = ordered_target_encoding(cur, c, target, order_key, prior=pr, split_hex=split_hex).persist()
         nxt.count()
         if prev is not None:
             prev.unpersist()

@@ -17,7 +17,7 @@ def test_split_stable_under_repartition(spark):
     assert a == b and 0.17 < len(a) / 5000 < 0.23
 
 
-@pytest.mark.parametrize("split_hex", [1, 2])
+@pytest.mark.parametrize("split_hex", [None, 0, 1, 2])
 def test_ordered_target_encoding_brute_force(spark, split_hex):
     rng = np.random.default_rng(3)
     rows = [(f"k{i}", f"c{rng.integers(0, 4)}", float(rng.integers(0, 100))) for i in range(400)]
