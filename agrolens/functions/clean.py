@@ -47,7 +47,8 @@ def to_number(c) -> Column:
 
 
 def to_ts(c, formats=None) -> Column:
-    """Text -> timestamp, bad -> NULL.
+    """Text -> wall-clock timestamp (TIMESTAMP_NTZ, like the register's naive datetimes),
+    bad -> NULL.
 
     Default: '/' and 'T' are unified to '-' and ' ' by a character translation and the
     layout is picked by the number of ':' (one parse attempt per row, no regex, no
@@ -56,13 +57,20 @@ def to_ts(c, formats=None) -> Column:
     """
     s = strip_text(_c(c).cast("string"))
     if formats is not None:
-        return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats])
+        return F.coalesce(*[_wall_clock(s, f) for f in formats])
     u = F.translate(s, "/T", "- ")
     colons = F.length(u) - F.length(F.translate(u, ":", ""))
-    return (F.when(colons == 2, F.try_to_timestamp(u, F.lit("y-M-d H:m:s")))
-             .when(colons == 1, F.try_to_timestamp(u, F.lit("y-M-d H:m")))
-             .when(u.contains("-"), F.try_to_timestamp(u, F.lit("y-M-d")))
-             .when(F.length(u) == 8, F.try_to_timestamp(u, F.lit("yyyyMMdd"))))
+    return (F.when(colons == 2, _wall_clock(u, "y-M-d H:m:s"))
+             .when(colons == 1, _wall_clock(u, "y-M-d H:m"))
+             .when(u.contains("-"), _wall_clock(u, "y-M-d"))
+             .when(F.length(u) == 8, _wall_clock(u, "yyyyMMdd")))
+
+
+def _wall_clock(s: Column, fmt: str) -> Column:
+    """Zone-free (TIMESTAMP_NTZ) parse, NULL when the text does not fit ``fmt``. Both parses
+    use the same zone-less formatter, so the guard accepts exactly the strings the NTZ parse
+    accepts; a session-zone parse alone would move wall-clock times that fall into a DST gap."""
+    return F.when(F.try_to_timestamp(s, F.lit(fmt)).isNotNull(), F.to_timestamp_ntz(s, F.lit(fmt)))
 
 
 def normalise_serial(c) -> Column:

@@ -81,3 +81,13 @@ def test_labels_and_keys(spark):
     r = df.select(C.shorten_label("l").alias("l"), C.safe_key("k").alias("k"),
                   C.year_or_default("d").alias("y"), C.category_text("d").alias("c")).first()
     assert r.l == "a" * 25 + "..." and r.k == "x_y_z" and r.y == 2024 and r.c == "NA"
+
+
+def test_to_ts_keeps_wall_clock_in_dst_gap(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        out = _one(spark, C.to_ts, ["2023-03-12 02:30:00", "2023/11/05 01:30", "bad"])
+        assert out == [dt.datetime(2023, 3, 12, 2, 30), dt.datetime(2023, 11, 5, 1, 30), None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
