@@ -69,35 +69,37 @@ def _grow(tree_id: int, X: np.ndarray, seed: int, max_depth: int) -> list:
 
 
 def _flatten(nodes: pd.DataFrame):
-    """All trees in one node table with global child indices; returns arrays + root ids."""
+    """All trees in one node table with global int32 indices. A leaf's children are the leaf
+    itself (and its feature 0), so a walk needs no active-row mask: every row simply stays
+    on its leaf once there. Returns (feature, threshold, left, right, leaf path length),
+    root ids and the largest depth."""
     parts, roots, off = [], [], 0
     for _, t in nodes.groupby("tree"):
         t = t.sort_values("node")
-        parts.append((t["feature"].to_numpy(), t["threshold"].to_numpy(),
-                      np.where(t["leaf"], -1, t["left"].to_numpy() + off),
-                      np.where(t["leaf"], -1, t["right"].to_numpy() + off),
-                      t["leaf"].to_numpy(dtype=bool),
-                      np.where(t["leaf"], t["depth"] + np.array([_c(v) for v in t["size"]]), 0.0)))
+        idx = np.arange(off, off + len(t), dtype=np.int32)
+        leaf = t["leaf"].to_numpy(dtype=bool)
+        parts.append((np.where(leaf, 0, t["feature"].to_numpy()).astype(np.int32),
+                      t["threshold"].to_numpy(dtype=float),
+                      np.where(leaf, idx, t["left"].to_numpy() + off).astype(np.int32),
+                      np.where(leaf, idx, t["right"].to_numpy() + off).astype(np.int32),
+                      np.where(leaf, t["depth"] + np.array([_c(v) for v in t["size"]]), 0.0)))
         roots.append(off)
         off += len(t)
-    cat = [np.concatenate([p[i] for p in parts]) for i in range(6)]
-    return cat, np.array(roots)
+    cat = [np.concatenate([p[i] for p in parts]) for i in range(5)]
+    return cat, np.array(roots, dtype=np.int32), int(nodes["depth"].max()) if len(nodes) else 0
 
 
 def _score_batches(batches, nodes: pd.DataFrame, features, sample_size: int):
-    (feat, thr, left, right, leaf, leaf_len), roots = _flatten(nodes)
-    feat = np.where(feat < 0, 0, feat)
+    (feat, thr, left, right, leaf_len), roots, depth = _flatten(nodes)
     cn = _c(sample_size)
+    nf = len(features)
     for pdf in batches:
         X = pdf[features].to_numpy(dtype=float)
-        rows = np.arange(len(X))[:, None]
+        flat_x = X.ravel()
+        base = (np.arange(len(X), dtype=np.int64) * nf)[:, None]
         cur = np.broadcast_to(roots, (len(X), len(roots))).copy()   # (rows, trees)
-        for _ in range(64):
-            active = ~leaf[cur]
-            if not active.any():
-                break
-            go_left = X[rows, feat[cur]] < thr[cur]
-            cur = np.where(active, np.where(go_left, left[cur], right[cur]), cur)
+        for _ in range(depth):
+            cur = np.where(flat_x[base + feat[cur]] < thr[cur], left[cur], right[cur])
         mean_path = leaf_len[cur].mean(axis=1) if len(roots) else np.zeros(len(X))
         pdf = pdf.copy()
         pdf["iforest_score"] = np.power(2.0, -mean_path / cn) if cn > 0 else 0.5
