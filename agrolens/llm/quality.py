@@ -43,16 +43,28 @@ def _dup_lines(text: Column) -> Column:
     return bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
-def _repeat_words(w: Column) -> Column:
+def _pairs(left: Column, right: Column) -> Column:
+    return F.zip_with(left, right, lambda a, b: F.xxhash64(a, b))
+
+
+def _hashes(w: Column) -> Column:
+    """struct(one, two): 64-bit hashes of the words and of the word bigrams."""
+    def both(h):
+        n = F.greatest(F.size(h) - 1, F.lit(0))
+        return F.struct(h.alias("one"), _pairs(F.slice(h, 1, n), F.slice(h, 2, n)).alias("two"))
+    return bind(F.transform(w, lambda x: F.xxhash64(x)), both)
+
+
+def _repeat_words(one: Column, two: Column) -> Column:
     """Words inside a WINDOW-word window that occurs twice or more in the text.
 
-    Window hashes are sorted with their positions; a window repeats iff a neighbour in that
-    order has its hash. Covered words are then counted from the sorted positions.
+    A window's hash is made of two bigram hashes and its last word's. The hashes are sorted with
+    their positions; a window repeats iff a neighbour in that order has its hash. Covered words
+    are then counted from the sorted positions.
     """
-    def hashes(x):
-        last = F.size(x) - F.lit(WINDOW)
-        at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.xxhash64(*[F.get(x, i + k) for k in range(WINDOW)]))
+    n4, n5 = (F.greatest(F.size(one) - k, F.lit(0)) for k in (WINDOW - 2, WINDOW - 1))
+    four = _pairs(F.slice(two, 1, n4), F.slice(two, 3, n4))
+    windows = _pairs(F.slice(four, 1, n5), F.slice(one, WINDOW, n5))
 
     def positions(h):
         pairs = F.array_sort(F.transform(h, lambda v, i: F.struct(v.alias("h"), i.alias("p"))))
@@ -65,30 +77,25 @@ def _repeat_words(w: Column) -> Column:
         spans = F.transform(p, lambda v, i: F.least(F.lit(WINDOW), F.coalesce(F.get(p, i + 1) - v, F.lit(WINDOW))))
         return F.aggregate(spans, F.lit(0).cast("long"), lambda a, v: a + v)
 
-    return bind(bind(w, hashes), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long"))
+    return bind(windows, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long"))
                 .otherwise(bind(positions(h), covered)))
 
 
 def base_rules(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add the base counts and ``base_failed``; ``__w`` holds the words for later use."""
+    """Add the base counts and ``base_failed``; ``__h`` holds the n-gram hashes for later use."""
     t = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumn("__w", words(F.col(text))).select(
-        "*", F.size("__w").cast("long").alias("n_words"),
+    out = docs.withColumn("__h", _hashes(words(F.col(text)))).select(
+        "*", F.size("__h.one").cast("long").alias("n_words"),
         F.length(F.translate(t, SPACES, "")).cast("long").alias("word_chars"),
         _count_chars(t, SYMBOLS).alias("n_symbols"),
         _dup_lines(t).alias("n_dup_lines"),
-        _repeat_words(F.col("__w")).alias("n_repeat_words"))
+        _repeat_words(F.col("__h.one"), F.col("__h.two")).alias("n_repeat_words"))
     return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
-def buckets(w: Column) -> Column:
-    """Hashed unigrams and bigrams of a word array."""
-    one = F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int"))
-    two = bind(w, lambda x: F.zip_with(
-        F.slice(x, 1, F.greatest(F.size(x) - 1, F.lit(0))), F.slice(x, 2, F.greatest(F.size(x) - 1, F.lit(0))),
-        lambda a, b: F.pmod(F.xxhash64(a, F.lit(" "), b), F.lit(BUCKETS)).cast("int")))
-    return F.concat(one, two)
+def _bucket(h: Column) -> Column:
+    return F.pmod(h, F.lit(BUCKETS)).cast("int")
 
 
 def trusted_ids(labels: DataFrame, limit: int = MAX_TRUSTED) -> DataFrame:
@@ -103,9 +110,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The written model table: (bucket, ratio), the log ratio in integer 1e-6 nats."""
     ids = trusted_ids(labels).select(F.col("doc_id").alias("__id"), F.lit(1).alias("__trusted"))
     counts = (docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("__id"), "left")
-              .withColumn("__w", words(F.col("text")))
-              .select(F.coalesce("__trusted", F.lit(0)).alias("t"), F.explode(buckets(F.col("__w"))).alias("bucket"))
-              .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("trusted")))
+              .withColumn("__h", _hashes(words(F.col("text"))))
+              .select(F.coalesce("__trusted", F.lit(0)).alias("t"), F.explode(F.concat("__h.one", "__h.two")).alias("h"))
+              .groupBy(_bucket(F.col("h")).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("t").alias("trusted")))
     counts = write_scratch(counts, "quality-counts")
     total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("n_raw"),
                        F.coalesce(F.sum("trusted"), F.lit(0)).alias("n_trusted"))
@@ -124,7 +131,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, min_score: float = MIN_SCO
     keys = ["doc_id", "row_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     keyed = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), "text")
     rows = base_rules(keyed).withColumn("__row", F.monotonically_increasing_id())
-    grams = rows.select("__row", *keys, F.explode_outer(buckets(F.col("__w"))).alias("__bucket"))
+    grams = (rows.select("__row", *keys, F.explode_outer(F.concat("__h.one", "__h.two")).alias("__gram"))
+             .withColumn("__bucket", _bucket(F.col("__gram"))))
     scored = (grams.join(ratios, F.col("__bucket") == F.col("__b"), "left")
               .groupBy("__row", *keys)
               .agg(F.coalesce(F.sum("ratio"), F.lit(0)).alias("s"), F.count("__bucket").alias("n")))

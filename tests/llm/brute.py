@@ -2,6 +2,7 @@
 
 import math
 import re
+import struct
 from collections import Counter, defaultdict
 
 import xxhash
@@ -31,17 +32,17 @@ def _signed(x):
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _spark_hash(*values):
+def _hash(*values):
+    """Spark's xxhash64 of words (UTF-8) or longs (8 bytes), each seeding the next."""
     h = 42
     for v in values:
-        h = xxhash.xxh64_intdigest(v.encode(), seed=h)
-    return h
+        h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q", v), seed=h)
+    return _signed(h)
 
 
 def grams(text, buckets):
-    w = spaced(text)
-    return [_signed(_spark_hash(x)) % buckets for x in w] + [
-        _signed(_spark_hash(a, " ", b)) % buckets for a, b in zip(w, w[1:])]
+    one = [_hash(x) for x in spaced(text)]
+    return [x % buckets for x in one + [_hash(a, b) for a, b in zip(one, one[1:])]]
 
 
 def quality(docs, trusted, buckets, smoothing, min_score):
