@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 
 from agrolens.llm.common import small_batches
 
-CACHE = 150_000       # cached pieces of a worker, and cached pre-tokens
+PIECES = 300_000      # cached pieces of a worker: about 60 MB
+PARTS = 600_000       # cached pre-tokens of a worker: about 120 MB
 CACHE_CHARS = 40      # longer ones are never cached
 _WORD = 256           # ranks per word of the lower bitmap
+_SHARED: dict = {}    # the encoder of a Python worker, kept with its caches from task to task
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,75 +49,91 @@ class Bpe:
         self.ranks = ranks
         self.find = regex.compile(pattern).findall
         self.tokens = {r: t for t, r in ranks.items()}
+        self.bytes = [ranks.get(bytes([b]), -1) for b in range(256)]
+        # (left rank, right rank) -> rank of the joined token, for every way to cut a token in two
+        self.pairs = {ranks[t[:k]] << 32 | ranks[t[k:]]: r for t, r in ranks.items() for k in range(1, len(t))
+                      if t[:k] in ranks and t[k:] in ranks}
         self.low = [0] * (max(ranks.values(), default=0) // _WORD + 1)  # bit per rank
-        self.buckets: dict[int, list[int]] = {}
+        self.buckets: dict = {}  # rank -> its position, or a heap of them
         self.pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one pre-token's bytes."""
-        ranks = self.ranks
-        whole = ranks.get(data)
+        whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
         n = len(data)
-        part = [data[i:i + 1] for i in range(n)]
+        low, buckets, pair, high = self.low, self.buckets, self.pairs.get, 0
+        part = [self.bytes[b] for b in data]
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        want = [ranks.get(data[i:i + 2]) for i in range(n - 1)] + [None]  # rank of the pair that starts here
-        low, buckets, high = self.low, self.buckets, 0
+        want = [pair(a << 32 | b) for a, b in zip(part, part[1:])]  # rank of the pair that starts here
+        want.append(None)
         for i, r in enumerate(want):
             if r is not None:
-                if r in buckets:
-                    buckets[r].append(i)  # ascending positions are a heap already
+                if r not in buckets:
+                    buckets[r] = i
+                    low[r >> 8] |= 1 << (r & 255)
+                    high |= 1 << (r >> 8)
+                elif type(buckets[r]) is int:
+                    buckets[r] = [buckets[r], i]
                 else:
-                    buckets[r] = [i]
-                    low[r // _WORD] |= 1 << r % _WORD
-                    high |= 1 << r // _WORD
+                    buckets[r].append(i)  # ascending positions are a heap already
         while high:
             w = (high & -high).bit_length() - 1
             word = low[w]
-            r = w * _WORD + (word & -word).bit_length() - 1
-            bucket = buckets[r]
-            i = heapq.heappop(bucket)
-            if not bucket:
+            r = (w << 8) + (word & -word).bit_length() - 1
+            i = buckets[r]
+            if type(i) is int:
                 del buckets[r]
-                low[w] = word & (word - 1)
-                if not low[w]:
+            else:
+                heap, i = i, heapq.heappop(i)
+                if not heap:
+                    del buckets[r]
+            if r not in buckets:
+                low[w] = word = word & (word - 1)
+                if not word:
                     high &= high - 1
             if want[i] != r:
                 continue  # stale
             j = after[i]
-            part[i] += part[j]
+            part[i] = r
             k = after[i] = after[j]
             want[j] = None
+            h = before[i]
             if k < n:
                 before[k] = i
-            changed = [(i, ranks.get(part[i] + part[k]) if k < n else None)]
-            h = before[i]
-            if h >= 0:
-                changed.append((h, ranks.get(part[h] + part[i])))
+                changed = ((i, pair(r << 32 | part[k])), (h, pair(part[h] << 32 | r) if h >= 0 else None))
+            else:
+                changed = ((i, None), (h, pair(part[h] << 32 | r) if h >= 0 else None))
             for at, rank in changed:
+                if at < 0:
+                    continue
                 want[at] = rank
                 if rank is not None:
-                    if rank in buckets:
-                        heapq.heappush(buckets[rank], at)
+                    if rank not in buckets:
+                        buckets[rank] = at
+                        low[rank >> 8] |= 1 << (rank & 255)
+                        high |= 1 << (rank >> 8)
+                    elif type(buckets[rank]) is int:
+                        first = buckets[rank]
+                        buckets[rank] = [first, at] if first < at else [at, first]
                     else:
-                        buckets[rank] = [at]
-                        low[rank // _WORD] |= 1 << rank % _WORD
-                        high |= 1 << rank // _WORD
+                        heapq.heappush(buckets[rank], at)
         out, i = [], 0
         while i < n:
-            out.append(ranks[part[i]])
+            out.append(part[i])
             i = after[i]
         return out
 
     def _part(self, match: str) -> bytes:
         got = self.parts.get(match)
         if got is None:
-            got = np.array(self.merge(match.encode("utf-8")), dtype="<u4").tobytes()
+            ids = self.merge(match.encode("utf-8"))
+            got = struct.pack(f"<{len(ids)}I", *ids)
             if len(match) <= CACHE_CHARS:
-                if len(self.parts) >= CACHE:
+                if len(self.parts) >= PARTS:
                     self.parts.clear()
                 self.parts[match] = got
         return got
@@ -122,7 +141,7 @@ class Bpe:
     def _piece(self, piece: str) -> bytes:
         got = b"".join([self._part(m) for m in self.find(piece)])
         if len(piece) <= CACHE_CHARS:
-            if len(self.pieces) >= CACHE:
+            if len(self.pieces) >= PIECES:
                 self.pieces.clear()
             self.pieces[piece] = got
         return got
@@ -148,6 +167,15 @@ class Bpe:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
+def _encoder(ranks, pattern: str) -> Bpe:
+    """The worker's encoder for a broadcast vocabulary."""
+    key = (hashlib.sha256(repr(sorted(ranks.value.items())).encode()).hexdigest(), pattern)
+    if key not in _SHARED:
+        _SHARED.clear()
+        _SHARED[key] = Bpe(ranks.value, pattern)
+    return _SHARED[key]
+
+
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row; with ``keep_ids`` also the ids."""
     spark = docs.sparkSession
@@ -156,7 +184,7 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: bool
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids
 
     def run(batches):
-        bpe = Bpe(ranks.value, pattern)
+        bpe = _encoder(ranks, pattern)
         for b in batches:
             rows = [[], [], [], []]
             arrays = []
