@@ -26,6 +26,7 @@ from agrolens.llm.common import write_scratch
 SHARDS = 24
 SEED = 20_240_607
 BUCKET_BYTES = 16 << 20  # UTF-8 bytes of text in a bucket, so that one fits a worker's memory
+MIN_BUCKETS = 240        # so that a small table still spreads over many tasks
 
 
 def fisher_yates(n: int, seed) -> np.ndarray:
@@ -46,7 +47,7 @@ def _sized(df: DataFrame) -> DataFrame:
 
 def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     total = _sized(df).agg(F.sum("__size")).first()[0] or 0
-    return max(1, -(-total // bucket_bytes))
+    return max(MIN_BUCKETS, -(-total // bucket_bytes))
 
 
 def place(df: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
