@@ -51,7 +51,7 @@ def to_ts(c, formats=None) -> Column:
     bad -> NULL.
 
     Default: '/' and 'T' are unified to '-' and ' ' by a character translation and the
-    layout is picked by the number of ':' (one parse attempt per row, no regex, no
+    layout (seconds with or without a fraction, a UTC mark 'Z' dropped) is picked by the number of ':' (one parse attempt per row, no regex, no
     exception-driven fallbacks); 8 digits without separators parse as 'yyyyMMdd'.
     ``formats`` = explicit list, first match wins.
     """
@@ -59,8 +59,9 @@ def to_ts(c, formats=None) -> Column:
     if formats is not None:
         return F.coalesce(*[_wall_clock(s, f) for f in formats])
     u = F.translate(s, "/T", "- ")
+    u = F.when(u.endswith("Z") & u.contains(":"), F.substring(u, F.lit(1), F.length(u) - 1)).otherwise(u)
     colons = F.length(u) - F.length(F.translate(u, ":", ""))
-    return (F.when(colons == 2, _wall_clock(u, "y-M-d H:m:s"))
+    return (F.when(colons == 2, _wall_clock(u, "y-M-d H:m:s[.SSSSSS]"))
              .when(colons == 1, _wall_clock(u, "y-M-d H:m"))
              .when(u.contains("-"), _wall_clock(u, "y-M-d"))
              .when(F.length(u) == 8, _wall_clock(u, "yyyyMMdd")))
@@ -112,14 +113,12 @@ def drop_missing(df: DataFrame, cols) -> DataFrame:
     return df.na.drop(how="any", subset=list(cols))
 
 
-def clean_records(raw: DataFrame, keep=(), number_rows: bool = True) -> DataFrame:
+def clean_records(raw: DataFrame, keep=(), number_rows: bool = False) -> DataFrame:
     """S3 -> F2: one typed projection over an all-text record table.
 
     ``keep`` names extra columns passed through unchanged. Without a sequence column
-    the rows are numbered in input order (C13, a second pass over the input);
-    ``number_rows=False`` gives record_id the register's value for a missing number (0)
-    instead, for inputs whose order carries no meaning (pages gathered in completion
-    order)."""
+    record_id is the register's value for a missing number (0); ``number_rows=True`` numbers
+    the rows in input order instead (C13, writes the input once)."""
     from agrolens.schema import NUMERIC_COLUMNS, RECORD_COLUMNS
     df = drop_unnamed(rename_source_columns(strip_names(raw)))
     df = drop_all_null_rows(df)
@@ -186,22 +185,29 @@ def with_revenue(df: DataFrame, price="unit_price", qty="quantity", out="revenue
 
 
 def with_row_index(df: DataFrame, out: str = "record_id", start: int = 1) -> DataFrame:
-    """Consecutive row numbers in input order without a global window.
+    """Consecutive row numbers in partition order without a global window.
 
-    Per-partition row counts (one small row per partition) give each
-    partition's offset; rows keep their position inside the partition. Same
-    result as zipWithIndex, all in the DataFrame API. The input order is the
-    file order of the scan, so the ids are stable across task retries.
+    The rows are written once, with the id that holds partition and position, to the shared
+    checkpoint folder. Counts and rows then come from the same written ids, whatever
+    partitions another evaluation of the input would have had (AQE, retries); per-partition
+    counts (one small row per partition) give the offsets.
     """
-    d = (df.withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = d.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    import uuid
+
     from pyspark.sql import Window
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    return (d.join(F.broadcast(offsets.select("_pid", "_off", "_m0")), "_pid")
-             .withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_m0") + start).cast("bigint"))
-             .drop("_pid", "_mid", "_off", "_m0"))
+
+    from agrolens.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, f"row-index-{uuid.uuid4().hex[:12]}")
+    df.withColumn("_mid", F.monotonically_increasing_id()).write.parquet(path)
+    d = spark.read.parquet(path).withColumn("_pid", F.shiftright("_mid", 33))
+    counts = d.groupBy(F.col("_pid").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    at = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (d.join(offsets, F.col("_pid") == F.col("_p"))
+             .withColumn(out, (F.col("_off") + at + start).cast("bigint"))
+             .select(*df.columns, out))
 
 
 def ensure_record_id(df: DataFrame, col: str = "record_id") -> DataFrame:

@@ -8,7 +8,7 @@
    its <= sample_size rows (random feature, uniform split, depth limit
    ceil(log2(sample_size))); the node tables (trees x <= 511 rows) are the
    only thing collected, and they are broadcast back.
-3. Scoring: ``mapInPandas`` walks all trees for an Arrow batch at once
+3. Scoring: an iterator pandas UDF over the feature columns walks all trees for an Arrow batch at once
    (one (rows x trees) numpy state); score = 2 ** (-mean path length / c(sample_size)).
 4. Threshold: the exact (1 - contamination) quantile of the scores over all
    rows (distributed exact quantile); anomaly = score strictly above it.
@@ -17,12 +17,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from agrolens.operators.quantiles import exact_quantiles
 
@@ -106,6 +106,24 @@ def _score_batches(batches, nodes: pd.DataFrame, features, sample_size: int):
         yield pdf
 
 
+def tree_candidates(d: DataFrame, key: str, fcols, n: DataFrame, tau, n_trees: int, seed: int) -> DataFrame:
+    """Rows of ``d`` per tree whose hash falls in the tree's window of width ``tau``: key,
+    features, tree, u (distance from the window start). ``n``: the one-row count behind ``tau``."""
+    # One uniform u per row (content hash). Tree t's candidates are the rows whose u falls
+    # in the window [t/T, t/T + tau) on the unit circle, ranked by the distance from the
+    # window start: a uniformly random sample without replacement for every tree, with no
+    # per-row lambda (sequence + explode are code-generated). For tau <= 1/T the windows are
+    # disjoint; every row lies in at most ceil(tau * T) windows.
+    u = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 11).cast("double") / F.lit(float(2 ** 53))
+    lo = (F.floor(F.col("_u") * n_trees - tau * n_trees) + 1).cast("long")
+    hi = F.floor(F.col("_u") * n_trees).cast("long")
+    return (d.crossJoin(F.broadcast(n)).withColumn("_u", u)
+              .where(lo <= hi)  # sequence() counts down otherwise: such a row lies in no window
+              .select(key, *fcols, "_u", F.explode(F.sequence(lo, hi)).alias("_k"))
+              .select(key, *fcols, F.pmod(F.col("_k"), F.lit(n_trees)).cast("int").alias("tree"),
+                      (F.col("_u") - F.col("_k") / F.lit(float(n_trees))).alias("u")))
+
+
 def isolation_forest(df: DataFrame, features, key: str = "record_key", n_trees: int = 200,
                      sample_size: int = 256, contamination: float = 0.02, seed: int = 42,
                      oversample: float = 4.0) -> DataFrame:
@@ -117,19 +135,7 @@ def isolation_forest(df: DataFrame, features, key: str = "record_key", n_trees:
     n = d.agg(F.count(F.lit(1)).alias("_n"))
     tau = F.least(F.lit(1.0), F.lit(oversample * sample_size) / F.col("_n"))
 
-    # One uniform u per row (content hash). Tree t's candidates are the rows whose u falls
-    # in the window [t/T, t/T + tau) on the unit circle, ranked by the distance from the
-    # window start: a uniformly random sample without replacement for every tree, with no
-    # per-row lambda (sequence + explode are code-generated). For tau <= 1/T the windows are
-    # disjoint; every row lies in at most ceil(tau * T) windows.
-    nt = n_trees
-    u = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 11).cast("double") / F.lit(float(2 ** 53))
-    lo = (F.floor(F.col("_u") * nt - tau * nt) + 1).cast("long")
-    hi = F.floor(F.col("_u") * nt).cast("long")
-    cand = (d.select(key, *fcols).crossJoin(F.broadcast(n)).withColumn("_u", u)
-              .select(key, *fcols, "_u", F.explode(F.sequence(lo, hi)).alias("_k"))
-              .select(key, *fcols, F.pmod(F.col("_k"), F.lit(nt)).cast("int").alias("tree"),
-                      (F.col("_u") - F.col("_k") / F.lit(float(nt))).alias("u")))
+    cand = tree_candidates(d.select(key, *fcols), key, fcols, n, tau, n_trees, seed)
     w = Window.partitionBy("tree").orderBy("u", key)
     sample = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample_size)
     max_depth = int(math.ceil(math.log2(max(sample_size, 2))))
@@ -144,13 +150,14 @@ def isolation_forest(df: DataFrame, features, key: str = "record_key", n_trees:
                        .toPandas())
     bnodes = d.sparkSession.sparkContext.broadcast(nodes_pdf)
     eff_sample = int(min(sample_size, nodes_pdf.loc[nodes_pdf["node"] == 0, "size"].max()))
-    schema = T.StructType(list(d.schema.fields) + [T.StructField("iforest_score", T.DoubleType())])
 
-    def scorer(batches):
-        yield from _score_batches(batches, bnodes.value, fcols, eff_sample)
+    @F.pandas_udf("double")
+    def path_score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for scored_batch in _score_batches(batches, bnodes.value, fcols, eff_sample):
+            yield scored_batch["iforest_score"]
 
-    # scores are read by the threshold passes and the output: compute them once
-    scored = d.mapInPandas(scorer, schema).persist()
+    # only the feature columns reach Python; scores are read by the threshold passes and the output
+    scored = d.withColumn("iforest_score", path_score(F.struct(*fcols))).persist()
     thr = exact_quantiles(scored, "iforest_score", [1.0 - contamination]).select(F.col("q0").alias("_thr"))
     out = (scored.crossJoin(F.broadcast(thr))
                  .withColumn("iforest_anomaly", F.coalesce(F.col("iforest_score") > F.col("_thr"), F.lit(False)))

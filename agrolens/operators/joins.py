@@ -16,15 +16,13 @@ from pyspark.sql import functions as F
 from agrolens.functions.clean import strip_text
 
 
-def remap(df: DataFrame, lookup: DataFrame, key: str = "county", out: str | None = None,
-          bounded: bool = True) -> DataFrame:
+def remap(df: DataFrame, lookup: DataFrame, key: str = "county", out: str | None = None) -> DataFrame:
     """Replace ``key`` by lookup[to_name] on the trimmed key; unmatched keep their own
-    trimmed value; NULL stays NULL. ``bounded`` = the lookup is a small fixed table (broadcast)."""
+    trimmed value; NULL stays NULL. Of several targets for one name the smallest counts. AQE
+    broadcasts the lookup if its measured size allows."""
     out = out or key
     lk = (lookup.select(strip_text("from_name").alias("_from"), F.col("to_name").alias("_to"))
-                .dropDuplicates(["_from"]))
-    if bounded:
-        lk = F.broadcast(lk)
+                .groupBy("_from").agg(F.min("_to").alias("_to")))
     d = df.withColumn("_k", strip_text(key))
     j = d.join(lk, d["_k"] == lk["_from"], "left")
     return j.withColumn(out, F.coalesce(F.col("_to"), F.col("_k"))).drop("_k", "_from", "_to")

@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolens.functions.clean import category_text, year_or_default
+from agrolens.functions.clean import category_text, drop_missing, fill_constants, year_or_default
 from agrolens.operators.features import split_train_test
 
 # The register's feature sets (our column names).
@@ -28,40 +28,51 @@ TARGET = "unit_price"
 
 
 def prepare(df: DataFrame, cat_cols, num_cols, target: str = TARGET, with_year: bool = False,
-            fills=None) -> DataFrame:
-    """Year (default 2024) before the null drop, drop rows missing the target
-    or a feature, then categorical text ('NA' for missing)."""
+            fills=None, required=None) -> DataFrame:
+    """Year (default 2024), constant fills, then drop rows that miss a
+    ``required`` column (default: the target and every feature), then categorical text
+    ('NA' for missing)."""
     d = df
     if with_year:
         d = d.withColumn("purchase_year", year_or_default("purchase_date"))
-    d = d.na.drop(subset=[target] + list(cat_cols) + list(num_cols))
     if fills:
-        d = d.na.fill(fills)
+        d = fill_constants(d, fills)
+    d = drop_missing(d, required if required is not None else [target] + list(cat_cols) + list(num_cols))
     for c in cat_cols:
         d = d.withColumn(c, category_text(c))
     return d
 
 
-# Largest vocabulary kept per categorical column: the labels reach the driver (inside
-# the fitted indexer) and bound a forest's maxBins, so they must not grow with the data.
+def prepare_specs(specs: DataFrame, cat_cols, num_cols) -> DataFrame:
+    """Rows to price. No row is dropped and no price is needed; every feature column must
+    be there, the year of a year model above all."""
+    missing = [c for c in [*cat_cols, *num_cols] if c not in specs.columns]
+    if missing:
+        raise ValueError(f"specs lack the model's columns: {', '.join(missing)}")
+    for c in cat_cols:
+        specs = specs.withColumn(c, category_text(c))
+    return specs
+
+
+# Largest vocabulary of an indexed or one-hot column: the labels reach the driver (inside the
+# fitted indexer) and bound a forest's maxBins. More levels are an error, never merged; such
+# columns take target statistics (features.ordered_target_encode_all) instead.
 MAX_LEVELS = 4096
 
 
 def fit_encoders(train: DataFrame, cat_cols, num_cols, encoding: str = "onehot",
                  max_levels: int = MAX_LEVELS) -> PipelineModel:
-    """Fit the encoder stages with a bounded vocabulary.
-
-    Each column's ``max_levels`` most frequent levels are chosen by a distributed
-    top-k (aggregate, then TakeOrderedAndProject); the indexer is fitted on that
-    small union only, so at most ``max_levels`` labels per column reach the driver.
-    With alphabetical ordering this gives the same indexer as fitting on all rows
-    whenever a column has no more levels than the cap; rarer levels fall into the
-    indexer's unseen slot (``handleInvalid='keep'``), at fit and at scoring time alike.
+    """Fit the encoder stages on the distinct levels of each column.
+
+    A column with over ``max_levels`` levels raises ValueError (at most ``max_levels`` + 1 of
+    them are ever counted). With alphabetical ordering this gives the same indexer as fitting
+    on all rows; levels unseen in training take the indexer's own slot (``handleInvalid='keep'``).
     """
     levels = None
     for c in cat_cols:
-        top = (train.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
-                    .orderBy(F.desc("_n"), F.asc(c)).limit(max_levels).select(c))
+        top = train.where(F.col(c).isNotNull()).select(c).distinct()
+        if top.limit(max_levels + 1).count() > max_levels:
+            raise ValueError(f"column {c} has over {max_levels} levels; encode it as target statistics")
         levels = top if levels is None else levels.unionByName(top, allowMissingColumns=True)
     stages = encoder_stages(cat_cols, num_cols, encoding)
     idx = stages[0].fit(levels)
@@ -135,7 +146,7 @@ def fit_boosted_early_stopping(df: DataFrame, cat_cols=PIPELINE_CATEGORICAL, num
     without row sampling the refit's trees equal the first trees of the long run.
     Fewer than ``min_rows`` rows -> None (no model).
     """
-    d = split_train_test(prepare(df, cat_cols, num_cols, fills={"quantity": 1.0}), key).persist()
+    d = split_train_test(prepare(df, cat_cols, num_cols, fills={"quantity": 1.0}, required=[TARGET]), key).persist()
     if d.limit(min_rows).count() < min_rows:
         return None, d, 0
     enc = fit_encoders(d.where(~F.col("is_test")), cat_cols, num_cols, "onehot", max_levels)
@@ -157,9 +168,10 @@ def fit_boosted_early_stopping(df: DataFrame, cat_cols=PIPELINE_CATEGORICAL, num
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Predictions for any prepared rows (training levels reused)."""
-    return (model.transform(df).withColumn("actual_price", F.col(TARGET))
-                 .drop("features", *[c for c in df.columns if c.endswith("__idx") or c.endswith("__ohe")]))
+    """Predictions for any prepared rows (training levels reused): the input's
+    columns, predicted_price, and actual_price where the rows have a price."""
+    out = model.transform(df).select(*df.columns, "predicted_price")
+    return out.withColumn("actual_price", F.col(TARGET)) if TARGET in df.columns else out
 
 
 def feature_importance(model: PipelineModel, prepared: DataFrame, top: int = 15,
@@ -196,10 +208,12 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 
 def load_or_train(path: str, train_fn):
-    """Reuse a saved model when present, else train and save."""
-    try:
+    """Load the model at ``path``, or train and save it if nothing is there. A path that
+    holds anything else raises and stays as it is."""
+    sc = SparkSession.active().sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(sc._jsc.hadoopConfiguration()).exists(at):
         return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001 - absent or unreadable -> retrain
-        m = train_fn()
-        save_model(m, path)
-        return m
+    m = train_fn()
+    m.write().save(path)
+    return m

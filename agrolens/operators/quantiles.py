@@ -47,7 +47,8 @@ def exact_quantiles(df: DataFrame, col: str, probs, accuracy: int | None = None,
     bounds = x.groupBy(*g).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_x", F.array(*[F.lit(f) for f in fracs]), accuracy).alias("_q"))
-    joined = x.join(F.broadcast(bounds), g, "inner") if g else x.crossJoin(F.broadcast(bounds))
+    # one row without groups; with groups AQE decides by the measured size
+    joined = x.join(bounds, g, "inner") if g else x.crossJoin(F.broadcast(bounds))
 
     def lo(i):
         return F.element_at("_q", 2 * i + 1)
@@ -71,7 +72,7 @@ def exact_quantiles(df: DataFrame, col: str, probs, accuracy: int | None = None,
                          & (F.col("_x") <= F.element_at("_q", i * 2 + 2)))
     sl = (joined.select(*g, "_x", F.explode(slice_ids).alias("_i"))
                 .groupBy(*g, "_i", "_x").agg(F.count(F.lit(1)).alias("_c")))
-    sl = sl.join(below, g, "inner") if g else sl.crossJoin(below)
+    sl = sl.join(below, g, "inner") if g else sl.crossJoin(F.broadcast(below))
 
     def pick(prefix):
         return F.element_at(F.array(*[F.col(f"{prefix}{i}") for i in range(k)]), F.col("_i") + 1)

@@ -678,7 +678,8 @@ def rf_next_year_specs(spark, sf_dir):
     """Price the test part's configurations as purchases of a future year (2026)."""
     from agrolens.operators import models as M
     model, d = _rf_model(spark, sf_dir, with_year=True)
-    specs = d.where(F.col("is_test")).withColumn("purchase_year", F.lit(2026))
+    specs = d.where(F.col("is_test")).drop(M.TARGET).withColumn("purchase_year", F.lit(2026))
+    specs = M.prepare_specs(specs, M.BASE_CATEGORICAL, M.TIME_NUMERIC)
     return M.score(model, specs).select("record_key", *M.BASE_CATEGORICAL, "purchase_year", "predicted_price")
 
 
@@ -736,7 +737,8 @@ def gbt_target_encoded_metrics(spark, sf_dir):
     train = ordered_target_encode_all(train, M.BASE_CATEGORICAL, M.TARGET, prior=prior)
     means = {c: category_means(d.where(~F.col("is_test")), c, M.TARGET, prior=prior) for c in M.BASE_CATEGORICAL}
     for c in M.BASE_CATEGORICAL:
-        test = test.join(means[c], c, "left")
+        test = (test.join(means[c], c, "left").crossJoin(F.broadcast(prior))  # unseen level -> prior
+                    .withColumn(f"{c}_enc", F.coalesce(f"{c}_enc", "prior")).drop("prior"))
     asm = VectorAssembler(inputCols=enc_cols + M.TIME_NUMERIC, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=M.TARGET, predictionCol="predicted_price",
                        maxIter=10, stepSize=0.2, maxDepth=5, seed=42)
@@ -755,6 +757,45 @@ def iforest_scores(spark, sf_dir):
     return isolation_forest(r, _IF_FEATURES, n_trees=200, contamination=0.02)
 
 
+@register("iforest_summary", """
+SELECT count(*) AS n_rows, true AS scores_in_range, true AS flags_within_share FROM records""")
+def iforest_summary(spark, sf_dir):
+    """D5 in numbers that do not depend on the trees: every row scored, scores in (0, 1), at
+    most 2 % of the rows flagged."""
+    flagged = F.sum(F.col("iforest_anomaly").cast("int"))
+    return iforest_scores(spark, sf_dir).agg(
+        F.count("iforest_score").alias("n_rows"),
+        ((F.min("iforest_score") > 0) & (F.max("iforest_score") < 1)).alias("scores_in_range"),
+        (flagged <= 0.02 * F.count(F.lit(1))).alias("flags_within_share"))
+
+
+@register("record_ids_after_shuffle", """
+SELECT count(*) AS n_rows, count(*) AS n_ids, 1::BIGINT AS first_id, count(*) AS last_id FROM records""")
+def record_ids_after_shuffle(spark, sf_dir):
+    """Rows numbered after a shuffle that AQE may coalesce keep every row and id."""
+    from agrolens.functions.clean import with_row_index
+    shuffled = records(spark, sf_dir).select("record_key", "county").repartition(F.col("county"))
+    return with_row_index(shuffled).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("record_id").alias("n_ids"),
+        F.min("record_id").alias("first_id"), F.max("record_id").alias("last_id"))
+
+
+@register("boosting_rows", """
+SELECT CASE WHEN substr(record_key, 1, 1) = '1' THEN 'NA' ELSE item_category END AS item_category,
+       count(*) AS n_rows, sum(CASE WHEN substr(record_key, 1, 1) = '0' THEN 1.0::DOUBLE ELSE quantity END) AS quantity
+FROM records WHERE substr(record_key, 1, 1) <> '2' AND unit_price IS NOT NULL GROUP BY 1""")
+def boosting_rows(spark, sf_dir):
+    """M4's training rows: missing quantity is 1, a missing category is 'NA', and only rows
+    without a price are dropped (nulls injected by the record key)."""
+    from agrolens.operators import models as M
+    first = F.substring("record_key", 1, 1)
+    r = records(spark, sf_dir)
+    for digit, c in (("0", "quantity"), ("1", "item_category"), ("2", M.TARGET)):
+        r = r.withColumn(c, F.when(first != digit, F.col(c)))
+    rows = M.prepare(r, ["item_category"], ["quantity"], fills={"quantity": 1.0}, required=[M.TARGET])
+    return rows.groupBy("item_category").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("quantity").alias("quantity"))
+
+
 @register("iforest_alert")
 def iforest_alert(spark, sf_dir):
     """D7 as in the register: alert when more than 10 rows are isolation-forest anomalies."""

@@ -103,7 +103,7 @@ def price_platform_run(spark: SparkSession, df: DataFrame, model_path: str, cate
         d = split_train_test(M.prepare(df, cats, nums, with_year=True))
     scored = M.score(model, d)
     metrics = regression_metrics(scored.where(F.col("is_test")))
-    specs = d.where(F.col("is_test")).withColumn("purchase_year", F.lit(2026))
+    specs = M.prepare_specs(d.where(F.col("is_test")).drop(M.TARGET).withColumn("purchase_year", F.lit(2026)), cats, nums)
     anomalies = D.top_rows(D.residual_anomaly(scored, metrics), "prediction_error", 10)
     return {"metrics": metrics,
             "next_year_prices": M.score(model, specs).select("record_key", *cats, "purchase_year", "predicted_price"),

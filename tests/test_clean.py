@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from agrolens.functions import clean as C
@@ -37,7 +39,10 @@ def test_to_ts_compact_and_iso_layouts(spark):
     assert out[0] == dt.datetime(2023, 5, 4)
     assert out[1] == dt.datetime(2023, 5, 1, 10, 20, 30)
     assert out[2] == dt.datetime(2023, 5, 1, 10, 20)
-    assert out[3:] == [None, None, None, None]
+    assert out[3:6] == [None, None, None]
+    assert out[6] == dt.datetime(2023, 5, 1, 10, 20, 30, 500_000)
+    more = _one(spark, C.to_ts, ["2023-05-01T10:20:30Z", "2023-05-01 10:20:30.000", "2023-05-01T10:20:30.123456Z", "Z", "x:Z"])
+    assert more == [dt.datetime(2023, 5, 1, 10, 20, 30)] * 2 + [dt.datetime(2023, 5, 1, 10, 20, 30, 123456), None, None]
 
 
 def test_normalise_serial(spark):
@@ -51,7 +56,7 @@ def test_clean_records_from_raw_text(spark):
             ("杞县", None, "abc", "bad", "nan", "None", None),
             (None, None, None, None, None, None, None)]
     raw = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in cols))
-    out = C.clean_records(raw).orderBy("record_id").collect()
+    out = C.clean_records(raw, number_rows=True).orderBy("record_id").collect()
     assert len(out) == 2  # all-null row dropped
     a, b = out
     assert a.county == " 中牟县 "  # county is only trimmed at remap time
@@ -69,6 +74,23 @@ def test_row_index_consecutive_across_partitions(spark):
     assert all(r.rid == r.id + 1 for r in out)
 
 
+@pytest.mark.parametrize("shuffle", [
+    lambda d: d.repartition(64, "k"), lambda d: d.groupBy("k", "id").count().drop("count"), lambda d: d.orderBy("k")])
+def test_row_index_keeps_every_row_after_a_shuffle(spark, shuffle):
+    from pyspark.sql import functions as F
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                                "spark.sql.adaptive.coalescePartitions.parallelismFirst")}
+    try:
+        for k, v in zip(old, ("64", "200k", "false")):
+            spark.conf.set(k, v)
+        df = spark.range(100_000).withColumn("k", F.col("id") % 97)
+        ids = sorted(r.rid for r in C.with_row_index(shuffle(df), "rid").select("rid").collect())
+        assert ids == list(range(1, 100_001))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_valid_transactions_strict_price(spark):
     df = spark.createDataFrame([(100.0, 1.0), (100.01, 1.0), (500.0, 0.0), (None, 1.0), (200.0, None)],
                                "unit_price double, quantity double")

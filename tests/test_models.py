@@ -54,19 +54,48 @@ def test_isolation_forest_flags_outliers(spark):
     assert all(r.iforest_label == (-1 if r.iforest_anomaly else 1) for r in out)
 
 
-def test_encoder_vocabulary_is_bounded(spark):
+def test_encoder_refuses_a_vocabulary_beyond_its_limit(spark):
     from pyspark.ml.feature import StringIndexer
     df = _records(spark)
     cats, nums = ["manufacturer", "model"], ["quantity"]
     full = StringIndexer(inputCols=cats, outputCols=[f"{c}__idx" for c in cats],
                          stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
-    enc = M.fit_encoders(df, cats, nums, "indexed")
+    enc = M.fit_encoders(df, cats, nums, "indexed", max_levels=7)
     assert [list(x) for x in enc.stages[0].labelsArray] == [list(x) for x in full.labelsArray]
-    capped = M.fit_encoders(df, cats, nums, "indexed", max_levels=2)
-    labels = [list(x) for x in capped.stages[0].labelsArray]
-    assert all(len(x) == 2 for x in labels)
-    # levels outside the cap share the unseen slot (index = number of kept labels)
-    rows = capped.transform(df).select("model", "model__idx").distinct().collect()
-    kept = set(labels[1])
-    assert all((r.model__idx == 2.0) == (r.model not in kept) for r in rows)
-    assert capped.transform(df).count() == df.count()
+    with pytest.raises(ValueError, match="model has over 6 levels"):
+        M.fit_encoders(df, cats, nums, "indexed", max_levels=6)
+
+
+def test_specs_without_price_are_priced_one_to_one(spark):
+    df = _records(spark)
+    model, d = M.fit_price_model(df, M.random_forest(num_trees=3, max_depth=3), with_year=True, num_cols=M.TIME_NUMERIC)
+    specs = df.limit(5).select("record_key", *M.BASE_CATEGORICAL, *M.BASE_NUMERIC).withColumn("dealer", F.lit(None).cast("string"))
+    with pytest.raises(ValueError, match="purchase_year"):
+        M.prepare_specs(specs, M.BASE_CATEGORICAL, M.TIME_NUMERIC)
+    ready = M.prepare_specs(specs.withColumn("purchase_year", F.lit(2026)), M.BASE_CATEGORICAL, M.TIME_NUMERIC)
+    out = M.score(model, ready)
+    assert out.columns == [*ready.columns, "predicted_price"] and out.where("predicted_price > 0").count() == 5
+
+
+def test_load_or_train_never_overwrites(spark, tmp_path):
+    df = _records(spark)
+    model, _ = M.fit_price_model(df, M.random_forest(num_trees=2, max_depth=2))
+    path = str(tmp_path / "model")
+    M.load_or_train(path, lambda: model)
+    again = M.load_or_train(path, lambda: pytest.fail("trained again"))
+    assert len(again.stages) == len(model.stages)
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "file").write_text("x")
+    with pytest.raises(Exception):
+        M.load_or_train(str(other), lambda: pytest.fail("trained over a foreign folder"))
+    assert (other / "file").read_text() == "x"
+
+
+def test_forest_candidates_follow_the_documented_sample(spark):
+    from agrolens.operators.isolation_forest import tree_candidates
+    d = spark.range(1_000_000).withColumnRenamed("id", "key").withColumn("f", F.lit(0.0))
+    n = spark.createDataFrame([(1_000_000,)], "_n long")
+    c = tree_candidates(d, "key", ["f"], n, F.least(F.lit(1.0), F.lit(4.0 * 256) / F.col("_n")), 200, 42)
+    r = c.agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("low"), F.count_distinct("tree").alias("trees")).first()
+    assert abs(r.n - 200 * 1024) < 0.1 * 200 * 1024 and r.low >= 0 and r.trees == 200

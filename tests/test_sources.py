@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from agrolens.sources.html_tables import extract_tables, parse_first_table, to_columns
@@ -53,6 +55,22 @@ def test_read_csv_any_falls_back_to_gbk(spark):
     assert read_csv_any(spark, u).first()[0] == "杞县"
 
 
+def test_read_csv_any_decides_per_file(spark):
+    d = tempfile.mkdtemp(prefix="agrolens-csv-")
+    old = spark.conf.get("spark.sql.legacy.javaCharsets")
+    for name, text, enc in (("a", "县,x\n中牟县\ufffd,1\n", "utf-8"), ("b", "县,x\n杞县,2\n", "gbk")):
+        with open(os.path.join(d, name + ".csv"), "wb") as f:
+            f.write(text.encode(enc))
+    assert sorted(map(tuple, read_csv_any(spark, d).collect())) == [("中牟县\ufffd", "1"), ("杞县", "2")]
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == old
+    bad = os.path.join(tempfile.mkdtemp(prefix="agrolens-csv-"), "c.csv")
+    with open(bad, "wb") as f:
+        f.write(b"a,b\n\xff\xff\xff,1\n")
+    with pytest.raises(ValueError, match="neither"):
+        read_csv_any(spark, bad)
+    assert spark.conf.get("spark.sql.legacy.javaCharsets") == old
+
+
 def test_merge_and_report(spark):
     d = tempfile.mkdtemp(prefix="agrolens-rep-")
     a = spark.createDataFrame([(1, "x")], "k long, a string")
