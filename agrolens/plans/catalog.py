@@ -717,34 +717,90 @@ def gbt_regularised_metrics(spark, sf_dir):
     return regression_metrics(M.score(model, d.where(F.col("is_test"))))
 
 
+def _target_encoded_sql() -> str:
+    """Ordered statistics of the training part, level means of it for the test part."""
+    from agrolens.operators.models import BASE_CATEGORICAL, TIME_NUMERIC
+    cats, nums = BASE_CATEGORICAL, TIME_NUMERIC
+    needed = " AND ".join(f"{c} IS NOT NULL" for c in [*cats, "quantity", "unit_subsidy", "unit_price"])
+    ordered = ", ".join(
+        f"(coalesce(sum(unit_price) OVER w_{c}, 0) + prior) / (count(unit_price) OVER w_{c} + 1) AS {c}_enc" for c in cats)
+    windows = ", ".join(
+        f"w_{c} AS (PARTITION BY {c} ORDER BY md5(record_key) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)" for c in cats)
+    means = ",\n".join(f"l_{c} AS (SELECT {c}, sum(unit_price) AS s, count(unit_price) AS n FROM p WHERE NOT is_test GROUP BY {c})"
+                       for c in cats)
+    joins = " ".join(f"LEFT JOIN l_{c} ON t.{c} = l_{c}.{c}" for c in cats)
+    looked_up = ", ".join(f"coalesce((l_{c}.s + prior) / (l_{c}.n + 1), prior) AS {c}_enc" for c in cats)
+    rounded = ", ".join(f"round_even({c}_enc, 4) AS {c}_enc" for c in cats)
+    return f"""
+WITH p AS (SELECT *, coalesce(year(purchase_date), 2024) AS the_year, {_BUCKET_SQL} >= 80 AS is_test
+           FROM records WHERE {needed}),
+pr AS (SELECT avg(unit_price) AS prior FROM p WHERE NOT is_test),
+{means},
+e AS (
+  SELECT * FROM (SELECT record_key, is_test, the_year, {ordered} FROM p, pr WHERE NOT is_test WINDOW {windows})
+  UNION ALL
+  SELECT t.record_key, true, t.the_year, {looked_up} FROM (SELECT * FROM p, pr WHERE is_test) t {joins})
+SELECT record_key, is_test, the_year AS purchase_year, {rounded} FROM e"""
+
+
+@register("target_encoded_rows", _target_encoded_sql())
+def target_encoded_rows(spark, sf_dir):
+    """M1/M6: the encoded feature rows that models are fitted on (train) and scored on (test)."""
+    from agrolens.operators import models as M
+    from agrolens.operators.target_model import encode_levels, encoded_rows
+    rows, train, levels, prior = encoded_rows(records(spark, sf_dir), M.BASE_CATEGORICAL, M.TIME_NUMERIC, with_year=True)
+    test = encode_levels(rows.where(F.col("is_test")), levels, M.BASE_CATEGORICAL, prior)
+    return train.unionByName(test).select(
+        "record_key", "is_test", F.col("purchase_year").cast("long").alias("purchase_year"),
+        *[F.bround(f"{c}_enc", 4).alias(f"{c}_enc") for c in M.BASE_CATEGORICAL])
+
+
+def _target_model(spark, sf_dir):
+    from pyspark.ml.regression import GBTRegressor
+
+    from agrolens.operators import models as M
+    from agrolens.operators.target_model import fit_target_model
+    k = ("target", spark.sparkContext.applicationId, sf_dir)
+    if k not in _MODEL_CACHE:
+        gbt = GBTRegressor(featuresCol="features", labelCol=M.TARGET, predictionCol="predicted_price",
+                           maxIter=10, stepSize=0.2, maxDepth=5, seed=42)
+        _MODEL_CACHE[k] = fit_target_model(records(spark, sf_dir), gbt, M.BASE_CATEGORICAL, M.TIME_NUMERIC, with_year=True)
+    return _MODEL_CACHE[k]
+
+
 @register("gbt_target_encoded_metrics")
 def gbt_target_encoded_metrics(spark, sf_dir):
-    """M6: categorical columns as ordered target statistics (train part), full-data means
-    of the train part at scoring, then boosting on the encoded numbers (smoke: 10 rounds)."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
+    """M6: boosting on target statistics, scored on the test part (smoke: 10 rounds)."""
+    from agrolens.operators.features import regression_metrics
+    model, d = _target_model(spark, sf_dir)
+    return regression_metrics(model.score(d.where(F.col("is_test"))))
+
+
+@register("target_model_checks", f"""
+SELECT count(*) AS n_specs, true AS saved_equals_fitted, true AS beats_the_mean
+FROM records WHERE {_BUCKET_SQL} >= 80 AND unit_price IS NOT NULL
+  AND county IS NOT NULL AND item_category IS NOT NULL AND manufacturer IS NOT NULL AND product_name IS NOT NULL
+  AND model IS NOT NULL AND dealer IS NOT NULL AND quantity IS NOT NULL AND unit_subsidy IS NOT NULL""")
+def target_model_checks(spark, sf_dir):
+    """Test rows without their price are priced one to one for 2026; the model that was
+    saved and loaded prices every row alike; its test error is below that of the mean price."""
+    import uuid
 
     from agrolens.operators import models as M
-    from agrolens.operators.features import (category_means, ordered_target_encode_all,
-                                             regression_metrics, split_train_test)
-    # only the key, features and target travel through the six encoding shuffles
-    d = split_train_test(M.prepare(records(spark, sf_dir), M.BASE_CATEGORICAL, M.TIME_NUMERIC,
-                                   with_year=True)
-                         .select("record_key", *M.BASE_CATEGORICAL, *M.TIME_NUMERIC, M.TARGET)).persist()
-    train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
-    enc_cols = [f"{c}_enc" for c in M.BASE_CATEGORICAL]
-    prior = train.agg(F.avg(M.TARGET).alias("prior"))
-    train = ordered_target_encode_all(train, M.BASE_CATEGORICAL, M.TARGET, prior=prior)
-    means = {c: category_means(d.where(~F.col("is_test")), c, M.TARGET, prior=prior) for c in M.BASE_CATEGORICAL}
-    for c in M.BASE_CATEGORICAL:
-        test = (test.join(means[c], c, "left").crossJoin(F.broadcast(prior))  # unseen level -> prior
-                    .withColumn(f"{c}_enc", F.coalesce(f"{c}_enc", "prior")).drop("prior"))
-    asm = VectorAssembler(inputCols=enc_cols + M.TIME_NUMERIC, outputCol="features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol=M.TARGET, predictionCol="predicted_price",
-                       maxIter=10, stepSize=0.2, maxDepth=5, seed=42)
-    model = gbt.fit(asm.transform(train))
-    scored = model.transform(asm.transform(test)).withColumn("actual_price", F.col(M.TARGET))
-    return regression_metrics(scored)
+    from agrolens.operators.target_model import load_target_model
+    from agrolens.session import scratch_path
+    model, d = _target_model(spark, sf_dir)
+    path = scratch_path(spark, "target-model-" + uuid.uuid4().hex[:12])
+    model.save(path)
+    test = d.where(F.col("is_test"))
+    specs = test.drop(M.TARGET).withColumn("purchase_year", F.lit(2026))
+    one = model.score(specs).select("record_key", F.col("predicted_price").alias("a"))
+    two = load_target_model(spark, path).score(specs).select(F.col("record_key").alias("k"), F.col("predicted_price").alias("b"))
+    same = one.join(two, F.col("record_key") == F.col("k"), "full").agg(
+        F.count("a").alias("n_specs"), F.min(F.coalesce(F.col("a") == F.col("b"), F.lit(False))).alias("saved_equals_fitted"))
+    error = model.score(test).agg((F.avg(F.abs(F.col("actual_price") - F.col("predicted_price")))
+                                   < F.avg(F.abs(F.col("actual_price") - model.prior))).alias("beats_the_mean"))
+    return same.crossJoin(F.broadcast(error))  # one row each
 
 
 _IF_FEATURES = ["unit_price", "unit_subsidy", "total_subsidy", "quantity"]
