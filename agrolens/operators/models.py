@@ -56,7 +56,7 @@ def prepare_specs(specs: DataFrame, cat_cols, num_cols) -> DataFrame:
 
 # Largest vocabulary of an indexed or one-hot column: the labels reach the driver (inside the
 # fitted indexer) and bound a forest's maxBins. More levels are an error, never merged; such
-# columns take target statistics (features.ordered_target_encode_all) instead.
+# columns take target statistics (operators/target_model.py) instead.
 MAX_LEVELS = 4096
 
 
@@ -207,13 +207,13 @@ def save_model(model: PipelineModel, path: str) -> str:
     return path
 
 
-def load_or_train(path: str, train_fn):
+def load_or_train(path: str, train_fn, load=PipelineModel.load, save=lambda model, path: model.write().save(path)):
     """Load the model at ``path``, or train and save it if nothing is there. A path that
     holds anything else raises and stays as it is."""
     sc = SparkSession.active().sparkContext
     at = sc._jvm.org.apache.hadoop.fs.Path(path)
     if at.getFileSystem(sc._jsc.hadoopConfiguration()).exists(at):
-        return PipelineModel.load(path)
+        return load(path)
     m = train_fn()
-    m.write().save(path)
+    save(m, path)
     return m

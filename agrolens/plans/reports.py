@@ -46,7 +46,7 @@ def monitoring_run(spark: SparkSession, df: DataFrame, outdir: str, fmt: str = "
     (the register's hand-over through storage). Returns {name: path} plus 'alert_count'."""
     from agrolens.operators.forecast import seasonal_forecast
     from agrolens.operators.isolation_forest import isolation_forest
-    from agrolens.operators.models import fit_boosted_early_stopping, score
+    from agrolens.operators.target_model import fit_boosted_target_model
 
     out = {}
 
@@ -63,9 +63,9 @@ def monitoring_run(spark: SparkSession, df: DataFrame, outdir: str, fmt: str = "
     put("price_zscore_results", D.zscore_global(df))
     feats = [c for c in ["unit_price", "unit_subsidy", "total_subsidy", "quantity"] if c in df.columns]
     put("iforest_results", isolation_forest(df, feats, n_trees=iforest_trees))
-    model, d, best = fit_boosted_early_stopping(df, max_iter=boost_rounds)
+    model, d, best = fit_boosted_target_model(df, max_iter=boost_rounds)
     if model is not None:
-        preds = score(model, d.where(F.col("is_test")))
+        preds = model.score(d.where(F.col("is_test")))
         put("price_model_test_preds",
             preds.select("record_key", "item_category", "manufacturer", "model", "township", "dealer",
                          "quantity", F.col("predicted_price").alias("pred"), F.col("actual_price").alias("actual")))
@@ -81,33 +81,31 @@ def monitoring_run(spark: SparkSession, df: DataFrame, outdir: str, fmt: str = "
 
 
 def price_platform_run(spark: SparkSession, df: DataFrame, model_path: str, category: str | None = None,
-                       num_trees: int = 100, max_depth: int = 10, top_n: int = 5,
-                       encoding: str = "indexed") -> dict:
+                       num_trees: int = 100, max_depth: int = 10, top_n: int = 5) -> dict:
     """§3.3: reuse a saved forest or train one (year feature), evaluate on the held-out part,
     price next-year specs, importances, residual anomalies over all rows, top performers."""
     from agrolens.operators import models as M
-    from agrolens.operators.features import regression_metrics
+    from agrolens.operators.features import regression_metrics, split_train_test
+    from agrolens.operators.target_model import TargetModel, fit_target_model, load_target_model
 
     cats, nums = M.BASE_CATEGORICAL, M.TIME_NUMERIC
     d = None
 
     def train():
         nonlocal d
-        m, d = M.fit_price_model(df, M.random_forest(num_trees, max_depth), cats, nums,
-                                 with_year=True, encoding=encoding)
+        m, d = fit_target_model(df, M.random_forest(num_trees, max_depth), cats, nums, with_year=True)
         return m
 
-    model = M.load_or_train(model_path, train)
+    model = M.load_or_train(model_path, train, load=lambda path: load_target_model(spark, path), save=TargetModel.save)
     if d is None:
-        from agrolens.operators.features import split_train_test
         d = split_train_test(M.prepare(df, cats, nums, with_year=True))
-    scored = M.score(model, d)
+    scored = model.score(d)
     metrics = regression_metrics(scored.where(F.col("is_test")))
-    specs = M.prepare_specs(d.where(F.col("is_test")).drop(M.TARGET).withColumn("purchase_year", F.lit(2026)), cats, nums)
+    specs = d.where(F.col("is_test")).drop(M.TARGET).withColumn("purchase_year", F.lit(2026))
     anomalies = D.top_rows(D.residual_anomaly(scored, metrics), "prediction_error", 10)
     return {"metrics": metrics,
-            "next_year_prices": M.score(model, specs).select("record_key", *cats, "purchase_year", "predicted_price"),
-            "feature_importance": M.feature_importance(model, d, 15),
+            "next_year_prices": model.score(specs).select("record_key", *cats, "purchase_year", "predicted_price"),
+            "feature_importance": model.importance(15),
             "residual_anomalies": anomalies.select("county", "item_category", "manufacturer", "dealer",
                                                    "actual_price", "predicted_price", "price_difference"),
             "top_performers": A.top_performers(df, n=top_n, category=category)}
