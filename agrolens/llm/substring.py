@@ -12,8 +12,10 @@ the input up to MAX_WIDTH_LOG2; a fuller sketch only lets more windows through t
 Pass 2 rereads the texts and keeps the windows whose minimiser is estimated at two or more.
 Consecutive windows with one minimiser form a packed row, dealt out by that minimiser; windows are
 then grouped exactly by (minimiser, window hash), 128 bits. A minimiser estimated over HOT
-occurrences is dealt out to SALTS groups in turn; each task resolves what it can and sends one
-row per distinct window to a second grouping, which thus sees SALTS rows a window at most.
+occurrences is dealt out to SALTS groups or more (a quarter of the tasks, so that a minimiser in
+every text fills no task); each task resolves what it can and sends one row per distinct window
+to a second grouping, which thus sees one row a window and group at most. The group follows from
+the row, the place and the input partition alone, so a retried task deals alike.
 
 The words covered by repeated windows are removed in a last join by row key.
 
@@ -30,6 +32,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +45,7 @@ DEPTH = 2                  # rows of the count-min sketch
 MAX_WIDTH_LOG2 = 26        # columns a row: bounds a sketch at DEPTH * 64 MB, its broadcast at a quarter of that
 SLICE_LOG2 = 20
 HOT = 200                  # estimated occurrences above which a minimiser is salted
-SALTS = 64
+SALTS = 64                 # groups at least that a hot minimiser is dealt out to
 PART_BYTES = 64 << 20     # packed windows that one task groups in memory
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd, so that they have inverses modulo 2^64
@@ -183,11 +186,11 @@ def _test(bitmap: np.ndarray, cells: list[np.ndarray]) -> np.ndarray:
 _PACKED = pa.schema([("m", pa.int64()), ("salt", pa.int32()), ("row", pa.int64()), ("at", pa.int32()), ("hashes", pa.binary())])
 
 
-def _candidates(shared, log2: int):
+def _candidates(shared, log2: int, salts: int):
     """Packed rows of windows whose minimiser may repeat: (m, salt, row, first window, hashes)."""
     def run(batches):
         twice, hot = shared.value
-        dealt = 0
+        here = TaskContext.get().partitionId()
         for b in batches:
             out = [[], [], [], [], []]
             for row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -203,8 +206,7 @@ def _candidates(shared, log2: int):
                     m = int(low[f].view(np.int64))
                     for a in range(f, e, SPAN):
                         out[0].append(m)
-                        out[1].append(1 + dealt % SALTS if h else 0)
-                        dealt += h
+                        out[1].append(1 + (row + a + here) % salts if h else 0)
                         out[2].append(row)
                         out[3].append(a)
                         out[4].append(window[a:min(e, a + SPAN)].tobytes())
@@ -256,13 +258,14 @@ def repeated_windows(rows: DataFrame, hot: int = HOT) -> DataFrame:
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     log2 = width_log2(chars)
     shared = spark.sparkContext.broadcast(sketch_bitmaps(rows, log2, hot))  # at most DEPTH * 2^MAX_WIDTH_LOG2 / 4 bytes
-    packed = rows.select("row", "text").mapInArrow(_candidates(shared, log2), "m long, salt int, row long, at int, hashes binary")
     # A window of about 6 characters takes 11 packed bytes at most; a task groups PART_BYTES of them.
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * chars // PART_BYTES)
+    packed = rows.select("row", "text").mapInArrow(
+        _candidates(shared, log2, max(SALTS, parts // 4)), "m long, salt int, row long, at int, hashes binary")
     found = write_scratch(packed.repartition(parts, "m", "salt")
                           .mapInArrow(_resolve, "m long, h long, row long, at int, mask int"), "substring-found")
     settled = found.where("mask <> 0").select("row", "at", "mask")
-    # At most SALTS + 1 rows for one (m, h): each salted group has sent one.
+    # One row for one (m, h) and salt at most: each salted group has sent one.
     late = (found.where("mask = 0").groupBy("m", "h").agg(F.collect_list(F.struct("row", "at")).alias("seen"))
             .where(F.size("seen") > 1).select(F.explode("seen").alias("w")).where("w.row is not null")
             .select("w.row", "w.at", F.lit(1).alias("mask")))
