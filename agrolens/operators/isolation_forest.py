@@ -18,10 +18,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from agrolens.operators.quantiles import exact_quantiles
@@ -124,18 +125,62 @@ def tree_candidates(d: DataFrame, key: str, fcols, n: DataFrame, tau, n_trees: i
                       (F.col("_u") - F.col("_k") / F.lit(float(n_trees))).alias("u")))
 
 
-def isolation_forest(df: DataFrame, features, key: str = "record_key", n_trees: int = 200,
-                     sample_size: int = 256, contamination: float = 0.02, seed: int = 42,
-                     oversample: float = 4.0) -> DataFrame:
-    """Adds iforest_score, iforest_label (-1 anomaly / 1 normal) and iforest_anomaly."""
+@dataclass
+class IsolationForestModel:
+    """D5, fitted: node table of all trees (trees x <= 511 rows) and the score threshold."""
+    features: list
+    nodes: pd.DataFrame
+    sample_size: int
+    threshold: float | None = None
+
+    def raw_scores(self, df: DataFrame) -> DataFrame:
+        """``df`` plus iforest_score; only the feature columns reach Python (NULL counts as 0)."""
+        bnodes = df.sparkSession.sparkContext.broadcast(self.nodes)
+        fcols = [f"__f{i}" for i in range(len(self.features))]
+        sample_size = self.sample_size
+
+        @F.pandas_udf("double")
+        def path_score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+            for scored_batch in _score_batches(batches, bnodes.value, fcols, sample_size):
+                yield scored_batch["iforest_score"]
+
+        return df.withColumn("iforest_score", path_score(F.struct(*_feature_columns(self.features))))
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """iforest_score, iforest_anomaly and iforest_label of every row, by the fitted threshold."""
+        return _flagged(self.raw_scores(df), F.lit(self.threshold))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Node table and settings. A path that holds a saved model raises."""
+        spark.createDataFrame([(self.features, self.sample_size, self.threshold)],
+                              "features array<string>, sample_size int, threshold double").coalesce(1).write.parquet(f"{path}/meta")
+        spark.createDataFrame(self.nodes, NODE_SCHEMA).write.parquet(f"{path}/nodes")
+
+
+def load_isolation_forest(spark: SparkSession, path: str) -> IsolationForestModel:
+    meta = spark.read.parquet(f"{path}/meta").first()
+    nodes = spark.read.parquet(f"{path}/nodes").orderBy("tree", "node").toPandas()  # bounded: trees x <= 511
+    return IsolationForestModel(list(meta["features"]), nodes, meta["sample_size"], meta["threshold"])
+
+
+def _feature_columns(features) -> list:
+    return [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"__f{i}") for i, c in enumerate(features)]
+
+
+def _flagged(scored: DataFrame, threshold) -> DataFrame:
+    return (scored.withColumn("iforest_anomaly", F.coalesce(F.col("iforest_score") > threshold, F.lit(False)))
+                  .withColumn("iforest_label", F.when(F.col("iforest_anomaly"), -1).otherwise(1)))
+
+
+def _grow_forest(df: DataFrame, features, key: str, n_trees: int, sample_size: int, seed: int,
+                 oversample: float) -> IsolationForestModel:
     feats = list(features)
-    d = df.select("*", *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"__f{i}")
-                         for i, c in enumerate(feats)])
     fcols = [f"__f{i}" for i in range(len(feats))]
+    d = df.select(key, *_feature_columns(feats))
     n = d.agg(F.count(F.lit(1)).alias("_n"))
     tau = F.least(F.lit(1.0), F.lit(oversample * sample_size) / F.col("_n"))
 
-    cand = tree_candidates(d.select(key, *fcols), key, fcols, n, tau, n_trees, seed)
+    cand = tree_candidates(d, key, fcols, n, tau, n_trees, seed)
     w = Window.partitionBy("tree").orderBy("u", key)
     sample = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= sample_size)
     max_depth = int(math.ceil(math.log2(max(sample_size, 2))))
@@ -146,21 +191,32 @@ def isolation_forest(df: DataFrame, features, key: str = "record_key", n_trees:
                             columns=["tree", "node", "feature", "threshold", "left", "right",
                                      "size", "depth", "leaf"])
 
-    nodes_pdf = (sample.select("tree", *fcols).groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
-                       .toPandas())
-    bnodes = d.sparkSession.sparkContext.broadcast(nodes_pdf)
-    eff_sample = int(min(sample_size, nodes_pdf.loc[nodes_pdf["node"] == 0, "size"].max()))
-
-    @F.pandas_udf("double")
-    def path_score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        for scored_batch in _score_batches(batches, bnodes.value, fcols, eff_sample):
-            yield scored_batch["iforest_score"]
-
-    # only the feature columns reach Python; scores are read by the threshold passes and the output
-    scored = d.withColumn("iforest_score", path_score(F.struct(*fcols))).persist()
-    thr = exact_quantiles(scored, "iforest_score", [1.0 - contamination]).select(F.col("q0").alias("_thr"))
-    out = (scored.crossJoin(F.broadcast(thr))
-                 .withColumn("iforest_anomaly", F.coalesce(F.col("iforest_score") > F.col("_thr"), F.lit(False)))
-                 .withColumn("iforest_label", F.when(F.col("iforest_anomaly"), -1).otherwise(1))
-                 .drop("_thr", *fcols))
-    return out
+    nodes = sample.select("tree", *fcols).groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
+    return IsolationForestModel(feats, nodes, int(min(sample_size, nodes.loc[nodes["node"] == 0, "size"].max())))
+
+
+def _threshold(scored: DataFrame, contamination: float) -> DataFrame:
+    return exact_quantiles(scored, "iforest_score", [1.0 - contamination]).select(F.col("q0").alias("_thr"))
+
+
+def fit_isolation_forest(df: DataFrame, features, key: str = "record_key", n_trees: int = 200,
+                         sample_size: int = 256, contamination: float = 0.02, seed: int = 42,
+                         oversample: float = 4.0) -> IsolationForestModel:
+    """D5 as a model that can be saved: trees, and the threshold over all rows of ``df``."""
+    model = _grow_forest(df, features, key, n_trees, sample_size, seed, oversample)
+    scored = model.raw_scores(df).select("iforest_score").persist()
+    row = _threshold(scored, contamination).first()
+    scored.unpersist()
+    model.threshold = row["_thr"] if row else None
+    return model
+
+
+def isolation_forest(df: DataFrame, features, key: str = "record_key", n_trees: int = 200,
+                     sample_size: int = 256, contamination: float = 0.02, seed: int = 42,
+                     oversample: float = 4.0) -> DataFrame:
+    """Adds iforest_score, iforest_label (-1 anomaly / 1 normal) and iforest_anomaly."""
+    model = _grow_forest(df, features, key, n_trees, sample_size, seed, oversample)
+    # scores are read by the threshold passes and the output
+    scored = model.raw_scores(df).persist()
+    thr = _threshold(scored, contamination)
+    return _flagged(scored.crossJoin(F.broadcast(thr)), F.col("_thr")).drop("_thr")  # one row

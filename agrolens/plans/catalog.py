@@ -165,6 +165,35 @@ def city_distinct_after_remap(spark, sf_dir):
     return distinct_values(r, "city")
 
 
+_NO_COUNTY = "elsewhere"
+_HEX_SQL = "('0x' || substr(md5(record_key), 1, 8))::UBIGINT"
+
+
+def _register_city_sql() -> str:
+    """Counts by city over the register's own table; every record gets one of its names, padded,
+    or a name that is not in it."""
+    from agrolens.operators.lookup import COUNTY_TO_CITY
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in COUNTY_TO_CITY.items())
+    names = ", ".join(f"'{k}'" for k in [*COUNTY_TO_CITY, _NO_COUNTY])
+    return f"""
+WITH lk(from_name, to_name) AS (VALUES {rows}),
+c AS (SELECT quantity, [{names}][({_HEX_SQL} % {len(COUNTY_TO_CITY) + 1})::BIGINT + 1] AS county FROM records)
+SELECT city, record_count, max(record_count) OVER () AS max_count FROM (
+  SELECT coalesce(to_name, county) AS city, count(quantity) AS record_count
+  FROM c LEFT JOIN lk ON county = from_name GROUP BY 1) t"""
+
+
+@register("register_city_counts", _register_city_sql())
+def register_city_counts(spark, sf_dir):
+    """C14 / A14 on the register's real county table."""
+    from agrolens.operators.lookup import COUNTY_TO_CITY, county_city_lookup
+    names = [*COUNTY_TO_CITY, _NO_COUNTY]
+    at = F.conv(F.substring(F.md5("record_key"), 1, 8), 16, 10).cast("long") % len(names) + 1
+    padded = F.concat(F.lit("\t"), F.element_at(F.array(*map(F.lit, names)), at.cast("int")), F.lit("\u3000 "))
+    r = records(spark, sf_dir).select("quantity", padded.alias("county"))
+    return A.remap_count(r, county_city_lookup(spark), "county", "quantity")
+
+
 @register("market_position", """
 SELECT item_category, manufacturer, round_even(sum(q), 2) AS total_count, round_even(avg(p), 2) AS avg_price,
        round_even(sum(p * q), 2) AS total_revenue
@@ -467,11 +496,13 @@ def html_table_roundtrip(spark, sf_dir):
     return _pages_to_records(extract_tables(_record_pages(spark, sf_dir)))
 
 
-@register("pages_first_tables")
-def pages_first_tables(spark, sf_dir):
+@register("pages_without_table", """
+SELECT page_id FROM pages WHERE html IS NULL OR NOT contains(lower(html), '<table')""")
+def pages_without_table(spark, sf_dir):
+    """S4's rejected pages: the raw web pages that hold no register table."""
     from agrolens.records import table
-    from agrolens.sources.html_tables import extract_tables
-    return extract_tables(table(spark, sf_dir, "pages"))
+    from agrolens.sources.html_tables import rejected_pages
+    return rejected_pages(table(spark, sf_dir, "pages"))
 
 
 @register("page_batches", """
@@ -490,6 +521,29 @@ def page_batches(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("page_count")))
 
 
+@register("written_batches_merged", """
+WITH p AS (SELECT page_id + 1 AS page_no, coalesce(length(html), 0) AS n FROM pages),
+l AS (SELECT max(page_no) AS last_page FROM p),
+b AS (SELECT CAST(floor((page_no - 1) / 100) * 100 + 1 AS BIGINT) AS batch_start, n, page_no, last_page FROM p, l)
+SELECT CAST(batch_start AS VARCHAR) || '_to_' || CAST(least(batch_start + 99, last_page) AS VARCHAR) AS batch,
+       count(*) AS page_count, sum(page_no)::BIGINT AS page_sum, sum(n)::BIGINT AS html_chars
+FROM b GROUP BY batch_start, last_page""")
+def written_batches_merged(spark, sf_dir):
+    """S5 + S6: pages written as one folder per batch, then merged back from the folders."""
+    import uuid
+
+    from agrolens.records import table
+    from agrolens.session import scratch_path
+    from agrolens.sources.readers import merge_batches
+    from agrolens.sources.sinks import write_page_batches
+    path = scratch_path(spark, "batches-" + uuid.uuid4().hex[:12])
+    p = table(spark, sf_dir, "pages").select((F.col("page_id") + 1).alias("page_no"), "html")
+    write_page_batches(p, path, page_col="page_no")
+    return (merge_batches(spark, [path]).groupBy("batch")
+            .agg(F.count(F.lit(1)).alias("page_count"), F.sum("page_no").alias("page_sum"),
+                 F.sum(F.coalesce(F.length("html"), F.lit(0))).alias("html_chars")))
+
+
 @register("merged_batches", """
 SELECT record_key, status, CASE WHEN status = 'F' THEN NULL ELSE dealer END AS dealer FROM records""")
 def merged_batches(spark, sf_dir):
@@ -500,7 +554,17 @@ def merged_batches(spark, sf_dir):
     return union_batches([a, b]).select("record_key", "status", "dealer")
 
 
-@register("summary_document")
+@register("summary_document", """
+WITH s AS (SELECT count(unit_price)::DOUBLE AS n, round_even(avg(unit_price), 4) AS mean,
+       round_even(stddev_samp(unit_price), 4) AS std, round_even(min(unit_price), 4) AS lo,
+       round_even(quantile_cont(unit_price, 0.25), 4) AS p25, round_even(quantile_cont(unit_price, 0.5), 4) AS p50,
+       round_even(quantile_cont(unit_price, 0.75), 4) AS p75, round_even(max(unit_price), 4) AS hi FROM records)
+SELECT 'rows' AS section, 'total' AS key, count(*)::DOUBLE AS value FROM records
+UNION ALL SELECT 'region', township, n::DOUBLE FROM (
+  SELECT township, count(*) AS n FROM records WHERE township IS NOT NULL GROUP BY township ORDER BY n DESC, township LIMIT 20) t
+UNION ALL SELECT 'item', item_category, count(*)::DOUBLE FROM records WHERE item_category IS NOT NULL GROUP BY item_category
+UNION ALL SELECT 'price', unnest(['count', 'mean', 'std', 'min', 'p25', 'p50', 'p75', 'max']),
+  unnest([n, mean, std, lo, p25, p50, p75, hi]) FROM s""")
 def summary_document(spark, sf_dir):
     from agrolens.sources.sinks import summary_document as sd
     return sd(records(spark, sf_dir))
@@ -825,6 +889,27 @@ def iforest_summary(spark, sf_dir):
         (flagged <= 0.02 * F.count(F.lit(1))).alias("flags_within_share"))
 
 
+@register("iforest_saved_model", """
+SELECT count(*) AS n_rows, true AS saved_equals_fitted, true AS flags_within_share FROM records""")
+def iforest_saved_model(spark, sf_dir):
+    """The forest that was saved and loaded scores and flags every row as the fitted one does."""
+    import uuid
+
+    from agrolens.operators.isolation_forest import fit_isolation_forest, load_isolation_forest
+    from agrolens.session import scratch_path
+    r = records(spark, sf_dir).select("record_key", *_IF_FEATURES)
+    model = fit_isolation_forest(r, _IF_FEATURES)
+    path = scratch_path(spark, "iforest-" + uuid.uuid4().hex[:12])
+    model.save(spark, path)
+    one = model.score(r).select("record_key", F.col("iforest_score").alias("a"), F.col("iforest_anomaly").alias("x"))
+    two = load_isolation_forest(spark, path).score(r).select(
+        F.col("record_key").alias("k"), F.col("iforest_score").alias("b"), F.col("iforest_anomaly").alias("y"))
+    same = (F.col("a") == F.col("b")) & (F.col("x") == F.col("y"))
+    return one.join(two, F.col("record_key") == F.col("k"), "full").agg(
+        F.count("a").alias("n_rows"), F.min(F.coalesce(same, F.lit(False))).alias("saved_equals_fitted"),
+        (F.sum(F.col("x").cast("int")) <= 0.02 * F.count(F.lit(1))).alias("flags_within_share"))
+
+
 @register("record_ids_after_shuffle", """
 SELECT count(*) AS n_rows, count(*) AS n_ids, 1::BIGINT AS first_id, count(*) AS last_id FROM records""")
 def record_ids_after_shuffle(spark, sf_dir):
@@ -836,6 +921,18 @@ def record_ids_after_shuffle(spark, sf_dir):
         F.min("record_id").alias("first_id"), F.max("record_id").alias("last_id"))
 
 
+@register("source_order", """
+SELECT count(*) AS n_rows, count(*) AS n_in_order FROM records""")
+def source_order(spark, sf_dir):
+    """Numbered rows, shuffled and brought back into source order, lie at their own numbers."""
+    from agrolens.functions.clean import with_row_index
+    from agrolens.sources.sinks import restore_order
+    numbered = with_row_index(records(spark, sf_dir).select("record_key", "county"))
+    back = restore_order(numbered.repartition(F.col("county")), "record_id").withColumnRenamed("record_id", "was")
+    return with_row_index(back).agg(F.count(F.lit(1)).alias("n_rows"),
+                                    F.sum((F.col("was") == F.col("record_id")).cast("long")).alias("n_in_order"))
+
+
 @register("boosting_rows", """
 SELECT CASE WHEN substr(record_key, 1, 1) = '1' THEN 'NA' ELSE item_category END AS item_category,
        count(*) AS n_rows, sum(CASE WHEN substr(record_key, 1, 1) = '0' THEN 1.0::DOUBLE ELSE quantity END) AS quantity

@@ -43,13 +43,20 @@ def monitoring_run(spark: SparkSession, df: DataFrame, outdir: str, fmt: str = "
     """§3.2 all-in-one run: summary, counts, duplicates, rapid repeats, z-scores, isolation
     forest, boosted price model with test predictions, per-township forecasts (one folder
     per township), and the alert payload computed from the written isolation-forest table
-    (the register's hand-over through storage). Returns {name: path} plus 'alert_count'."""
+    (the register's hand-over through storage). Both models are saved in new folders
+    (``iforest_model-<id>``, ``price_model-<id>``). Returns {name: path} plus 'alert_count'."""
+    import uuid
+
     from agrolens.operators.forecast import seasonal_forecast
-    from agrolens.operators.isolation_forest import isolation_forest
+    from agrolens.operators.isolation_forest import fit_isolation_forest
     from agrolens.operators.target_model import fit_boosted_target_model
 
     out = {}
 
+    def save(name, write):
+        out[name] = os.path.join(outdir, f"{name}-{uuid.uuid4().hex[:12]}")
+        write(out[name])
+
     def put(name, table, partition_by=None):
         p = os.path.join(outdir, name)
         write_table(table, p, fmt if name != "summary" else "json", partition_by=partition_by)
@@ -62,9 +69,12 @@ def monitoring_run(spark: SparkSession, df: DataFrame, outdir: str, fmt: str = "
     put("suspicious_quick_repeat", D.rapid_repeat(df, days=30))
     put("price_zscore_results", D.zscore_global(df))
     feats = [c for c in ["unit_price", "unit_subsidy", "total_subsidy", "quantity"] if c in df.columns]
-    put("iforest_results", isolation_forest(df, feats, n_trees=iforest_trees))
+    forest = fit_isolation_forest(df, feats, n_trees=iforest_trees)
+    save("iforest_model", lambda path: forest.save(spark, path))
+    put("iforest_results", forest.score(df))
     model, d, best = fit_boosted_target_model(df, max_iter=boost_rounds)
     if model is not None:
+        save("price_model", model.save)
         preds = model.score(d.where(F.col("is_test")))
         put("price_model_test_preds",
             preds.select("record_key", "item_category", "manufacturer", "model", "township", "dealer",

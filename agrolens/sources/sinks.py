@@ -49,24 +49,20 @@ def write_report(tables: dict, out_dir: str, fmt: str = "parquet") -> dict:
 
 def summary_document(df: DataFrame, region="township", item="item_category", price="unit_price",
                      top_regions: int = 20) -> DataFrame:
-    """One-row summary: total rows, top regions, all item counts, price statistics.
-
-    The maps are built from grouped counts (one row per key), so only the
-    per-key counts — not the records — meet in the final one-row aggregate.
+    """The summary as lines (section, key, value): total rows, top regions, all item counts,
+    price statistics. One line per key, so no task ever holds all keys; write it as JSON lines.
     """
     from agrolens.operators.aggregates import describe, top_by_count
-    total = df.agg(F.count(F.lit(1)).alias("total_rows"))
-    regions = top_by_count(df, region, top_regions).agg(
-        F.map_from_entries(F.collect_list(F.struct(region, "record_count"))).alias("regions_top20"))
-    items = top_by_count(df, item, None).agg(
-        F.map_from_entries(F.collect_list(F.struct(item, "record_count"))).alias("item_counts"))
-    stats = describe(df, price).select(F.struct("*").alias("price_stats"))
-    return total.crossJoin(regions).crossJoin(items).crossJoin(stats)
-
-
-def write_summary_json(df: DataFrame, path: str, **kw) -> None:
-    """S9 sink: the summary document as JSON."""
-    summary_document(df, **kw).coalesce(1).write.mode("overwrite").json(path)
+
+    def lines(section, t, key, value):
+        return t.select(F.lit(section).alias("section"), key.cast("string").alias("key"), value.cast("double").alias("value"))
+
+    stats = describe(df, price)
+    pairs = stats.select(F.explode(F.create_map(*[x for c in stats.columns for x in (F.lit(c), F.col(c).cast("double"))])))
+    return (lines("rows", df.agg(F.count(F.lit(1)).alias("n")), F.lit("total"), F.col("n"))
+            .unionByName(lines("region", top_by_count(df, region, top_regions), F.col(region), F.col("record_count")))
+            .unionByName(lines("item", top_by_count(df, item, None), F.col(item), F.col("record_count")))
+            .unionByName(lines("price", pairs, F.col("key"), F.col("value"))))
 
 
 def restore_order(df: DataFrame, col: str = "record_id") -> DataFrame:

@@ -18,7 +18,7 @@ def test_monitoring_run(spark):
     r = records(spark, SF_SMALL)
     d = tempfile.mkdtemp(prefix="agrolens-monitor-")
     out = R.monitoring_run(spark, r, d, iforest_trees=20, boost_rounds=5)
-    for name in ["summary", "region_counts", "item_counts", "dup_serials", "suspicious_quick_repeat",
+    for name in ["iforest_model", "price_model", "summary", "region_counts", "item_counts", "dup_serials", "suspicious_quick_repeat",
                  "price_zscore_results", "iforest_results", "price_model_test_preds", "ts", "alert"]:
         assert os.path.isdir(out[name]), name
     assert out["alert_count"] > 10  # ~2 % of 6000 rows

@@ -5,7 +5,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from agrolens.sources.html_tables import extract_tables, parse_first_table, to_columns
+from agrolens.sources.html_tables import extract_tables, parse_first_table, rejected_pages, to_columns
 from agrolens.sources.readers import merge_batches, read_csv_any
 from agrolens.sources.sinks import page_batches, summary_document, write_report
 
@@ -83,9 +83,18 @@ def test_merge_and_report(spark):
 def test_summary_document(spark):
     df = spark.createDataFrame([("t1", "c1", 10.0), ("t1", "c2", 20.0), ("t2", "c1", None)],
                                "township string, item_category string, unit_price double")
-    r = summary_document(df).first()
-    assert r.total_rows == 3 and r.regions_top20 == {"t1": 2, "t2": 1} and r.item_counts == {"c1": 2, "c2": 1}
-    assert r.price_stats["count"] == 2 and r.price_stats["p50"] == 15.0
+    got = {(r.section, r.key): r.value for r in summary_document(df).collect()}
+    assert got[("rows", "total")] == 3 and got[("price", "count")] == 2 and got[("price", "p50")] == 15.0
+    assert {k: v for k, v in got.items() if k[0] in ("region", "item")} == {
+        ("region", "t1"): 2, ("region", "t2"): 1, ("item", "c1"): 2, ("item", "c2"): 1}
+
+
+def test_rejected_pages(spark):
+    good = "<table><tr><th>a</th></tr><tr><td>1</td></tr></table>"
+    bad = "<table><tr><th>a</th><th>b</th></tr><tr><td>1</td></tr></table>"
+    df = spark.createDataFrame([(1, good), (2, bad), (3, "<p>x</p>"), (4, None)], "page_id long, html string")
+    assert [r.page_id for r in extract_tables(df).collect()] == [1]
+    assert sorted(r.page_id for r in rejected_pages(df).collect()) == [2, 3, 4]
 
 
 def test_plain_fast_path_matches_html_parser():
