@@ -684,21 +684,21 @@ def seasonal_forecast(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- M1, M3-M5, M9-M12, S10, D5 (rows-only)
-# Smoke-sized model settings for registered queries; the operators' defaults are the register's
-# sizes (100 trees depth 10, 1000 / 300 / 500 boosting rounds). Forests and the regularised
-# boosting use native categorical splits (encoding='indexed'); the early-stopping boosting
-# uses the sparse one-hot encoding (M1).
-RF_SMOKE = dict(num_trees=20, max_depth=8)
+# All models take categories as target statistics (no vocabulary, any number of levels). Forests
+# have the register's size; the boosting queries have fewer rounds than the register (1000 / 300 /
+# 500, the operators' defaults), see README.
+RF_SIZE = dict(num_trees=100, max_depth=10)
 _MODEL_CACHE: dict = {}
 
 
 def _rf_model(spark, sf_dir, with_year=False):
     from agrolens.operators import models as M
+    from agrolens.operators.target_model import fit_target_model
     k = ("rf", spark.sparkContext.applicationId, sf_dir, with_year)  # fitted objects live in one JVM
     if k not in _MODEL_CACHE:
         num = M.TIME_NUMERIC if with_year else M.BASE_NUMERIC
-        _MODEL_CACHE[k] = M.fit_price_model(records(spark, sf_dir), M.random_forest(**RF_SMOKE),
-                                            M.BASE_CATEGORICAL, num, with_year=with_year, encoding="indexed")
+        _MODEL_CACHE[k] = fit_target_model(records(spark, sf_dir), M.random_forest(**RF_SIZE),
+                                           M.BASE_CATEGORICAL, num, with_year=with_year)
     return _MODEL_CACHE[k]
 
 
@@ -706,31 +706,27 @@ def _rf_model(spark, sf_dir, with_year=False):
 def rf_test_predictions(spark, sf_dir):
     from agrolens.operators import models as M
     model, d = _rf_model(spark, sf_dir)
-    s = M.score(model, d.where(F.col("is_test")))
+    s = model.score(d.where(F.col("is_test")))
     return s.select("record_key", *M.BASE_CATEGORICAL, *M.BASE_NUMERIC, "predicted_price", "actual_price")
 
 
 @register("rf_test_metrics")
 def rf_test_metrics(spark, sf_dir):
-    from agrolens.operators import models as M
     from agrolens.operators.features import regression_metrics
     model, d = _rf_model(spark, sf_dir)
-    return regression_metrics(M.score(model, d.where(F.col("is_test"))))
+    return regression_metrics(model.score(d.where(F.col("is_test"))))
 
 
 @register("rf_feature_importance")
 def rf_feature_importance(spark, sf_dir):
-    from agrolens.operators import models as M
-    model, d = _rf_model(spark, sf_dir)
-    return M.feature_importance(model, d, 15)
+    return _rf_model(spark, sf_dir)[0].importance(15)
 
 
 @register("rf_residual_anomalies_top10")
 def rf_residual_anomalies_top10(spark, sf_dir):
-    from agrolens.operators import models as M
     from agrolens.operators.features import regression_metrics
     model, d = _rf_model(spark, sf_dir)
-    allsc = M.score(model, d)
+    allsc = model.score(d)
     m = regression_metrics(allsc.where(F.col("is_test")))
     a = D.top_rows(D.residual_anomaly(allsc, m), "prediction_error", 10)
     return a.select("record_key", "county", "item_category", "manufacturer", "dealer",
@@ -743,31 +739,56 @@ def rf_next_year_specs(spark, sf_dir):
     from agrolens.operators import models as M
     model, d = _rf_model(spark, sf_dir, with_year=True)
     specs = d.where(F.col("is_test")).drop(M.TARGET).withColumn("purchase_year", F.lit(2026))
-    specs = M.prepare_specs(specs, M.BASE_CATEGORICAL, M.TIME_NUMERIC)
-    return M.score(model, specs).select("record_key", *M.BASE_CATEGORICAL, "purchase_year", "predicted_price")
+    return model.score(specs).select("record_key", *M.BASE_CATEGORICAL, "purchase_year", "predicted_price")
 
 
-@register("rf_saved_model_scores")
+@register("rf_saved_model_scores", f"""
+SELECT record_key, unit_price AS actual_price, true AS saved_equals_fitted
+FROM records WHERE {_BUCKET_SQL} >= 80 AND unit_price IS NOT NULL
+  AND county IS NOT NULL AND item_category IS NOT NULL AND manufacturer IS NOT NULL AND product_name IS NOT NULL
+  AND model IS NOT NULL AND dealer IS NOT NULL AND quantity IS NOT NULL AND unit_subsidy IS NOT NULL""")
 def rf_saved_model_scores(spark, sf_dir):
-    """Save the fitted pipeline to the shared checkpoint folder, load it back, score."""
-    import hashlib
+    """The fitted forest is saved, loaded back, and prices every test row alike."""
+    import uuid
 
     from agrolens.operators import models as M
+    from agrolens.operators.target_model import TargetModel, load_target_model
     from agrolens.session import scratch_path
     model, d = _rf_model(spark, sf_dir)
-    path = scratch_path(spark, "rf_model_" + hashlib.md5(sf_dir.encode()).hexdigest()[:8])
-    M.save_model(model, path)
-    loaded = M.load_or_train(path, lambda: model)
-    return M.score(loaded, d.where(F.col("is_test"))).select("record_key", "predicted_price")
+    path = scratch_path(spark, "rf-model-" + uuid.uuid4().hex[:12])
+    model.save(path)
+    loaded = M.load_or_train(path, lambda: model, load=lambda p: load_target_model(spark, p), save=TargetModel.save)
+    test = d.where(F.col("is_test"))
+    one = model.score(test).select("record_key", "actual_price", F.col("predicted_price").alias("a"))
+    two = loaded.score(test).select(F.col("record_key").alias("k"), F.col("predicted_price").alias("b"))
+    return one.join(two, F.col("record_key") == F.col("k"), "full").select(
+        "record_key", "actual_price",
+        F.coalesce(F.col("a") == F.col("b"), F.lit(False)).alias("saved_equals_fitted"))
+
+
+@register("rf_model_checks", f"""
+SELECT count(*) AS n_test, true AS beats_the_mean, true AS importances_sum_to_one
+FROM records WHERE {_BUCKET_SQL} >= 80 AND unit_price IS NOT NULL
+  AND county IS NOT NULL AND item_category IS NOT NULL AND manufacturer IS NOT NULL AND product_name IS NOT NULL
+  AND model IS NOT NULL AND dealer IS NOT NULL AND quantity IS NOT NULL AND unit_subsidy IS NOT NULL""")
+def rf_model_checks(spark, sf_dir):
+    """M3 / M7 / M11 in values that do not depend on the trees."""
+    model, d = _rf_model(spark, sf_dir)
+    error = model.score(d.where(F.col("is_test"))).agg(
+        F.count("predicted_price").alias("n_test"),
+        (F.avg(F.abs(F.col("actual_price") - F.col("predicted_price")))
+         < F.avg(F.abs(F.col("actual_price") - model.prior))).alias("beats_the_mean"))
+    total = model.importance(1000).agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("importances_sum_to_one"))
+    return error.crossJoin(F.broadcast(total))  # one row each
 
 
 @register("gbt_early_stopping_metrics")
 def gbt_early_stopping_metrics(spark, sf_dir):
     """M4: boosting with early stopping (smoke: 30 rounds, patience 5)."""
-    from agrolens.operators import models as M
     from agrolens.operators.features import regression_metrics
-    model, d, best = M.fit_boosted_early_stopping(records(spark, sf_dir), max_iter=30, patience=5, max_depth=4)
-    m = regression_metrics(M.score(model, d.where(F.col("is_test"))))
+    from agrolens.operators.target_model import fit_boosted_target_model
+    model, d, best = fit_boosted_target_model(records(spark, sf_dir), max_iter=30, patience=5, max_depth=4)
+    m = regression_metrics(model.score(d.where(F.col("is_test"))))
     return m.withColumn("best_iteration", F.lit(best))
 
 
@@ -776,9 +797,10 @@ def gbt_regularised_metrics(spark, sf_dir):
     """M5: row / column sampled boosting (smoke: 20 rounds)."""
     from agrolens.operators import models as M
     from agrolens.operators.features import regression_metrics
-    model, d = M.fit_price_model(records(spark, sf_dir), M.boosted_trees(max_iter=20, max_depth=5),
-                                 M.BASE_CATEGORICAL, M.TIME_NUMERIC, with_year=True, encoding="indexed")
-    return regression_metrics(M.score(model, d.where(F.col("is_test"))))
+    from agrolens.operators.target_model import fit_target_model
+    model, d = fit_target_model(records(spark, sf_dir), M.boosted_trees(max_iter=20, max_depth=5),
+                                M.BASE_CATEGORICAL, M.TIME_NUMERIC, with_year=True)
+    return regression_metrics(model.score(d.where(F.col("is_test"))))
 
 
 def _target_encoded_sql() -> str:
