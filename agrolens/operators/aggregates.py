@@ -72,9 +72,9 @@ def top_n_share(df: DataFrame, key="item_category", value="quantity", n=10) -> D
 
 def frequency_share(df: DataFrame, key="item_category") -> DataFrame:
     """Rows per key and share of ALL rows (null-key rows included in the total)."""
-    counts = _nonnull(df, key).groupBy(key).agg(F.count(F.lit(1)).alias("record_count"))
-    tot = df.agg(F.count(F.lit(1)).alias("_tot"))
-    return (counts.crossJoin(F.broadcast(tot))
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("record_count"))
+    tot = counts.agg(F.sum("record_count").alias("_tot"))  # same exchange, so the table is read once
+    return (_nonnull(counts, key).crossJoin(F.broadcast(tot))
                   .withColumn("share_pct", F.bround(F.col("record_count") / F.col("_tot") * 100, 2))
                   .drop("_tot"))
 
