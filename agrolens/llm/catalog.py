@@ -60,7 +60,7 @@ def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licence.licence_scan(table(spark, sf_dir, "documents"))
+    return licence.licence_scan(table(spark, sf_dir, "documents"), embedded=True)
 
 
 QUERIES = {f.__name__: f for f in (

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import textwrap
 
 import pytest
 
@@ -169,3 +171,58 @@ def test_licence_scan_equals_plain_dice(spark, make_docs):
         best = max([*units, plain_dice(t)], key=lambda u: u[0])
         assert (r.n_matches, r.licence) == (n, best[1]) and abs(r.score - best[0]) < 1e-12
     assert licence.licence_scan(make_docs([])).count() == 0
+
+
+def plain_embedded(text):
+    """Best Dice over all runs of words by trying each one: {name: score}."""
+    def grams(t):
+        w = re.sub(r"[^\w]+|_", " ", t.lower()).split()
+        return list(zip(w, w[1:]))
+    g, out = grams(text), {}
+    for name, t in licence.TEMPLATES + licence.PASSAGES:
+        own = set(grams(t))
+        most = licence._bounds(len(own), licence.MIN_DICE)[1]
+        for i in range(len(g)):
+            seen, common = set(), 0
+            for x in g[i:i + most]:
+                common += x in own and x not in seen
+                seen.add(x)
+                d = 2 * common / (len(seen) + len(own))
+                if d >= licence.MIN_DICE:
+                    out[name] = max(d, out.get(name, 0.0))
+    return out
+
+
+def test_licence_scan_finds_embedded_notices(spark, make_docs):
+    mit, gpl = licence.TEMPLATES[7][1], licence.TEMPLATES[5][1]
+    passage = [t for n, t in licence.PASSAGES if n == "GPL-3.0"][0]
+    bsd = [t for n, t in licence.PASSAGES if n == "BSD-3-Clause"][0]
+    wrap = lambda t: "\n".join(f" * {x}" for x in textwrap.wrap(t, 78))
+    cases = [
+        ("MIT", "The MIT License\n\nCopyright (c) 2020 Foo\n\n" + wrap(mit) + "\n\nThe above copyright notice shall be included in all "
+                "copies.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND."),
+        ("GPL-3.0", "some line before\n" + "\n".join(textwrap.wrap(gpl, 40)) + "\nand a line after"),
+        ("MIT", "This tool sorts tables. Released under the MIT License. See the manual for its use."),
+        ("all-rights-reserved", "Copyright 2020 Foo Inc. All rights reserved."),
+        ("GPL-3.0", "# foo.py\n" + wrap(passage) + "\nimport os"),
+        ("GPL-2.0", "# foo.py\n" + wrap(passage.replace("version 3", "version 2")) + "\nimport os"),
+        ("BSD-3-Clause", "Copyright (c) 1999 Foo. All rights reserved.\n\n" + wrap(bsd).replace("copyright holder", "Foo Company") + "\n"),
+        ("CC-BY-SA-4.0", "See: this work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License, or ask."),
+        (None, "The rights of all are reserved under the terms of this public house. " * 5),
+        (None, "released under licensed software rights reserved all " * 20)]
+    got = {r.doc_id: r for r in licence.licence_scan(make_docs([(i, t) for i, (_, t) in enumerate(cases)]), embedded=True).collect()}
+    for i, (name, text) in enumerate(cases):
+        want = plain_embedded(text)
+        assert got[i].licence == name and got[i].n_matches == sum(plain_dice(u)[1] is not None for u in text.split("\n"))
+        assert abs(got[i].score - want.get(name, 0.0)) < 1e-12
+    rnd = random.Random(12)
+    words = (mit + " " + gpl + " " + passage).split()
+    texts = [" ".join(words[a:a + n] + ["x"] * rnd.randrange(3) + words[a + n:a + 2 * n])
+             for a, n in ((rnd.randrange(150), rnd.randrange(5, 60)) for _ in range(12))]
+    texts += ["all rights " * 50 + "reserved", None, "", "\n\n", "word"]
+    for r in licence.licence_scan(make_docs(list(enumerate(texts))), embedded=True).collect():
+        best = plain_embedded(texts[r.doc_id] or "")
+        named = {k: v for k, v in best.items() if k != licence.GENERIC} or best
+        assert abs(r.score - max(named.values(), default=0.0)) < 1e-12
+        assert r.licence is None if not named else named[r.licence] == max(named.values())
+    assert licence.licence_scan(make_docs([]), embedded=True).count() == 0
