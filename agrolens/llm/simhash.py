@@ -74,16 +74,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(votes * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) with fp as a signed long, for every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keyed: bool = False) -> DataFrame:
+    """(doc_id, fp) with fp as a signed long, for every row; with ``keyed`` also key, the hash of id and text."""
     small_batches(docs.sparkSession)
+    keep = ["doc_id", "key"] if keyed else ["doc_id"]
 
     def run(batches):
         for b in batches:
-            fp = [_signed(fingerprint(t, shingle)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+            fp = [_signed(fingerprint(t, shingle)) for t in b.column(len(keep)).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], pa.array(fp, pa.int64())], names=[*keep, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    cols = {"doc_id": F.col("doc_id").cast("long"), "key": _row_key().alias("key")}
+    return docs.select(*[cols[c] for c in keep], "text").mapInArrow(run, ", ".join(f"{c} long" for c in [*keep, "fp"]))
+
+
+def _row_key() -> Column:
+    return F.xxhash64("doc_id", "text")
 
 
 def _hamming(a: Column, b: Column) -> Column:
@@ -141,16 +147,21 @@ def links(classes: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BU
     return pairs.unionByName(stars).distinct(), [sizes]
 
 
-def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``."""
-    prints = write_scratch(fingerprints(docs, shingle), "simhash-prints")
+def _rooted(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, rep, root): of every distinct fingerprint its smallest doc_id and its component."""
     classes = write_scratch(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
     found, used = links(classes, max_bits)
     root = components(found)
     for t in used:
         drop_scratch(t)
-    rooted = (classes.join(root, classes.fp == root.node, "left")
-              .select("fp", "rep", F.coalesce("root", "fp").alias("root")))
+    return (classes.join(root, classes.fp == root.node, "left")
+            .select("fp", "rep", F.coalesce("root", "fp").alias("root")))
+
+
+def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``."""
+    prints = write_scratch(fingerprints(docs, shingle), "simhash-prints")
+    rooted = _rooted(prints, max_bits)
     lowest = rooted.groupBy("root").agg(F.min("rep").alias("component_id")).withColumnRenamed("root", "r")
     member = write_scratch(rooted.join(lowest, F.col("root") == F.col("r"))
                            .select(F.col("fp").alias("f"), "component_id"), "simhash-members")
@@ -159,19 +170,30 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of ``docs`` for each component: that of its smallest doc_id.
+    """One row of ``docs`` for each component: that of its smallest doc_id, and one of its rows
+    without a doc_id, if it has any.
 
-    Where rows repeat that doc_id, the smallest row (by all columns) stays. Rows without a
-    doc_id cannot be told apart and all stay.
+    Rows are told apart by a hash of doc_id and text. Among rows of one doc_id (or of none) in a
+    component the one with the smallest fingerprint, then the smallest hash, stays; of rows equal
+    in both columns the smallest by all columns.
     """
-    own = (simhash_groups(docs, shingle, max_bits).where("doc_id = component_id")
-           .groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).withColumnRenamed("doc_id", "__id"))
-    own = write_scratch(own, "simhash-kept")
-    once = own.where("__n = 1").select("__id")
-    again = own.where("__n > 1").select("__id")
-    single = docs.join(once, docs.doc_id == once["__id"], "left_semi")
-    if again.isEmpty():
-        return single.unionByName(docs.where("doc_id is null"))
-    repeated = (docs.join(again, docs.doc_id == again["__id"], "left_semi")
-                .groupBy(F.col("doc_id").alias("__id")).agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*"))
-    return single.unionByName(repeated).unionByName(docs.where("doc_id is null"))
+    prints = write_scratch(fingerprints(docs, shingle, keyed=True), "simhash-prints")
+    # Reduced to one row a fingerprint before the components are joined, so a hot text or id is one row.
+    first = F.min(F.struct("doc_id", "fp", "key"))
+    own = (prints.groupBy(F.col("fp").alias("f"), F.col("doc_id").isNull().alias("bare"))
+           .agg(first.alias("first")))
+    own = own.join(_rooted(prints, max_bits).select("fp", "root"), F.col("f") == F.col("fp"))
+    own = own.groupBy("root", "bare").agg(F.min("first").alias("first")).select(F.col("first.key").alias("__kept"))
+    rows = prints.groupBy("key").agg(F.count(F.lit(1)).alias("__n"))
+    own = write_scratch(rows.join(own, F.col("key") == F.col("__kept"), "left_semi")
+                        .select(F.col("key").alias("__kept"), "__n"), "simhash-kept")
+    keyed = docs.withColumn("__key", _row_key())
+
+    def only(which):
+        return keyed.join(own.where(which).select("__kept"), F.col("__key") == F.col("__kept"), "left_semi")
+
+    single = only("__n = 1").drop("__key")
+    if own.where("__n > 1").isEmpty():
+        return single
+    repeated = only("__n > 1").groupBy("__key").agg(F.min(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    return single.unionByName(repeated)

@@ -152,6 +152,19 @@ def test_near_dedup_keeps_one_of_each_group(spark, make_docs):
     assert simhash.drop_near_copies(make_docs([])).count() == 0
 
 
+def test_near_dedup_tells_rows_apart_by_id_and_text(spark, make_docs):
+    kept = lambda rows: sorted(((r.doc_id, r.text) for r in simhash.drop_near_copies(make_docs(rows)).collect()), key=str)
+    one, two, three = "a b c d e f", "other words in this text", "something else again is here"
+    # a: copies without a doc_id go, those of a document with an id too but for one of them
+    assert kept([(None, one)] * 40 + [(None, "A b C d e f")] * 9 + [(None, two)]) in (
+        [(None, "A b C d e f"), (None, two)], [(None, one), (None, two)])
+    assert len(kept([(5, one)] + [(None, one)] * 30 + [(None, two)] * 3)) == 3
+    # b: unrelated texts under one doc_id both stay
+    assert kept([(1, one), (1, two), (1, two), (4, three)]) == [(1, one), (1, two), (4, three)]
+    # c: the row of a repeated doc_id that copies a kept document goes, the other one stays
+    assert kept([(1, one), (7, one), (7, two)]) == [(1, one), (7, two)]
+
+
 # 4 byte-level BPE
 
 @pytest.fixture(scope="module")
