@@ -1,4 +1,4 @@
-"""Operator 3, SimHash near-dedup with pivot distance tables.
+"""Operator 3, SimHash near-dedup: block keys and one-bit codes find links, pivot distance tables filter pairs.
 
 Fingerprints: A-Z lower-cased, words ``[^\\x20\\x09-\\x0D]+``, word shingles with repeats, XXH64
 (seed 42) of each; a bit is set if it is set in over half the hashes. Equal fingerprints are
