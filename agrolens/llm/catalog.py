@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolens.llm import bpe, chat, decontam, langid, licence, quality, sharding, simhash, substring, warc
+from agrolens.llm import (bpe, chat, decontam, jaccard, langid, licence, negatives, quality, repair, sharding, simhash, substring,
+                          warc)
 from agrolens.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -63,9 +64,31 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence.licence_scan(table(spark, sf_dir, "documents"), embedded=True)
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage the conversations, repair them, and report every original conversation."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    audits = repair.repair(repair.damage(rows)).withColumnRenamed("conv_id", "__conv")
+    every = rows.select("conv_id").distinct()
+    return every.join(audits, F.col("conv_id").eqNullSafe(F.col("__conv")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in repair.AUDIT_COLUMNS],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_language_id, op3_simhash, op4_byte_bpe, op5_chat_format, op6_sharding,
-    op7_decontamination, op8_substring_dedup, op9_warc_fixity, op10_licence_scan)}
+    op7_decontamination, op8_substring_dedup, op9_warc_fixity, op10_licence_scan, op11_jaccard_join,
+    op12_conversation_repair, op13_hard_negatives)}
 
 _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
@@ -106,6 +129,73 @@ SELECT d.doc_id, licence, coalesce(score, 0.0)::DOUBLE AS score, coalesce(n, 0):
 FROM documents d LEFT JOIN per USING (doc_id) LEFT JOIN hits USING (doc_id)"""
 
 
+def _repair_sql() -> str:
+    """The damage by a CRC-32 table, and the cheapest (cost, audit, rows) from each state, from the last row back."""
+    space = r"[\x20\x09-\x0D]"
+    needs, after = {0: "user", 1: "user", 2: "assistant", 3: "user"}, {"user": 2, "assistant": 3}
+
+    def put(cost, letter, row, tail):
+        return f"{{'c': {cost} + {tail}.c, 'a': '{letter}' || {tail}.a, 'r': {row} || {tail}.r}}"
+
+    def ways(s):
+        to = after[needs[s]]
+        initial = needs[s][0]
+        stays = "fault NOT IN ('blank', 'duplicate')"
+        out = [put(4, "D", "''", f"s{s}"),
+               f"CASE WHEN {stays} THEN {put('3 + cut', 'R', f"chr(10) || '{needs[s]}:' || text", f's{to}')} END",
+               f"CASE WHEN {stays} AND role[1] = '{initial}' THEN {put('cut', 'K', "chr(10) || role || ':' || text", f's{to}')} END"]
+        if s == 0:
+            out.append(f"CASE WHEN {stays} AND role[1] = 's' THEN {put('cut', 'K', "chr(10) || role || ':' || text", 's1')} END")
+        return "list_sort(list_filter([" + ", ".join(out) + "], lambda x: x IS NOT NULL))[1]"
+
+    def or_insert(s, tail, own="w"):
+        return f"list_sort([{own}{s}, {put(3, 'I', f"chr(10) || '{needs[s]}:'", tail)}])[1]"
+
+    ends = {0: (0, "", ""), 1: (6, "II", "chr(10) || 'user:' || chr(10) || 'assistant:'"), 2: (3, "I", "chr(10) || 'assistant:'"), 3: (0, "", "")}
+    last = ", ".join(f"{{'c': {c}::BIGINT, 'a': '{a}', 'r': {r or repr('')}}} AS s{s}" for s, (c, a, r) in ends.items())
+    return rf"""
+WITH RECURSIVE
+crc AS (
+  SELECT list(list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+keyed AS (
+  SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+kind AS (
+  SELECT keyed.*, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(k, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS kind FROM keyed, crc),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text
+  FROM kind, range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)),
+told AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS again,
+    regexp_extract(text, '([^ 	-
+]){space}*\z', 1) AS final FROM hurt),
+r AS (
+  SELECT *, row_number() OVER w AS n, count(*) OVER (PARTITION BY conv_id) AS total, lag(role[1]) OVER w || role[1] AS pair,
+    CASE WHEN final = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN final NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM told WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again)),
+step AS (
+  SELECT DISTINCT conv_id, total AS n, {last} FROM r
+  UNION ALL
+  SELECT conv_id, n - 1, {or_insert(0, "n2")}, {or_insert(1, "n2")}, n2, n3
+  FROM (SELECT *, {or_insert(2, "w3")} AS n2, {or_insert(3, "w2")} AS n3
+    FROM (SELECT conv_id, n, {ways(0)} AS w0, {ways(1)} AS w1, {ways(2)} AS w2, {ways(3)} AS w3
+      FROM (SELECT step.*, role, text, fault, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS cut
+        FROM step JOIN r ON step.conv_id IS NOT DISTINCT FROM r.conv_id AND step.n = r.n)))),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM r GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(s0.c, 0)::BIGINT AS cost,
+  coalesce(s0.a, '') AS audit, sha256(coalesce(s0.r[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN facts ON o.conv_id IS NOT DISTINCT FROM facts.conv_id
+LEFT JOIN (SELECT * FROM step WHERE n = 0) z ON o.conv_id IS NOT DISTINCT FROM z.conv_id"""
+
+
 ORACLE = {
     "op5_chat_format": rf"""
 WITH c AS (
@@ -167,4 +257,24 @@ p AS (
 SELECT archive::BIGINT AS archive, node::BIGINT AS node, page_id, (e - size)::BIGINT AS first, e::BIGINT AS "end", 'altered' AS state
 FROM p WHERE page_id % {DAMAGE[0]} = {DAMAGE[1]}""",
     "op10_licence_scan": _licence_sql(),
+    "op12_conversation_repair": _repair_sql(),
+    "op13_hard_negatives": f"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({negatives.SCALE} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= {negatives.POSITIVES})
+SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+  AND {negatives.LOW} * positive_score <= 100 * score AND 100 * score <= {negatives.HIGH} * positive_score
+QUALIFY rank <= {negatives.NEGATIVES}""",
 }
