@@ -10,9 +10,9 @@ Documents are sets of distinct word shingles in the Jaccard metric d(A, B) = 1 -
   holds one of A's first floor(r|A|) + 1 shingles: A is replicated to the regions of just these
   pivots, and every link meets in a region. Two more triangle tests prune pairs in a region: the
   sizes (d >= 1 - min/max), and what the pivot's places in both documents leave to share.
-* Crowded regions (over MAX_REGION classes) are not paired. All members are first compared with one
-  of them, which links groups of near copies in linear time. A region whose members are then in one
-  component is done. If at most MAX_REGION members lie outside its main component, those are compared
+* Crowded regions (over MAX_REGION classes) are not paired. All members are first compared with the
+  one that has the fewest shingles before the pivot, the middle of a group of near copies, which links
+  such groups in linear time. A region whose members are then in one component is done. If at most MAX_REGION members lie outside its main component, those are compared
   with the members of other components. Else the region is joined recursively: linked documents that
   share the pivot share a second shingle within windows longer by one, so (pivot, next shingle)
   are the regions of the next level, and so on for LEVELS levels. Behind the last level, pairs of
@@ -45,9 +45,9 @@ SHINGLE = 3
 PERCENT = 90          # linked from this Jaccard similarity on
 MAX_REGION = 16       # classes of a region that are paired
 LEVELS = 3
-SAMPLE = 20_000       # documents whose shingles tell which are common
+SAMPLE = 10_000       # documents whose shingles tell which are common
 MAX_COMMON = 100_000  # shingles put last
-MIN_COMMON = 4        # documents of the sample that hold a common shingle
+MIN_COMMON = 3        # documents of the sample that hold a common shingle
 STEP = 1 << 16        # shingles hashed at a time
 
 
@@ -91,9 +91,10 @@ def common_shingles(docs: DataFrame, shingle: int, sample: int = SAMPLE) -> np.n
         for b in batches:
             parts = [shingle_set(t, shingle) for t in b.column(0).to_pylist()]
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts))], names=["s"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.unique(np.concatenate(parts), return_counts=True)],
+                                                 names=["s", "n"])
 
-    top = (some.mapInArrow(run, "s long").groupBy("s").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_COMMON)
+    top = (some.mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COMMON)
            .orderBy(F.desc("n"), "s").limit(MAX_COMMON).toArrow())
     return top.column("s").to_numpy()[::-1].copy()
 
@@ -166,8 +167,8 @@ def _regions(members: DataFrame, percent: int, level: int) -> DataFrame:
     """Regions of a level from (cls, n, near, key, at): one row for each pivot in the window behind place ``at``."""
     window_ = F.col("n") - F.ceil(F.col("n") * percent / 100) + level
     later = F.slice("near", F.col("at") + 2, F.greatest(window_.cast("int") - F.col("at") - 1, F.lit(0)))
-    return (members.select("cls", "n", "near", "key", "at", F.posexplode(later).alias("i", "s"))
-            .select("cls", "n", "near", F.xxhash64("key", "s").alias("key") if level > 1 else F.col("s").alias("key"),
+    return (members.select("cls", "n", "key", "at", F.posexplode(later).alias("i", "s"))
+            .select("cls", "n", F.xxhash64("key", "s").alias("key") if level > 1 else F.col("s").alias("key"),
                     (F.col("at") + 1 + F.col("i")).alias("at")))
 
 
@@ -177,8 +178,8 @@ def _candidates(side: DataFrame, sizes: DataFrame, percent: int, level: int, max
     small = side.select("cls", "n", F.col("at").alias("pos"), "key").join(few, F.col("key") == F.col("k"), "left_semi")
     pairs = (small.alias("l").join(small.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.cls") < F.col("r.cls")))
              .where(_near_sizes(percent) & _enough_left(percent, level)).select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")))
-    many = sizes.where(F.col("m") > max_region).select(F.col("key").alias("k"), "least")
-    stars = (side.join(many, F.col("key") == F.col("k")).where("cls <> least").select(F.col("least").alias("a"), F.col("cls").alias("b")))
+    many = sizes.where(F.col("m") > max_region).select(F.col("key").alias("k"), "middle")
+    stars = (side.join(many, F.col("key") == F.col("k")).where("cls <> middle").select(F.col("middle").alias("a"), F.col("cls").alias("b")))
     return pairs.unionByName(stars)
 
 
@@ -192,19 +193,22 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE, percent:
     found, waiting, root = None, None, None
     for level in range(1, LEVELS + 1):
         side = _regions(members, percent, level)
-        sizes = write_scratch(side.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("cls").alias("least")).where("m > 1"),
-                              "jaccard-regions")
+        sizes = write_scratch(side.groupBy("key").agg(
+            F.count(F.lit(1)).alias("m"), F.min(F.struct("at", "cls")).alias("first"), F.min("n").alias("small")).where("m > 1")
+            .select("key", "m", F.col("first.cls").alias("middle"), "small"), "jaccard-regions")
         some = _candidates(side, sizes, percent, level, max_region)
         if waiting is not None:
             some = some.unionByName(waiting)
         found, root = _grown(docs, classes, some, found, root, shingle, percent)
-        crowded = _unsettled(side, sizes.where(F.col("m") > max_region), root)
+        crowded = _unsettled(side, sizes.where(F.col("m") > max_region), root, percent, level)
         if crowded.isEmpty():
             return found, root
-        outside, members = _divided(crowded, max_region)
-        waiting = _apart(outside, percent)
-    last = write_scratch(members, "jaccard-crowded")
-    waiting = waiting.unionByName(_apart(last.withColumn("main", F.lit(None).cast("binary")), percent))
+        outside, rest = _divided(crowded, max_region)
+        waiting = _apart(outside, percent, level)
+        near = classes.select(F.col("cls").alias("c"), "near")
+        members = rest.join(near, F.col("cls") == F.col("c")).drop("c")
+    last = write_scratch(rest, "jaccard-crowded")
+    waiting = waiting.unionByName(_apart(last.withColumn("main", F.lit(None).cast("binary")), percent, LEVELS))
     return _grown(docs, classes, waiting, found, root, shingle, percent)
 
 
@@ -214,18 +218,30 @@ def _grown(docs, classes, candidates, found, root, shingle, percent):
     pairs = write_scratch(pairs, "jaccard-pairs")
     new = _verified(docs, classes, pairs, shingle, percent)
     drop_scratch(pairs)
-    found = new if found is None else write_scratch(found.unionByName(new).distinct(), "jaccard-links")
+    if found is None:
+        return new, components(new)
+    fresh = new.join(found.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")),
+                     "left_anti")
+    if fresh.isEmpty():
+        return found, root
+    found = write_scratch(found.unionByName(fresh), "jaccard-links")
     return found, components(found)
 
 
-def _unsettled(side: DataFrame, crowded: DataFrame, root: DataFrame) -> DataFrame:
-    """Written members of crowded regions that lie in more than one component, with root, region size and main component."""
-    rows = (side.join(crowded.select(F.col("key").alias("k"), "m"), F.col("key") == F.col("k")).drop("k")
+def _unsettled(side: DataFrame, crowded: DataFrame, root: DataFrame, percent: int, level: int) -> DataFrame:
+    """Written members of crowded regions that lie in more than one component, with root, region size and main component.
+
+    A member goes if what it can share from the pivot on is too little for the smallest partner the region can offer.
+    """
+    partner = F.greatest(F.col("small"), F.ceil(F.col("n") * percent / 100))
+    rows = (side.join(crowded.select(F.col("key").alias("k"), "small"), F.col("key") == F.col("k"))
+            .where((100 + percent) * (F.col("n") - F.col("at") + level - 1) >= percent * (F.col("n") + partner)).drop("k", "small")
             .join(root.select("node", F.col("root").alias("r")), F.col("cls") == F.col("node"), "left")
             .withColumn("root", F.coalesce("r", "cls")).drop("node", "r"))
     parts = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
-    main = (parts.groupBy(F.col("key").alias("k")).agg(F.max(F.struct("c", "root")).alias("top"), F.count(F.lit(1)).alias("roots"))
-            .where("roots > 1").select("k", F.col("top.root").alias("main"), F.col("top.c").alias("inside")))
+    main = (parts.groupBy(F.col("key").alias("k"))
+            .agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("m"), F.count(F.lit(1)).alias("roots"))
+            .where("roots > 1").select("k", "m", F.col("top.root").alias("main"), F.col("top.c").alias("inside")))
     return write_scratch(rows.join(main, F.col("key") == F.col("k")).drop("k"), "jaccard-unsettled")
 
 
@@ -235,12 +251,12 @@ def _divided(crowded: DataFrame, max_region: int) -> tuple[DataFrame, DataFrame]
     return crowded.where(few), crowded.where(~few).drop("m", "inside", "main")
 
 
-def _apart(rows: DataFrame, percent: int) -> DataFrame:
+def _apart(rows: DataFrame, percent: int, level: int) -> DataFrame:
     """Pairs of a region in different components, one of them outside the region's main component."""
-    r = rows.select("cls", "n", "key", "root", "main")
+    r = rows.select("cls", "n", F.col("at").alias("pos"), "key", "root", "main")
     outside = r.where(F.col("main").isNull() | (F.col("root") != F.col("main")))
     return (outside.alias("l").join(r.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.root") != F.col("r.root")))
-            .where(_near_sizes(percent)).select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")))
+            .where(_near_sizes(percent) & _enough_left(percent, level)).select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")))
 
 
 def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, max_region: int = MAX_REGION) -> DataFrame:
