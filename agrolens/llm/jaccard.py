@@ -8,8 +8,10 @@ Documents are sets of distinct word shingles in the Jaccard metric d(A, B) = 1 -
 * Window: let P be the first j shingles of A. d(A, P) = 1 - j/|A|, and d(B, P) = 1 for a B that holds
   none of them, so d(A, B) >= d(B, P) - d(A, P) = j/|A|. A document linked to A (d <= r) therefore
   holds one of A's first floor(r|A|) + 1 shingles: A is replicated to the regions of just these
-  pivots, and every link meets in a region. Two more triangle tests prune pairs in a region: the
-  sizes (d >= 1 - min/max), and what the pivot's places in both documents leave to share.
+  pivots, and every link meets in a region. Two more bounds prune pairs in a region: the
+  sizes (d >= 1 - min/max), and what the pivot's places in both documents leave to share. Pairs that
+  meet are compared by sketches before their sets are read: with P_k all shingles of hash class k,
+  |A & B| is at most the sum of min(|A & P_k|, |B & P_k|).
 * Crowded regions (over MAX_REGION classes) are not paired. All members are first compared with the
   one that has the fewest shingles before the pivot, the middle of a group of near copies, which links
   such groups in linear time. A region whose members are then in one component is done. If at most MAX_REGION members lie outside its main component, those are compared
@@ -48,6 +50,7 @@ LEVELS = 3
 SAMPLE = 10_000       # documents whose shingles tell which are common
 MAX_COMMON = 100_000  # shingles put last
 MIN_COMMON = 3        # documents of the sample that hold a common shingle
+CLASSES = 64          # hash classes of shingles that a document's sketch counts
 STEP = 1 << 16        # shingles hashed at a time
 
 
@@ -100,14 +103,15 @@ def common_shingles(docs: DataFrame, shingle: int, sample: int = SAMPLE) -> np.n
 
 
 def _sets(docs: DataFrame, shingle: int, percent: int, common: np.ndarray) -> DataFrame:
-    """(doc_id, row, n, cls, near): size, class and the first shingles (window and deeper levels) of every row."""
+    """(doc_id, row, n, cls, near, sketch) of every row: size, class, first shingles (window and deeper levels), and the
+    counts of its shingles by hash class (NULL for sets of millions, which are then not told apart by them)."""
     at = np.argsort(common)
     shared = docs.sparkSession.sparkContext.broadcast((common[at], at))  # at most MAX_COMMON longs each
 
     def run(batches):
         known, place = shared.value
         for b in batches:
-            n, cls, near = [], [], []
+            n, cls, near, sketch = [], [], [], []
             for text in b.column(2).to_pylist():
                 s = shingle_set(text, shingle)
                 n.append(len(s))
@@ -118,11 +122,14 @@ def _sets(docs: DataFrame, shingle: int, percent: int, common: np.ndarray) -> Da
                     last = np.where(known[i] == s, place[i] + 1, 0)
                 first = np.lexsort((s, last))[:window(len(s), percent) + LEVELS - 1] if len(s) else np.zeros(0, dtype=np.int64)
                 near.append(s[first])
+                counts = np.bincount(s & CLASSES - 1, minlength=CLASSES)
+                sketch.append(counts.astype(np.int16) if counts.max() < 1 << 15 else None)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int32()), pa.array(cls, pa.binary()),
-                                              pa.array(near, pa.list_(pa.int64()))], names=["doc_id", "row", "n", "cls", "near"])
+                                              pa.array(near, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int16()))],
+                                             names=["doc_id", "row", "n", "cls", "near", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row().alias("row"), "text").mapInArrow(
-        run, "doc_id long, row long, n int, cls binary, near array<long>")
+        run, "doc_id long, row long, n int, cls binary, near array<long>, sketch array<short>")
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -133,15 +140,28 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(parts, pa.list_(pa.int64()))], names=["cls", "s"])
 
     texts = (docs.select(_row().alias("__row"), F.col("text").alias("__text"))
-             .join(wanted, F.col("__row") == F.col("row")).select("cls", "__text"))
-    # rows equal in id and text have one row hash: any of them gives the set
-    return texts.mapInArrow(run, "cls binary, s array<long>").dropDuplicates(["cls"])
+             .join(wanted, F.col("__row") == F.col("row")).select("cls", "times", "__text"))
+    # rows equal in id and text have one row hash; one of them is taken
+    once = texts.where("times = 1").select("cls", "__text")
+    repeated = texts.where("times > 1").select("cls", "__text").dropDuplicates(["cls"])
+    return once.unionByName(repeated).mapInArrow(run, "cls binary, s array<long>")
+
+
+def _reachable(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sketches allow the similarity."""
+    def side(c):
+        return classes.select(F.col("cls").alias(f"c{c}"), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"k{c}"))
+
+    most = F.coalesce(F.aggregate(F.zip_with("ka", "kb", lambda x, y: F.least(x, y).cast("int")), F.lit(0), lambda x, y: x + y),
+                      F.least("na", "nb"))
+    return (pairs.join(side("a"), F.col("a") == F.col("ca")).join(side("b"), F.col("b") == F.col("cb"))
+            .where((100 + percent) * most >= percent * (F.col("na") + F.col("nb"))).select("a", "b"))
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Written links among the written candidate pairs (a, b)."""
     ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-    wanted = classes.join(ends, F.col("cls") == F.col("c"), "left_semi").select("row", "cls")
+    wanted = classes.join(ends, F.col("cls") == F.col("c"), "left_semi").select("row", "cls", "times")
     sets = write_scratch(_whole_sets(docs, wanted, shingle), "jaccard-sets")
     both = F.size(F.array_intersect("sa", "sb"))
     links = write_scratch(
@@ -172,14 +192,21 @@ def _regions(members: DataFrame, percent: int, level: int) -> DataFrame:
                     (F.col("at") + 1 + F.col("i")).alias("at")))
 
 
-def _candidates(side: DataFrame, sizes: DataFrame, percent: int, level: int, max_region: int) -> DataFrame:
-    """Pairs of small regions, and of crowded ones every member with the region's least class."""
-    few = sizes.where(F.col("m") <= max_region).select(F.col("key").alias("k"))
-    small = side.select("cls", "n", F.col("at").alias("pos"), "key").join(few, F.col("key") == F.col("k"), "left_semi")
+def _shared(side: DataFrame) -> DataFrame:
+    """Written members of the regions with more than one, and m, the region's size. One exchange serves count and join."""
+    n = int(side.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = side.repartition(n, "key")
+    sizes = side.groupBy(F.col("key").alias("k")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    return write_scratch(side.join(sizes.hint("merge"), F.col("key") == F.col("k")).drop("k"), "jaccard-regions")
+
+
+def _candidates(side: DataFrame, middles: DataFrame, percent: int, level: int, max_region: int) -> DataFrame:
+    """Pairs of small regions, and of crowded ones every member with the region's middle."""
+    small = side.where(F.col("m") <= max_region).select("cls", "n", F.col("at").alias("pos"), "key")
     pairs = (small.alias("l").join(small.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.cls") < F.col("r.cls")))
              .where(_near_sizes(percent) & _enough_left(percent, level)).select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")))
-    many = sizes.where(F.col("m") > max_region).select(F.col("key").alias("k"), "middle")
-    stars = (side.join(many, F.col("key") == F.col("k")).where("cls <> middle").select(F.col("middle").alias("a"), F.col("cls").alias("b")))
+    stars = (side.where(F.col("m") > max_region).join(middles, F.col("key") == F.col("k"))
+             .where("cls <> middle").select(F.col("middle").alias("a"), F.col("cls").alias("b")))
     return pairs.unionByName(stars)
 
 
@@ -187,20 +214,23 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE, percent:
           max_region: int = MAX_REGION) -> tuple[DataFrame, DataFrame]:
     """Written (links, components) that connect exactly the classes joined by chains of links.
 
-    ``classes``: written table (cls, row, n, near) with one row for each distinct set.
+    ``classes``: written table (cls, row, times, n, near, sketch) with one row for each distinct set; row is the hash of a
+    document's id and text, times the number of such documents.
     """
     members = classes.select("cls", "n", "near", F.lit(0).cast("long").alias("key"), F.lit(-1).alias("at"))
     found, waiting, root = None, None, None
     for level in range(1, LEVELS + 1):
-        side = _regions(members, percent, level)
-        sizes = write_scratch(side.groupBy("key").agg(
-            F.count(F.lit(1)).alias("m"), F.min(F.struct("at", "cls")).alias("first"), F.min("n").alias("small")).where("m > 1")
-            .select("key", "m", F.col("first.cls").alias("middle"), "small"), "jaccard-regions")
-        some = _candidates(side, sizes, percent, level, max_region)
+        side = _shared(_regions(members, percent, level))
+        middles = write_scratch(
+            side.where(F.col("m") > max_region).groupBy(F.col("key").alias("k"))
+            .agg(F.min(F.struct("at", "cls")).alias("first"), F.min("n").alias("small"))
+            .select("k", F.col("first.cls").alias("middle"), "small"), "jaccard-middles")
+        some = _candidates(side, middles, percent, level, max_region)
         if waiting is not None:
             some = some.unionByName(waiting)
         found, root = _grown(docs, classes, some, found, root, shingle, percent)
-        crowded = _unsettled(side, sizes.where(F.col("m") > max_region), root, percent, level)
+        crowded = _unsettled(side.drop("m"), middles, root, percent, level)
+        drop_scratch(side)
         if crowded.isEmpty():
             return found, root
         outside, rest = _divided(crowded, max_region)
@@ -215,7 +245,7 @@ def links(docs: DataFrame, classes: DataFrame, shingle: int = SHINGLE, percent:
 def _grown(docs, classes, candidates, found, root, shingle, percent):
     """Links and components with the verified candidates added."""
     pairs = candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = write_scratch(pairs, "jaccard-pairs")
+    pairs = write_scratch(_reachable(classes, pairs, percent), "jaccard-pairs")
     new = _verified(docs, classes, pairs, shingle, percent)
     drop_scratch(pairs)
     if found is None:
@@ -228,13 +258,13 @@ def _grown(docs, classes, candidates, found, root, shingle, percent):
     return found, components(found)
 
 
-def _unsettled(side: DataFrame, crowded: DataFrame, root: DataFrame, percent: int, level: int) -> DataFrame:
+def _unsettled(side: DataFrame, middles: DataFrame, root: DataFrame, percent: int, level: int) -> DataFrame:
     """Written members of crowded regions that lie in more than one component, with root, region size and main component.
 
     A member goes if what it can share from the pivot on is too little for the smallest partner the region can offer.
     """
     partner = F.greatest(F.col("small"), F.ceil(F.col("n") * percent / 100))
-    rows = (side.join(crowded.select(F.col("key").alias("k"), "small"), F.col("key") == F.col("k"))
+    rows = (side.join(middles.select("k", "small"), F.col("key") == F.col("k"))
             .where((100 + percent) * (F.col("n") - F.col("at") + level - 1) >= percent * (F.col("n") + partner)).drop("k", "small")
             .join(root.select("node", F.col("root").alias("r")), F.col("cls") == F.col("node"), "left")
             .withColumn("root", F.coalesce("r", "cls")).drop("node", "r"))
@@ -263,7 +293,9 @@ def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
     """doc_id, n_shingles, component_id for every row of ``docs``."""
     small_batches(docs.sparkSession)
     sets = write_scratch(_sets(docs, shingle, percent, common_shingles(docs, shingle)), "jaccard-docs")
-    classes = write_scratch(sets.where("cls is not null").dropDuplicates(["cls"]).select("cls", "row", "n", "near"), "jaccard-classes")
+    times = sets.groupBy(F.col("row").alias("r")).agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    classes = sets.where("cls is not null").dropDuplicates(["cls"]).join(times, F.col("row") == F.col("r"), "left")
+    classes = write_scratch(classes.select("cls", "row", F.coalesce("times", F.lit(1)).alias("times"), "n", "near", "sketch"), "jaccard-classes")
     _, root = links(docs, classes, shingle, percent, max_region)
     least = sets.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"))
     rooted = (least.join(root, F.col("cls") == F.col("node"), "left")
