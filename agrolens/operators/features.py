@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from agrolens.functions.clean import category_text
+
 
 def hash_bucket(key: str = "record_key", buckets: int = 100) -> F.Column:
     """0..buckets-1 from the first 32 bits of md5(key)."""
@@ -90,6 +92,36 @@ def ordered_target_encode_all(df: DataFrame, cats, target: str, order_key: str =
     return cur
 
 
+def ordered_target_orders(df: DataFrame, cats, target: str, order_key: str = "record_key", orders: int = 1,
+                          prior: float | None = None, split_hex: int | None = None) -> DataFrame:
+    """M6 over several orders: (order_key, <column>_enc<o>) with the ordered target statistic of every categorical column in
+    each of ``orders`` seeded orders of the rows (order o: by md5 of key, colon and o).
+
+    All columns and orders take one pass: rows become narrow (column, level, order, key, target) rows that are
+    cut into slices of the order as in ``ordered_target_encoding``, so a level that holds most rows is
+    dealt over many tasks. ``order_key`` must be unique. Missing levels are 'NA'.
+    """
+    if split_hex is None:
+        split_hex = choose_split_hex(df.count())
+    pr = float(prior) if prior is not None else df.agg(F.avg(target)).first()[0]
+    long = (df.select(F.col(order_key).alias("_k"), F.col(target).alias("_t"), F.posexplode(F.array(*[category_text(c) for c in cats])).alias("_c", "_l"))
+            .withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(orders - 1))))
+            .withColumn("_h", F.md5(F.concat_ws(":", F.col("_k").cast("string"), F.col("_o"))))
+            .withColumn("_s", F.substring("_h", 1, split_hex)))
+    group = ["_c", "_l", "_o"]
+    totals = long.groupBy(*group, "_s").agg(F.sum("_t").alias("_ss"), F.count("_t").alias("_sn"))
+    before = Window.partitionBy(*group).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*[F.col(c).alias("s" + c) for c in (*group, "_s")], F.coalesce(F.sum("_ss").over(before), F.lit(0.0)).alias("_ps"),
+                           F.coalesce(F.sum("_sn").over(before), F.lit(0)).alias("_pn"))
+    inside = Window.partitionBy(*group, "_s").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)
+    j = long.join(totals, [F.col(c) == F.col("s" + c) for c in (*group, "_s")])
+    enc = ((F.col("_ps") + F.coalesce(F.sum("_t").over(inside), F.lit(0.0)) + F.lit(pr))
+           / (F.col("_pn") + F.coalesce(F.count("_t").over(inside), F.lit(0)) + 1))
+    j = j.select("_k", "_c", "_o", enc.alias("_e"))
+    return j.groupBy(F.col("_k").alias(order_key)).agg(*[
+        F.max(F.when((F.col("_c") == i) & (F.col("_o") == o), F.col("_e"))).alias(f"{c}_enc{o}") for o in range(orders) for i, c in enumerate(cats)])
+
+
 def category_means(df: DataFrame, cat: str, target: str, out: str | None = None, prior=None) -> DataFrame:
     """M6 at scoring time: full-data (sum + prior) / (count + 1) per category."""
     out = out or f"{cat}_enc"

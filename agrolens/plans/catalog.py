@@ -544,6 +544,73 @@ def written_batches_merged(spark, sf_dir):
                  F.sum(F.coalesce(F.length("html"), F.lit(0))).alias("html_chars")))
 
 
+@register("recollected_batches_merged", """
+WITH p AS (SELECT page_id + 1 AS page_no, coalesce(length(html), 0) AS n FROM pages),
+b AS (SELECT CAST(floor((page_no - 1) / 100) * 100 + 1 AS BIGINT) AS batch_start, page_no, n FROM p),
+c AS (SELECT batch_start, page_no, CASE WHEN batch_start = 1 THEN 5 ELSE n END AS n FROM b
+      WHERE batch_start <> 1 OR page_no % 2 = 0)
+SELECT CAST(batch_start AS VARCHAR) || '_to_' || CAST(batch_start + 99 AS VARCHAR) AS batch,
+       count(*) AS page_count, sum(page_no)::BIGINT AS page_sum, sum(n)::BIGINT AS html_chars
+FROM c GROUP BY batch_start""")
+def recollected_batches_merged(spark, sf_dir):
+    """S5 + S6: all batches written, the first one collected again with other pages, and all merged: only its folder changed."""
+    import uuid
+
+    from agrolens.records import table
+    from agrolens.session import scratch_path
+    from agrolens.sources.readers import merge_batches
+    from agrolens.sources.sinks import write_page_batches
+    path = scratch_path(spark, "batches-" + uuid.uuid4().hex[:12])
+    p = table(spark, sf_dir, "pages").select((F.col("page_id") + 1).alias("page_no"), "html")
+    write_page_batches(p, path, page_col="page_no", clip=False)
+    again = p.where((F.col("page_no") <= 100) & (F.col("page_no") % 2 == 0)).withColumn("html", F.lit("again"))
+    write_page_batches(again, path, page_col="page_no", clip=False)
+    return (merge_batches(spark, [path]).groupBy("batch")
+            .agg(F.count(F.lit(1)).alias("page_count"), F.sum("page_no").alias("page_sum"),
+                 F.sum(F.coalesce(F.length("html"), F.lit(0))).alias("html_chars")))
+
+
+@register("csv_charsets_merged", """
+SELECT record_key, '县 ' || county AS county, status FROM records""")
+def csv_charsets_merged(spark, sf_dir):
+    """Records written as CSV, one part in UTF-8 and one in GBK, read back as one table."""
+    import uuid
+
+    from agrolens.session import scratch_path
+    from agrolens.sources.readers import read_csv_any
+    path = scratch_path(spark, "csv-" + uuid.uuid4().hex[:12])
+    r = records(spark, sf_dir).select("record_key", F.concat(F.lit("县 "), "county").alias("county"), "status")
+    old = spark.conf.get("spark.sql.legacy.javaCharsets")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    try:
+        for part, charset in (("F", "UTF-8"), ("rest", "GBK")):
+            mine = F.coalesce(F.col("status"), F.lit("")) == "F"
+            r.where(mine if part == "F" else ~mine).write.option("header", True).option("encoding", charset).csv(f"{path}/{part}")
+    finally:
+        spark.conf.set("spark.sql.legacy.javaCharsets", old)
+    return read_csv_any(spark, [f"{path}/F", f"{path}/rest"]).select("record_key", "county", "status")
+
+
+@register("report_written_back", """
+SELECT 'category' AS name, item_category AS key, round_even(sum(quantity), 2) AS quantity FROM records
+WHERE item_category IS NOT NULL GROUP BY item_category
+UNION ALL
+SELECT 'status', status, round_even(sum(quantity), 2) FROM records WHERE status IS NOT NULL GROUP BY status""")
+def report_written_back(spark, sf_dir):
+    """S7 + S8: result tables written as CSV side by side and read back as text."""
+    import uuid
+
+    from agrolens.session import scratch_path
+    from agrolens.sources.readers import read_records
+    from agrolens.sources.sinks import write_report
+    r = records(spark, sf_dir)
+    tables = {name: r.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("key")).agg(F.sum("quantity").alias("quantity"))
+              for name, c in (("category", "item_category"), ("status", "status"))}
+    paths = write_report(tables, scratch_path(spark, "report-" + uuid.uuid4().hex[:12]), "csv")
+    back = [read_records(spark, p, "csv").withColumn("name", F.lit(n)) for n, p in paths.items()]
+    return back[0].unionByName(back[1]).select("name", "key", F.bround(F.col("quantity").cast("double"), 2).alias("quantity"))
+
+
 @register("merged_batches", """
 SELECT record_key, status, CASE WHEN status = 'F' THEN NULL ELSE dealer END AS dealer FROM records""")
 def merged_batches(spark, sf_dir):
@@ -684,9 +751,8 @@ def seasonal_forecast(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- M1, M3-M5, M9-M12, S10, D5 (rows-only)
-# All models take categories as target statistics (no vocabulary, any number of levels). Forests
-# have the register's size; the boosting queries have fewer rounds than the register (1000 / 300 /
-# 500, the operators' defaults), see README.
+# All models take categories as target statistics (no vocabulary, any number of levels) and have the
+# register's size.
 RF_SIZE = dict(num_trees=100, max_depth=10)
 _MODEL_CACHE: dict = {}
 
@@ -874,22 +940,47 @@ def target_encoded_rows(spark, sf_dir):
         *[F.bround(f"{c}_enc", 4).alias(f"{c}_enc") for c in M.BASE_CATEGORICAL])
 
 
-def _target_model(spark, sf_dir):
-    from pyspark.ml.regression import GBTRegressor
+ORDERS = 3
+
+
+def _target_orders_sql() -> str:
+    from agrolens.operators.models import BASE_CATEGORICAL as cats
+    needed = " AND ".join(f"{c} IS NOT NULL" for c in [*cats, "quantity", "unit_subsidy", "unit_price"])
+    stats = ", ".join(
+        f"round_even((coalesce(sum(unit_price) OVER w_{c}_{o}, 0) + prior) / (count(unit_price) OVER w_{c}_{o} + 1), 4) AS {c}_enc{o}"
+        for o in range(ORDERS) for c in cats)
+    windows = ", ".join(
+        f"w_{c}_{o} AS (PARTITION BY {c} ORDER BY md5(record_key || ':{o}') ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        for o in range(ORDERS) for c in cats)
+    return f"""
+WITH p AS (SELECT * FROM records WHERE {needed} AND {_BUCKET_SQL} < 80),
+pr AS (SELECT avg(unit_price) AS prior FROM p)
+SELECT record_key, {stats} FROM p, pr WINDOW {windows}"""
+
 
+@register("target_order_rows", _target_orders_sql())
+def target_order_rows(spark, sf_dir):
+    """M6: every training row's ordered target statistics in each of the seeded orders."""
     from agrolens.operators import models as M
-    from agrolens.operators.target_model import fit_target_model
+    from agrolens.operators.features import ordered_target_orders, split_train_test
+    rows = split_train_test(M.prepare(records(spark, sf_dir), M.BASE_CATEGORICAL, M.BASE_NUMERIC))
+    out = ordered_target_orders(rows.where(~F.col("is_test")), M.BASE_CATEGORICAL, M.TARGET, orders=ORDERS)
+    return out.select("record_key", *[F.bround(c, 4).alias(c) for c in out.columns if c != "record_key"])
+
+
+def _target_model(spark, sf_dir):
+    """M6 at the register's size: 500 rounds, depth 7, step 0.05."""
+    from agrolens.operators import models as M
+    from agrolens.operators.target_model import fit_ordered_target_model
     k = ("target", spark.sparkContext.applicationId, sf_dir)
     if k not in _MODEL_CACHE:
-        gbt = GBTRegressor(featuresCol="features", labelCol=M.TARGET, predictionCol="predicted_price",
-                           maxIter=10, stepSize=0.2, maxDepth=5, seed=42)
-        _MODEL_CACHE[k] = fit_target_model(records(spark, sf_dir), gbt, M.BASE_CATEGORICAL, M.TIME_NUMERIC, with_year=True)
+        _MODEL_CACHE[k] = fit_ordered_target_model(records(spark, sf_dir), M.BASE_CATEGORICAL, M.TIME_NUMERIC, with_year=True, orders=ORDERS)
     return _MODEL_CACHE[k]
 
 
 @register("gbt_target_encoded_metrics")
 def gbt_target_encoded_metrics(spark, sf_dir):
-    """M6: boosting on target statistics, scored on the test part (smoke: 10 rounds)."""
+    """M6: boosting on target statistics in several orders, scored on the test part."""
     from agrolens.operators.features import regression_metrics
     model, d = _target_model(spark, sf_dir)
     return regression_metrics(model.score(d.where(F.col("is_test"))))
@@ -906,7 +997,7 @@ def target_model_checks(spark, sf_dir):
     import uuid
 
     from agrolens.operators import models as M
-    from agrolens.operators.target_model import load_target_model
+    from agrolens.operators.target_model import load_boosted_target_model
     from agrolens.session import scratch_path
     model, d = _target_model(spark, sf_dir)
     path = scratch_path(spark, "target-model-" + uuid.uuid4().hex[:12])
@@ -914,7 +1005,7 @@ def target_model_checks(spark, sf_dir):
     test = d.where(F.col("is_test"))
     specs = test.drop(M.TARGET).withColumn("purchase_year", F.lit(2026))
     one = model.score(specs).select("record_key", F.col("predicted_price").alias("a"))
-    two = load_target_model(spark, path).score(specs).select(F.col("record_key").alias("k"), F.col("predicted_price").alias("b"))
+    two = load_boosted_target_model(spark, path).score(specs).select(F.col("record_key").alias("k"), F.col("predicted_price").alias("b"))
     same = one.join(two, F.col("record_key") == F.col("k"), "full").agg(
         F.count("a").alias("n_specs"), F.min(F.coalesce(F.col("a") == F.col("b"), F.lit(False))).alias("saved_equals_fitted"))
     error = model.score(test).agg((F.avg(F.abs(F.col("actual_price") - F.col("predicted_price")))
@@ -925,6 +1016,49 @@ def target_model_checks(spark, sf_dir):
 _IF_FEATURES = ["unit_price", "unit_subsidy", "total_subsidy", "quantity"]
 
 
+_HOT_COLS = ["county", "item_category", "manufacturer", "model", "dealer", "serial_no"]
+_HOT_SQL = f"""
+WITH p AS (SELECT record_key, {_BUCKET_SQL} >= 80 AS is_test, CASE WHEN substr(record_key, 1, 1) <> '0' THEN county END AS c0,
+             item_category AS c1, manufacturer AS c2, model AS c3, dealer AS c4, serial_no AS c5 FROM records),
+e AS (SELECT record_key, is_test, unnest([0, 1, 2, 3, 4, 5]) AS col, unnest([c0, c1, c2, c3, c4, c5]) AS level FROM p),
+lv AS (SELECT DISTINCT col, level FROM e WHERE NOT is_test),
+first AS (SELECT col, min(level) AS level FROM lv GROUP BY col),
+v AS (SELECT lv.col, lv.level, row_number() OVER (ORDER BY lv.col, lv.level NULLS LAST) - 1 AS idx
+      FROM lv JOIN first ON lv.col = first.col WHERE lv.level IS NULL OR lv.level > first.level)"""
+
+
+def _hot_rows(spark, sf_dir):
+    """Records with some counties missing, split in training and test part."""
+    from agrolens.operators.features import split_train_test
+    r = records(spark, sf_dir).withColumn("county", F.when(F.substring("record_key", 1, 1) != "0", F.col("county")))
+    return split_train_test(r.select("record_key", *_HOT_COLS))
+
+
+@register("onehot_aligned_rows", _HOT_SQL + """
+SELECT p.record_key, p.is_test, coalesce(string_agg(idx::VARCHAR, ',' ORDER BY idx), '') AS entries
+FROM p LEFT JOIN e ON e.record_key = p.record_key LEFT JOIN v ON v.col = e.col AND v.level IS NOT DISTINCT FROM e.level
+GROUP BY p.record_key, p.is_test""")
+def onehot_aligned_rows(spark, sf_dir):
+    """M1 + J6: one-hot entries of every row by the vocabulary of the training part: first levels dropped, missing values
+    as a level, levels that only the test part holds without entry."""
+    from agrolens.operators.vocabulary import fit_vocabulary, one_hot
+    rows = _hot_rows(spark, sf_dir)
+    v = fit_vocabulary(rows.where(~F.col("is_test")), _HOT_COLS)
+    return one_hot(rows, v, _HOT_COLS, "record_key").select(
+        "record_key", "is_test", F.array_join(F.col("onehot").cast("array<string>"), ",").alias("entries"))
+
+
+@register("onehot_unknown_levels", _HOT_SQL + """
+SELECT ['county', 'item_category', 'manufacturer', 'model', 'dealer', 'serial_no'][col + 1] AS name, level, count(*) AS n_rows
+FROM e WHERE is_test AND NOT EXISTS (SELECT 1 FROM lv WHERE lv.col = e.col AND lv.level IS NOT DISTINCT FROM e.level)
+GROUP BY col, level""")
+def onehot_unknown_levels(spark, sf_dir):
+    """Levels of the test part that the training part does not hold."""
+    from agrolens.operators.vocabulary import unknown_levels
+    rows = _hot_rows(spark, sf_dir)
+    return unknown_levels(rows.where(F.col("is_test")), rows.where(~F.col("is_test")), _HOT_COLS)
+
+
 @register("iforest_scores")
 def iforest_scores(spark, sf_dir):
     from agrolens.operators.isolation_forest import isolation_forest

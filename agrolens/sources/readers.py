@@ -19,6 +19,8 @@ def read_records(spark: SparkSession, path, fmt: str = "parquet", schema=None, *
     r = spark.read.options(**options)
     if fmt == "csv":
         r = r.option("header", True).option("inferSchema", False)
+    elif fmt == "json":
+        r = r.option("primitivesAsString", True)
     if schema is not None:
         r = r.schema(schema)
     return r.format(fmt).load(path)

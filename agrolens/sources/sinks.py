@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 
 def page_batches(pages: DataFrame, page_col: str = "page_id", batch_size: int = 100,
-                 first_page: int = 1) -> DataFrame:
+                 first_page: int = 1, clip: bool = True) -> DataFrame:
     """Batch of every page: ranges of ``batch_size`` from ``first_page``; the last batch is
-    clipped at the last page. Adds batch_start, batch_end and batch ('start_to_end')."""
+    clipped at the last page unless ``clip`` is false, which gives names that stay when later pages arrive.
+    Adds batch_start, batch_end and batch ('start_to_end')."""
+    if not clip:
+        first = (F.floor((F.col(page_col) - first_page) / batch_size) * batch_size + first_page).cast("long")
+        return (pages.withColumn("batch_start", first).withColumn("batch_end", F.col("batch_start") + batch_size - 1)
+                .withColumn("batch", F.concat_ws("_to_", "batch_start", "batch_end")))
     last = pages.agg(F.max(page_col).alias("_last"))
     start = F.floor((F.col(page_col) - first_page) / batch_size) * batch_size + first_page
     return (pages.crossJoin(F.broadcast(last))
@@ -22,8 +27,10 @@ def page_batches(pages: DataFrame, page_col: str = "page_id", batch_size: int =
 
 
 def write_page_batches(df: DataFrame, out_dir: str, fmt: str = "parquet", **kw) -> None:
-    """S5 sink: one output directory per batch (``batch=start_to_end``)."""
-    page_batches(df, **kw).write.mode("overwrite").partitionBy("batch").format(fmt).save(out_dir)
+    """S5 sink: one output directory per batch (``batch=start_to_end``). Batches of ``df`` replace their own
+    directories only; other batches under ``out_dir`` stay. Write with ``clip=False`` to re-collect ranges one by one."""
+    (page_batches(df, **kw).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch").format(fmt).save(out_dir))
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",

@@ -87,3 +87,22 @@ def test_seasonal_forecast_skips_failing_group(spark):
     out = seasonal_forecast(df).collect()
     assert {r.township for r in out} <= {"ok", "oneday"}
     assert any(r.township == "ok" for r in out)
+
+
+def test_ordered_statistics_in_several_orders(spark):
+    import hashlib
+
+    from agrolens.operators.features import ordered_target_orders
+    rows = [(f"k{i}", None if i % 11 == 0 else "hot" if i % 3 else f"x{i % 5}", f"m{i % 2}", float(i * i % 97)) for i in range(120)]
+    df = spark.createDataFrame(rows, "record_key string, a string, b string, y double")
+    prior = sum(r[3] for r in rows) / len(rows)
+    for hexes in (0, 1, 2):
+        got = {r.record_key: r for r in ordered_target_orders(df, ["a", "b"], "y", orders=3, split_hex=hexes).collect()}
+        assert len(got) == len(rows)
+        for o in range(3):
+            for c, name in ((1, "a"), (2, "b")):
+                seen = {}
+                for r in sorted(rows, key=lambda r: hashlib.md5(f"{r[0]}:{o}".encode()).hexdigest()):
+                    s, n = seen.get(r[c], (0.0, 0))
+                    assert abs(got[r[0]][f"{name}_enc{o}"] - (s + prior) / (n + 1)) < 1e-9
+                    seen[r[c]] = (s + r[3], n + 1)
