@@ -45,11 +45,11 @@ from agrolens.llm.components import components
 
 SHINGLE = 3
 PERCENT = 90          # linked from this Jaccard similarity on
-MAX_REGION = 16       # classes of a region that are paired
+MAX_REGION = 128      # classes of a region that are paired
 LEVELS = 3
-SAMPLE = 10_000       # documents whose shingles tell which are common
-MAX_COMMON = 100_000  # shingles put last
-MIN_COMMON = 3        # documents of the sample that hold a common shingle
+SAMPLE = 20_000       # documents whose shingles tell which are common
+MAX_COMMON = 500_000  # shingles put last
+MIN_COMMON = 2        # documents of the sample that hold a common shingle
 CLASSES = 64          # hash classes of shingles that a document's sketch counts
 STEP = 1 << 16        # shingles hashed at a time
 
