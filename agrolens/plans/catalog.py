@@ -750,6 +750,46 @@ def seasonal_forecast(spark, sf_dir):
     return sf(records(spark, sf_dir), "township", "purchase_date", "quantity", 30, 10)
 
 
+@register("changepoint_forecast")
+def changepoint_forecast(spark, sf_dir):
+    """Trend with changepoints, weekly and yearly terms, bands that widen."""
+    from agrolens.operators.trend import changepoint_forecast as cf
+    return cf(records(spark, sf_dir), "township", "purchase_date", "quantity", 30, 10)
+
+
+@register("changepoint_forecast_checks", """
+WITH d AS (SELECT township, CAST(purchase_date AS DATE) AS ds FROM records
+           WHERE township IS NOT NULL AND purchase_date IS NOT NULL AND quantity IS NOT NULL)
+SELECT township, count(DISTINCT ds) AS n_history, max(ds) AS last_day, 30::BIGINT AS n_future, true AS band_never_narrows,
+       true AS share_inside_is_near_80
+FROM d GROUP BY township HAVING count(*) >= 10""")
+def changepoint_forecast_checks(spark, sf_dir):
+    """M13 in values that do not depend on the fit: days forecast, widths by horizon, and the share of all records inside."""
+    from pyspark.sql.window import Window
+    r = records(spark, sf_dir)
+    f = changepoint_forecast(spark, sf_dir).withColumn("width", F.col("yhat_upper") - F.col("yhat_lower"))
+    before = F.lag("width").over(Window.partitionBy("township").orderBy("ds"))  # days of a group
+    told = f.withColumn("narrower", F.col("future") & (F.col("width") < before - 1e-9)).groupBy("township").agg(
+        F.count(F.when(~F.col("future"), 1)).alias("n_history"), F.max(F.when(~F.col("future"), F.col("ds"))).alias("last_day"),
+        F.count(F.when(F.col("future"), 1)).alias("n_future"), (~F.bool_or("narrower")).alias("band_never_narrows"))
+    days = f.select(F.col("township").alias("t"), F.col("ds").alias("d"), "yhat_lower", "yhat_upper")
+    inside = (r.where(F.col("quantity").isNotNull()).join(days, (F.col("township") == F.col("t")) & (F.to_date("purchase_date") == F.col("d")))
+              .groupBy("t").agg(F.avg(F.col("quantity").between(F.col("yhat_lower"), F.col("yhat_upper")).cast("int")).alias("share")))
+    return told.join(inside, F.col("township") == F.col("t")).select(
+        "township", "n_history", "last_day", "n_future", "band_never_narrows", F.col("share").between(0.65, 0.95).alias("share_inside_is_near_80"))
+
+
+@register("forecast_skipped_groups", """
+SELECT buyer, count(*) AS n_rows, count(*) FILTER (purchase_date IS NOT NULL AND quantity IS NOT NULL) AS usable_rows,
+       CASE WHEN count(*) FILTER (purchase_date IS NOT NULL AND quantity IS NOT NULL) = 0 THEN 'no usable row' ELSE 'too few rows' END AS reason
+FROM records WHERE buyer IS NOT NULL GROUP BY buyer
+HAVING count(*) FILTER (purchase_date IS NOT NULL AND quantity IS NOT NULL) < 30""")
+def forecast_skipped_groups(spark, sf_dir):
+    """Buyers that get no forecast of their own, and why."""
+    from agrolens.operators.trend import skipped_groups
+    return skipped_groups(records(spark, sf_dir), "buyer", "purchase_date", "quantity", 30)
+
+
 # ---------------------------------------------------------------- M1, M3-M5, M9-M12, S10, D5 (rows-only)
 # All models take categories as target statistics (no vocabulary, any number of levels) and have the
 # register's size.
