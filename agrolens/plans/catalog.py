@@ -929,6 +929,30 @@ def gbt_early_stopping_rounds(spark, sf_dir):
         (F.col("leaves") <= 31).alias("at_most_31_leaves"), (F.col("kept") < F.col("mean")).alias("beats_the_mean"))
 
 
+@register("importance_by_level_checks", """
+SELECT 15::BIGINT AS n_top, true AS labels_name_column_and_level, true AS shares_add_up_to_the_columns, true AS sum_is_one""")
+def importance_by_level_checks(spark, sf_dir):
+    """The top labels of the early-stopped model, and all levels' shares summed up to the importance of their column."""
+    model, _, _ = _stopped_model(spark, sf_dir)
+    every = model.importance_by_level(None)
+    sums = every.groupBy("column").agg(F.sum("importance").alias("own"))
+    whole = model.importance(1000).select("feature", "importance")
+    added = sums.join(whole, F.col("column") == F.col("feature"), "full").agg(
+        F.min(F.coalesce(F.abs(F.col("own") - F.col("importance")) < 1e-9, F.lit(False))).alias("shares_add_up_to_the_columns"),
+        (F.abs(F.sum("own") - 1) < 1e-9).alias("sum_is_one"))
+    top = model.importance_by_level(15).agg(
+        F.count(F.lit(1)).alias("n_top"),
+        F.min(F.when(F.col("level").isNull(), F.col("label") == F.col("column"))
+              .otherwise(F.col("label") == F.concat("column", F.lit(" ("), "level", F.lit(")")))).alias("labels_name_column_and_level"))
+    return top.crossJoin(F.broadcast(added))  # one row each
+
+
+@register("importance_by_level")
+def importance_by_level(spark, sf_dir):
+    """The 15 most important levels, as "column (level)"."""
+    return _stopped_model(spark, sf_dir)[0].importance_by_level(15)
+
+
 @register("gbt_regularised_metrics")
 def gbt_regularised_metrics(spark, sf_dir):
     """M5 at the register's size: 300 rounds, depth 7, step 0.05, 80 % of rows and columns drawn for each tree."""
