@@ -185,6 +185,7 @@ def test_bpe_equals_tiktoken(tokenizer, spark):
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode_ordinary(t)
         assert own.decode(ids) == t.encode()
     assert not own.buckets and not any(own.low)
+    assert list(map(own.decode, own.encode_many(texts))) == [t.encode() for t in texts]
 
 
 def test_bpe_very_long_pretoken_is_fast(tokenizer):
@@ -192,6 +193,34 @@ def test_bpe_very_long_pretoken_is_fast(tokenizer):
     assert own_tokens(tokenizer, text) == tokenizer[1].encode_ordinary(text)
 
 
+def test_bpe_batch_equals_tiktoken(tokenizer, monkeypatch):
+    own, lib = tokenizer
+    rnd = random.Random(12)
+    texts = ["".join(rnd.choice("aab tTh \n\x1cé'l1.!\U0001F600中") for _ in range(rnd.randrange(90))) for _ in range(3000)]
+    texts += ["a" * n for n in range(40)] + ["ab" * n + "!" * n for n in range(40)] + ["", " ", "  ", "a ", "a  ", " a", "\n a", "a \n b"]
+    want = [np.array(lib.encode_ordinary(t), "<u4").tobytes() for t in texts]
+    assert own.encode_many(texts) == want and own.encode_many([]) == []
+    monkeypatch.setattr(bpe, "TEXT_CHARS", 20)   # long texts in slices
+    monkeypatch.setattr(bpe, "QUEUE_BYTES", 50)  # several queues a batch
+    monkeypatch.setattr(bpe, "LONG", 12)         # pre-tokens with a queue of their own
+    monkeypatch.setattr(bpe, "PIECES", 100)      # caches cleared between batches
+    monkeypatch.setattr(bpe, "PARTS", 100)
+    fresh = bpe.Bpe(own.ranks, PATTERN)
+    assert fresh.encode_many(texts) == want
+
+
+def test_bpe_merges_in_rank_order_for_any_vocabulary():
+    ranks = {bytes([b]): b for b in range(256)}
+    for k, t in enumerate([b"ab", b"ba", b"aba", b"bb", b"abab", b"aab", b"aa"]):  # "aab" comes before its part "aa"
+        ranks[t] = 256 + k
+    own = bpe.Bpe(ranks, PATTERN)
+    lib = tiktoken.Encoding("odd", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rnd = random.Random(1)
+    texts = ["".join(rnd.choice("aab") for _ in range(rnd.randrange(60))) for _ in range(2000)]
+    for t, ids in zip(texts, own.encode_many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == lib.encode_ordinary(t)
+
+
 def own_tokens(tokenizer, text):
     return np.frombuffer(tokenizer[0].encode(text), "<u4").tolist()
 
