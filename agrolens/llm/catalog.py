@@ -13,7 +13,8 @@ from agrolens.llm.common import table
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 ODD_TEXT = "</s>[INST] ok [/INST]"   # fixed value: the text of conversation -1
-DAMAGE = (97, 5)                     # the second replica is damaged in pages whose id modulo 97 is 5
+DAMAGE_EVERY = 97  # the second replica is damaged in pages whose id modulo 97 is one of these
+DAMAGE = {"altered": 5, "longer": 11, "shorter": 17, "dropped": 23, "inserted": 31}
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,11 +54,15 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Damage the first byte of some pages in a second replica and let the audit locate them."""
+    """Damage some pages in a second replica (DAMAGE) and let the audit locate them."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    hurt = pages.withColumn("html", F.when(
-        F.col("page_id") % DAMAGE[0] == DAMAGE[1], F.concat(F.lit("x"), F.expr("substring(html, 2)"))).otherwise(F.col("html")))
-    return warc.audit(warc.tree(warc.records(pages)), warc.tree(warc.records(hurt)))
+    kind = F.col("page_id") % DAMAGE_EVERY
+    hurt = pages.withColumn("html", F.when(kind == DAMAGE["altered"], F.concat(F.lit("x"), F.expr("substring(html, 2)")))
+                            .when(kind == DAMAGE["longer"], F.concat("html", F.lit("x")))
+                            .when(kind == DAMAGE["shorter"], F.expr("left(html, length(html) - 1)")).otherwise(F.col("html")))
+    inserted = pages.where(kind == DAMAGE["inserted"]).withColumn("html", F.concat(F.lit("new "), "html"))
+    two = hurt.where(F.coalesce(kind != DAMAGE["dropped"], F.lit(True))).unionByName(inserted)
+    return warc.audit(warc.tree(warc.records(pages)), warc.tree(warc.records(two)))
 
 
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,17 +250,29 @@ kept AS (
   FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)""",
-    "op9_warc_fixity": f"""
-WITH r AS (
-  SELECT page_id, page_id // {warc.PAGES_PER_ARCHIVE} AS archive,
-    strlen('WARC/1.0' || 'WARC-Type: response' || 'WARC-Target-URI: ' || coalesce(url, '') || 'Content-Type: text/html'
-           || 'Content-Length: ' || strlen(coalesce(html, ''))::VARCHAR || coalesce(html, '')) + 16 AS size
-  FROM pages),
-p AS (
-  SELECT *, row_number() OVER (PARTITION BY archive ORDER BY page_id) - 1 AS node,
-    sum(size) OVER (PARTITION BY archive ORDER BY page_id) AS e FROM r)
-SELECT archive::BIGINT AS archive, node::BIGINT AS node, page_id, (e - size)::BIGINT AS first, e::BIGINT AS "end", 'altered' AS state
-FROM p WHERE page_id % {DAMAGE[0]} = {DAMAGE[1]}""",
+    "op9_warc_fixity": rf"""
+WITH one AS (SELECT page_id, url, html FROM pages),
+two AS (
+  SELECT page_id, url, CASE page_id % {DAMAGE_EVERY} WHEN {DAMAGE["altered"]} THEN 'x' || substring(html, 2)
+    WHEN {DAMAGE["longer"]} THEN html || 'x' WHEN {DAMAGE["shorter"]} THEN left(html, length(html) - 1) ELSE html END AS html
+  FROM pages WHERE page_id % {DAMAGE_EVERY} <> {DAMAGE["dropped"]}
+  UNION ALL SELECT page_id, url, 'new ' || html FROM pages WHERE page_id % {DAMAGE_EVERY} = {DAMAGE["inserted"]}),
+told AS (
+  SELECT side, page_id, concat_ws(chr(13) || chr(10), 'WARC/1.0', 'WARC-Type: response', 'WARC-Target-URI: ' || coalesce(url, ''),
+    'Content-Type: text/html', 'Content-Length: ' || strlen(coalesce(html, '')), '', coalesce(html, ''), '', '') AS record
+  FROM (SELECT 1 AS side, * FROM one UNION ALL SELECT 2, * FROM two)),
+r AS (
+  SELECT side, page_id, page_id // {warc.PAGES_PER_ARCHIVE} AS archive, page_id % {warc.PAGES_PER_ARCHIVE} AS node,
+    strlen(record) AS size, sha256(record) AS digest FROM told),
+p AS (SELECT *, sum(size) OVER (PARTITION BY side, archive ORDER BY page_id, digest) AS e FROM r),
+odd AS (
+  SELECT *, row_number() OVER (PARTITION BY side, page_id ORDER BY e) AS n FROM p
+  WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.side <> p.side AND r.page_id = p.page_id AND r.digest = p.digest)),
+paired AS (
+  SELECT *, EXISTS (SELECT 1 FROM odd y WHERE y.side <> x.side AND y.page_id = x.page_id AND y.n = x.n) AS twin FROM odd x)
+SELECT archive::BIGINT AS archive, node::BIGINT AS node, page_id, (e - size)::BIGINT AS first, e::BIGINT AS "end",
+  CASE WHEN twin THEN 'altered' WHEN side = 1 THEN 'missing' ELSE 'extra' END AS state
+FROM paired WHERE side = 1 OR NOT twin""",
     "op10_licence_scan": _licence_sql(),
     "op12_conversation_repair": _repair_sql(),
     "op13_hard_negatives": f"""

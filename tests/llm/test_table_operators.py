@@ -140,6 +140,25 @@ def test_audit_missing_extra_and_empty(spark, replica):
     assert [tuple(r) for r in warc.archives(one, two).collect()] == [(0, 40, one.where("level = 0").agg({"end": "max"}).first()[0], 1)]
 
 
+def test_audit_reports_only_what_changed_when_lengths_change(spark, replica):
+    one = warc.tree(warc.records(pages(spark, replica)))
+    hurt = [(i, u, h[:-1] if i == 3 else h + "!" if i == 1500 else "Z" + h[1:] if i == 900 else h) for i, u, h in replica if i != 40]
+    hurt += [(60, "http://new", "<p>new</p>"), (5000, "http://far", "<p>far</p>")]
+    got = sorted(warc.audit(one, warc.tree(warc.records(pages(spark, hurt)))).select("page_id", "state").collect())
+    assert [tuple(r) for r in got] == [(3, "altered"), (40, "missing"), (60, "extra"), (900, "altered"), (1500, "altered"), (5000, "extra")]
+
+
+def test_audit_of_repeated_pages(spark, replica):
+    """One id with many records: equal copies are counted, others matched by their bytes."""
+    hot = [(7, "u", f"<p>{i}</p>") for i in range(700)] + [(7, "u", "same")] * 500
+    one = warc.tree(warc.records(pages(spark, replica + hot)))
+    two = warc.tree(warc.records(pages(spark, replica + hot[1:-2] + [(7, "u", "other")])))
+    rows = warc.audit(one, two).collect()
+    assert {r.page_id for r in rows} == {7} and sorted(r.state for r in rows) == ["altered", "missing", "missing"]
+    assert len({r.first for r in rows}) == 3 and all(r.first < r.end for r in rows)
+    assert {r.archive: r.n_records for r in warc.archives(one, two).collect()}[0] == 1024 + 2 + 1200
+
+
 # 10 licence scans
 
 def plain_dice(unit):
