@@ -288,7 +288,8 @@ def _with_spans(docs: DataFrame, hot: int) -> DataFrame:
     keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
     spans = (repeated_windows(keyed.select(F.col("__row").alias("row"), "text"), hot)
              .groupBy("row").agg(F.collect_set(F.struct("at", "mask")).alias("__spans")))
-    return keyed.join(spans, F.col("__row") == F.col("row"), "left").drop("__row", "row")
+    return (keyed.join(spans.withColumnRenamed("row", "__found"), F.col("__row") == F.col("__found"), "left")
+            .drop("__row", "__found"))
 
 
 def substring_dedup(docs: DataFrame, hot: int = HOT) -> DataFrame:

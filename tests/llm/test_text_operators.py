@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from agrolens.llm import bpe, decontam, langid, quality, simhash, substring
 from agrolens.llm.catalog import PATTERN, RANKS
@@ -321,3 +322,12 @@ def test_dedup_texts_keeps_rows_and_columns(spark, make_docs):
 
 def test_vocabulary_is_not_copied():
     assert RANKS == public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def test_substring_stage_takes_columns_of_its_own_names(spark, make_docs):
+    passage = " ".join(f"w{i}" for i in range(40))
+    names = ["row", "at", "mask", "spans", "m", "h", "salt", "hashes", "seen"]
+    docs = make_docs([(1, passage), (2, "before " + passage), (3, "alone")]).select("*", *[F.lit(n).alias(n) for n in names])
+    got = {r.doc_id: r for r in substring.dedup_texts(docs).collect()}
+    assert [got[i].text for i in (1, 2, 3)] == ["", "before", "alone"]
+    assert all(r[n] == n for r in got.values() for n in names)
