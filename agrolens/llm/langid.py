@@ -2,9 +2,9 @@
 
 A text becomes the set of its character n-grams (n = 1..3, lower-cased letters, every run of
 other characters one space), hashed to DIM bits. The kernel of two texts is the number of
-shared n-grams over the geometric mean of their set sizes. A bounded, hashed sample of
-labelled rows is encoded on the executors (DIM / 8 bytes a row, never a text, reach the
-driver). Some of them are landmarks Z; features are ``k(x, Z) K_ZZ^-1/2``, and one ridge
+shared n-grams over the geometric mean of their set sizes. A bounded sample of labelled rows,
+for each language the distinct rows with the smallest hashes of doc_id and text, is encoded on the
+executors (DIM / 8 bytes a row, never a text, reach the driver). Some of them are landmarks Z; features are ``k(x, Z) K_ZZ^-1/2``, and one ridge
 regression per language is solved in closed form. Scoring multiplies whole batches of bit rows
 with one matrix.
 
@@ -27,7 +27,7 @@ from agrolens.llm.common import small_batches
 
 DIM = 1 << 15             # hashed n-gram bits
 ORDERS = (1, 2, 3)
-TRAIN_PER_LANG = 400      # bound on the labelled sample, per language (expected; twice that at most)
+TRAIN_PER_LANG = 400      # bound on the labelled sample: distinct (doc_id, text) rows of each language
 LANDMARKS_PER_LANG = 24
 MAX_LANGS = 256           # more classes than this is an error, never a silent cut
 RIDGE = 1e-3
@@ -81,33 +81,44 @@ def fold(doc_id: Column) -> Column:
 
 def _encode(batches):
     for b in batches:
-        bits, langs = [], []
-        for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        bits, langs, hashes = [], [], []
+        for text, lang, h in zip(*[c.to_pylist() for c in b.columns]):
             row = np.zeros(DIM, dtype=np.uint8)
             if ngram_bits(text, row):
                 bits.append(np.packbits(row).tobytes())
                 langs.append(lang)
-        yield pa.RecordBatch.from_pydict({"lang": langs, "bits": bits},
-                                         schema=pa.schema([("lang", pa.string()), ("bits", pa.binary())]))
+                hashes.append(h)
+        yield pa.RecordBatch.from_pydict({"lang": langs, "h": hashes, "bits": bits}, schema=pa.schema(
+            [("lang", pa.string()), ("h", pa.int64()), ("bits", pa.binary())]))
 
 
 def training_rows(docs: DataFrame, per_lang: int = TRAIN_PER_LANG):
-    """The bounded labelled sample as (languages, bit matrix), in a deterministic order."""
-    usable = docs.where(F.col("lang").isNotNull() & (fold(F.col("doc_id")) != 1))
-    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    """The bounded labelled sample as (languages, bit matrix), in a deterministic order: for each
+    language its ``per_lang`` distinct rows (doc_id, text) with the smallest hashes. Equal rows count once."""
+    h = F.xxhash64(F.lit("langid"), "doc_id", "text")
+    usable = (docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 1))
+              .select("text", "lang", h.alias("h")))
+    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
              .limit(MAX_LANGS + 1).collect()}
     if len(sizes) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} distinct languages in the training labels")
     if not sizes:
         return [], np.zeros((0, DIM), dtype=np.uint8)
-    share = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1_000_000_007)) / 1_000_000_007
-    rate = F.create_map(*[F.lit(x) for k, n in sorted(sizes.items()) for x in (k, min(1.0, per_lang / n))])
-    picked = usable.where(share < F.element_at(rate, F.col("lang"))).select("text", "lang")
-    rows = picked.mapInArrow(_encode, "lang string, bits binary").limit(2 * per_lang * len(sizes)).collect()
-    rows = sorted((r["lang"], bytes(r["bits"])) for r in rows)
-    bits = np.unpackbits(np.frombuffer(b"".join(b for _, b in rows), dtype=np.uint8).reshape(len(rows), -1), axis=1) \
-        if rows else np.zeros((0, DIM), dtype=np.uint8)
-    return [lang for lang, _ in rows], bits
+    # A first cut by hash leaves about twice the rows wanted of each language; the count is an estimate.
+    share = F.pmod(F.col("h"), F.lit(1_000_000_007))
+    below = F.create_map(*[F.lit(x) for k, n in sorted(sizes.items())
+                           for x in (k, int(min(1.0, 2 * per_lang / max(n, 1)) * 1_000_000_007))])
+    picked = usable.where(share < F.element_at(below, F.col("lang"))).dropDuplicates(["lang", "h"]).select("text", "lang", "h")
+    kept, taken = [], {}
+    for r in sorted(picked.mapInArrow(_encode, "lang string, h bigint, bits binary").collect(),
+                    key=lambda r: (r["h"] % 1_000_000_007, r["h"], r["lang"])):
+        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
+        if taken[r["lang"]] <= per_lang:
+            kept.append((r["lang"], bytes(r["bits"])))
+    kept.sort()
+    bits = np.unpackbits(np.frombuffer(b"".join(b for _, b in kept), dtype=np.uint8).reshape(len(kept), -1), axis=1) \
+        if kept else np.zeros((0, DIM), dtype=np.uint8)
+    return [lang for lang, _ in kept], bits
 
 
 def fit(langs: list, bits: np.ndarray) -> dict | None:
