@@ -170,8 +170,8 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of ``docs`` for each component: that of its smallest doc_id, and one of its rows
-    without a doc_id, if it has any.
+    """One row of ``docs`` for each component: that of its smallest doc_id (a row without one only if
+    no row of the component has any).
 
     Rows are told apart by a hash of doc_id and text. Among rows of one doc_id (or of none) in a
     component the one with the smallest fingerprint, then the smallest hash, stays; of rows equal
@@ -179,11 +179,10 @@ def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MA
     """
     prints = write_scratch(fingerprints(docs, shingle, keyed=True), "simhash-prints")
     # Reduced to one row a fingerprint before the components are joined, so a hot text or id is one row.
-    first = F.min(F.struct("doc_id", "fp", "key"))
-    own = (prints.groupBy(F.col("fp").alias("f"), F.col("doc_id").isNull().alias("bare"))
-           .agg(first.alias("first")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", "fp", "key"))
+    own = prints.groupBy(F.col("fp").alias("f")).agg(first.alias("first"))
     own = own.join(_rooted(prints, max_bits).select("fp", "root"), F.col("f") == F.col("fp"))
-    own = own.groupBy("root", "bare").agg(F.min("first").alias("first")).select(F.col("first.key").alias("__kept"))
+    own = own.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.key").alias("__kept"))
     rows = prints.groupBy("key").agg(F.count(F.lit(1)).alias("__n"))
     own = write_scratch(rows.join(own, F.col("key") == F.col("__kept"), "left_semi")
                         .select(F.col("key").alias("__kept"), "__n"), "simhash-kept")
