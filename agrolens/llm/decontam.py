@@ -9,8 +9,9 @@ then binary-searched in the array: the range of suffixes with that window as pre
 locations, and each match is extended to its longest verbatim length.
 
 Window: 10 consecutive item words; an item of fewer words, but not none, is one window.
-The benchmark is cut into blocks of bounded size, broadcast one after the other, and documents
-pass through one narrow step per block, so no text is shuffled, however large it grows.
+A benchmark of one block (BLOCK_BYTES of text) is broadcast, and no text is shuffled. A larger one is
+cut into blocks: one job for each writes the matches of the documents it hits and frees the block
+before the next is read, so driver and workers hold one block at a time; the written matches are joined at last.
 
 Defined results: NULL or blank text has no words; NULL item texts have no windows; a NULL
 item_id counts as the item "null"; repeated items with one id count once, equal texts under
@@ -20,12 +21,16 @@ without items nothing is contaminated.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agrolens.llm.common import small_batches
+from agrolens.llm.common import small_batches, write_scratch
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
@@ -125,13 +130,13 @@ def longest(words_: list[bytes], block: Block, item: int, i: int, p: int, n: int
     return n
 
 
-def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[list]:
-    """The items in blocks of about ``block_bytes`` of text, each small enough to broadcast."""
+def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list]:
+    """The items in blocks of about ``block_bytes`` of text, each read when asked for and small enough to broadcast."""
     total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // block_bytes))
     part = F.pmod(F.xxhash64("text"), F.lit(n))
-    return [[(r[0], r[1]) for r in benchmark.where(part == k).select("item_id", "text").distinct().collect()]
-            for k in range(n)]
+    for k in range(n):
+        yield [(r[0], r[1]) for r in benchmark.where(part == k).select("item_id", "text").distinct().collect()]
 
 
 _MATCH = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int64()), ("length", pa.int64())]))
@@ -140,8 +145,8 @@ _MATCH_SQL = "array<struct<item_id: string, start: bigint, length: bigint>>"
 _HIT_SQL = "array<struct<start: bigint, length: bigint>>"
 
 
-def _search(shared, last: bool):
-    """One narrow step: search every shard for one block's windows. Texts leave only if another block follows."""
+def _search(shared):
+    """One narrow step: search every shard for one block's windows; earlier matches and hits are added to."""
     def flush(rows):
         block = shared.value
         tokens = [words(r[1]) for r in rows]
@@ -160,11 +165,10 @@ def _search(shared, last: bool):
             for h in r[3]:
                 hit[h["start"]:h["start"] + h["length"]] = True
             n_hit.append(int(hit.sum()))
-        doc_id, text, matches, hits = zip(*rows)
+        doc_id, _, matches, hits = zip(*rows)
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc_id, pa.int64()), pa.nulls(len(rows), pa.string()) if last else pa.array(text, pa.string()),
-             pa.array(matches, _MATCH), pa.array(hits, _HIT), pa.array(map(len, tokens), pa.int64()),
-             pa.array(n_hit, pa.int64())], names=["doc_id", "text", "matches", "hits", "n_words", "n_hit"])
+            [pa.array(doc_id, pa.int64()), pa.array(matches, _MATCH), pa.array(hits, _HIT), pa.array(map(len, tokens), pa.int64()),
+             pa.array(n_hit, pa.int64())], names=["doc_id", "matches", "hits", "n_words", "n_hit"])
 
     def run(batches):
         rows, size = [], 0
@@ -185,13 +189,26 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     the windows hit (word position, words), n_words and n_hit."""
     sc = docs.sparkSession.sparkContext
     small_batches(docs.sparkSession)
-    out = docs.select(F.col("doc_id").cast("long"), "text", F.expr(f"cast(null as {_MATCH_SQL})").alias("matches"),
-                      F.expr(f"cast(null as {_HIT_SQL})").alias("hits"))
-    blocks = benchmark_blocks(benchmark)
-    for k, items in enumerate(blocks):
-        step = _search(sc.broadcast(Block(items, window)), k == len(blocks) - 1)
-        out = out.mapInArrow(step, f"doc_id long, text string, matches {_MATCH_SQL}, hits {_HIT_SQL}, n_words long, n_hit long")
-    return out.drop("text")
+    schema = f"doc_id long, matches {_MATCH_SQL}, hits {_HIT_SQL}, n_words long, n_hit long"
+    nothing = F.expr(f"cast(null as {_MATCH_SQL})").alias("matches"), F.expr(f"cast(null as {_HIT_SQL})").alias("hits")
+    blocks = iter(benchmark_blocks(benchmark))
+    first, second = next(blocks, []), next(blocks, None)
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    if second is None:
+        return rows.select("*", *nothing).mapInArrow(_search(sc.broadcast(Block(first, window))), schema)
+    key = F.xxhash64("doc_id", "text")
+    found = []
+    for items in chain([first, second], blocks):
+        shared = sc.broadcast(Block(items, window))
+        hit = (rows.select(key.alias("doc_id"), "text", *nothing).mapInArrow(_search(shared), schema)
+               .where("n_hit > 0").select(F.col("doc_id").alias("__k"), "matches", "hits"))
+        found.append(write_scratch(hit.dropDuplicates(["__k"]), "decontam-hits"))  # equal rows have equal matches
+        shared.destroy()
+    # One row for one key and block at most.
+    whole = reduce(DataFrame.unionByName, found).groupBy("__k").agg(
+        F.flatten(F.collect_list("matches")).alias("matches"), F.flatten(F.collect_list("hits")).alias("hits"))
+    return (rows.join(whole, key == F.col("__k"), "left").select("doc_id", "text", "matches", "hits")
+            .mapInArrow(_search(sc.broadcast(Block([], window))), schema))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
