@@ -19,6 +19,10 @@ the row, the place and the input partition alone, so a retried task deals alike.
 
 The words covered by repeated windows are removed in a last join by row key.
 
+A text is read in pieces of PIECE_CHARS and hashed in blocks of BLOCK_BYTES that overlap by a window, so
+words and hashes of one block are in memory, however long the text. A word over LONG_WORD bytes is
+hashed as its digest.
+
 Defined results: NULL or blank text has no words; fewer than 35 words have no window; rows
 that repeat count as separate occurrences, so all their windows repeat; a NULL doc_id is
 kept as it is; extra columns are ignored (``dedup_texts`` carries them); no rows, no result.
@@ -28,6 +32,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +53,11 @@ SLICE_LOG2 = 20
 HOT = 200                  # estimated occurrences above which a minimiser is salted
 SALTS = 64                 # groups at least that a hot minimiser is dealt out to
 PART_BYTES = 64 << 20     # packed windows that one task groups in memory
+PIECE_CHARS = 1 << 18     # characters of a text split into words at a time
+BLOCK_BYTES = 1 << 18     # bytes of words hashed at a time, besides the overlap
+PACKED_ROWS = 1 << 16     # packed rows that leave a worker at a time, about
+COUNTED = 1 << 20         # minimisers counted at a time
+LONG_WORD = 4096          # bytes; a longer word is hashed as its digest
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd, so that they have inverses modulo 2^64
 _STATE: dict = {}
@@ -90,26 +101,69 @@ def _slide(x: np.ndarray, fn) -> np.ndarray:
     return x
 
 
-def split_words(text: str | None):
-    """Words as bytes, and their spans in the text of the words joined by one space."""
-    words = (text or "").encode("utf-8").split()
-    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    ends = np.cumsum(sizes + 1) - 1
-    return words, ends - sizes, ends
+def word_pieces(text: str | None) -> Iterator[list[bytes]]:
+    """The words of a text, in lists that cover PIECE_CHARS characters each."""
+    text, held = text or "", []  # held: the pieces of a word that may go on
+    for a in range(0, len(text), PIECE_CHARS):
+        data = text[a:a + PIECE_CHARS].encode("utf-8")
+        words = data.split()
+        if held and not data[:1].isspace():
+            held.append(words.pop(0))
+        if held and (words or data[-1:].isspace()):
+            words.insert(0, b"".join(held))
+            held = []
+        if words and not data[-1:].isspace() and a + PIECE_CHARS < len(text):
+            held.append(words.pop())
+        yield words
+    if held:
+        yield [b"".join(held)]
+
+
+def _blocks(text: str | None) -> Iterator[tuple[int, list[bytes], bool]]:
+    """(number of its first word, words, whether it is the last) of overlapping blocks of a text.
+
+    A block owns the windows that start in it, but not those of the next one; it also holds the SPAN - 1 words
+    before its first own one (unless it is the first), for the windows that reach back.
+    """
+    at, words, size = 0, [], 0
+    if len(text or "") < PIECE_CHARS // 4:  # at most one block
+        words = (text or "").encode("utf-8").split()
+        if all(len(w) <= LONG_WORD for w in words):
+            yield 0, words, True
+            return
+        words = []
+    for piece in word_pieces(text):
+        for w in piece:
+            w = w if len(w) <= LONG_WORD else hashlib.sha256(w).digest()
+            words.append(w)
+            size += len(w) + 1
+            if size > BLOCK_BYTES and len(words) >= 4 * WINDOW:
+                yield at, words, False
+                keep = WINDOW - 1 + SPAN - 1
+                at += len(words) - keep
+                words = words[-keep:]
+                size = sum(map(len, words)) + keep
+    yield at, words, True
 
 
 def minimisers(text: str | None, with_windows: bool = False):
-    """Per window its minimiser hash; the hashes of chosen gram occurrences; window hashes if asked."""
-    words, starts, ends = split_words(text)
-    if len(words) < WINDOW:
-        return None
-    data = np.frombuffer(b" ".join(words), dtype=np.uint8)
-    gram, = _grams(data, starts, ends, _BASES[0], GRAM)
-    low = _slide(gram, np.minimum)
-    edge = np.zeros(SPAN - 1, dtype=np.uint64)
-    chosen = gram[gram == _slide(np.concatenate([edge, low, edge]), np.maximum)]
-    window = _grams(data, starts, ends, _BASES[1], WINDOW)[0] if with_windows else None
-    return low, chosen, window
+    """In blocks: number of the first window; per window its minimiser hash; the hashes of chosen gram
+    occurrences; window hashes if asked. Each window and each chosen occurrence comes in one block."""
+    for at, words, last in _blocks(text):
+        if len(words) < WINDOW:
+            continue
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        ends = np.cumsum(sizes + 1) - 1
+        starts = ends - sizes
+        data = np.frombuffer(b" ".join(words), dtype=np.uint8)
+        gram, = _grams(data, starts, ends, _BASES[0], GRAM)
+        low = _slide(gram, np.minimum)
+        edge = np.zeros(SPAN - 1, dtype=np.uint64)
+        is_chosen = gram == _slide(np.concatenate([edge, low, edge]), np.maximum)
+        back = SPAN - 1 if at else 0  # windows of the block before
+        own = slice(back, None if last else len(low))
+        window = _grams(data, starts, ends, _BASES[1], WINDOW)[0][back:] if with_windows else None
+        yield at + back, low[back:], gram[own][is_chosen[own]], window
 
 
 def _cells(h: np.ndarray, width_log2: int) -> list[np.ndarray]:
@@ -127,11 +181,16 @@ def _partition_sketch(log2: int):
     def run(batches):
         sketch = np.zeros((DEPTH, 1 << log2), dtype=np.uint8)
         for b in batches:
-            found = [m[1] for m in map(minimisers, b.column(0).to_pylist()) if m is not None]
-            if found:
-                for row, cells in zip(sketch, _cells(np.concatenate(found), log2)):
-                    at, n = np.unique(cells, return_counts=True)
-                    row[at] = np.minimum(row[at] + n, 255)
+            found, held = [], 0
+            for chosen in chain((m[2] for text in b.column(0).to_pylist() for m in minimisers(text)), [None]):
+                if chosen is not None:
+                    found.append(chosen)
+                    held += len(chosen)
+                if found and (chosen is None or held >= COUNTED):
+                    for row, cells in zip(sketch, _cells(np.concatenate(found), log2)):
+                        at, n = np.unique(cells, return_counts=True)
+                        row[at] = np.minimum(row[at] + n, 255)
+                    found, held = [], 0
         pack = zstandard.ZstdCompressor(level=1).compress
         size = 1 << SLICE_LOG2
         for k in range(DEPTH):
@@ -194,22 +253,22 @@ def _candidates(shared, log2: int, salts: int):
         for b in batches:
             out = [[], [], [], [], []]
             for row, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                got = minimisers(text, True)
-                if got is None:
-                    continue
-                low, _, window = got
-                first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-                cells = _cells(low[first], log2)
-                maybe, many = _test(twice, cells), _test(hot, cells)
-                stop = np.append(first[1:], len(low))
-                for f, e, h in zip(first[maybe].tolist(), stop[maybe].tolist(), many[maybe].tolist()):
-                    m = int(low[f].view(np.int64))
-                    for a in range(f, e, SPAN):
-                        out[0].append(m)
-                        out[1].append(1 + (row + a + here) % salts if h else 0)
-                        out[2].append(row)
-                        out[3].append(a)
-                        out[4].append(window[a:min(e, a + SPAN)].tobytes())
+                for start, low, _, window in minimisers(text, True):
+                    first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+                    cells = _cells(low[first], log2)
+                    maybe, many = _test(twice, cells), _test(hot, cells)
+                    stop = np.append(first[1:], len(low))
+                    for f, e, h in zip(first[maybe].tolist(), stop[maybe].tolist(), many[maybe].tolist()):
+                        m = int(low[f].view(np.int64))
+                        for a in range(f, e, SPAN):
+                            out[0].append(m)
+                            out[1].append(1 + (row + start + a + here) % salts if h else 0)
+                            out[2].append(row)
+                            out[3].append(start + a)
+                            out[4].append(window[a:min(e, a + SPAN)].tobytes())
+                    if len(out[0]) >= PACKED_ROWS:
+                        yield pa.RecordBatch.from_pydict(dict(zip(_PACKED.names, out)), schema=_PACKED)
+                        out = [[], [], [], [], []]
             yield pa.RecordBatch.from_pydict(dict(zip(_PACKED.names, out)), schema=_PACKED)
     return run
 
@@ -274,13 +333,30 @@ def repeated_windows(rows: DataFrame, hot: int = HOT) -> DataFrame:
 
 def _covered(n: int, spans) -> np.ndarray:
     """Which of n words lie in a repeated window."""
-    edge = np.zeros(n + 1, dtype=np.int64)
+    edge = np.zeros(n + 1, dtype=np.int32)
     for at, mask in spans:
         for i in range(SPAN):
             if mask >> i & 1:
                 edge[at + i] += 1
                 edge[at + i + WINDOW] -= 1
-    return np.cumsum(edge[:n]) > 0
+    return np.cumsum(edge[:n], dtype=np.int32) > 0
+
+
+def kept_words(text: str | None, spans) -> tuple[int, Iterator[list[bytes]]]:
+    """Number of words of a text, and the words outside the repeated windows, in lists."""
+    one = list(word_pieces(text)) if len(text or "") <= PIECE_CHARS else None
+    read = lambda: iter(one) if one is not None else word_pieces(text)
+    n = sum(map(len, read()))
+    if not spans:
+        return n, read()
+    stay = ~_covered(n, ((s["at"], s["mask"]) for s in spans))
+
+    def pieces():
+        at = 0
+        for words in read():
+            yield list(compress(words, stay[at:at + len(words)].tolist()))
+            at += len(words)
+    return n, pieces()
 
 
 def _with_spans(docs: DataFrame, hot: int) -> DataFrame:
@@ -300,13 +376,12 @@ def substring_dedup(docs: DataFrame, hot: int = HOT) -> DataFrame:
         for b in batches:
             out = [[], [], [], []]
             for doc_id, text, spans in zip(*[c.to_pylist() for c in b.columns]):
-                words = (text or "").encode("utf-8").split()
-                if spans:
-                    gone = _covered(len(words), [(s["at"], s["mask"]) for s in spans])
-                    kept = [w for w, g in zip(words, gone.tolist()) if not g]
-                else:
-                    kept = words
-                for o, v in zip(out, (doc_id, len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest())):
+                n, kept = kept_words(text, spans)
+                digest, left = hashlib.sha256(), 0
+                for words in filter(None, kept):
+                    digest.update((b" " if left else b"") + b" ".join(words))
+                    left += len(words)
+                for o, v in zip(out, (doc_id, n, n - left, digest.hexdigest())):
                     o.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string()))],
                                              names=["doc_id", "n_words", "n_removed", "kept_sha256"])
@@ -330,10 +405,8 @@ def dedup_texts(docs: DataFrame, hot: int = HOT) -> DataFrame:
                 if not spans:
                     texts.append(text)
                     continue
-                words = text.encode("utf-8").split()
-                gone = _covered(len(words), [(s["at"], s["mask"]) for s in spans])
-                kept = [w for w, g in zip(words, gone.tolist()) if not g]
-                texts.append(b" ".join(kept).decode("utf-8"))
+                kept = filter(None, kept_words(text, spans)[1])
+                texts.append(b" ".join(b" ".join(words) for words in kept).decode("utf-8"))
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *b.columns[2:]], names=["text", *b.schema.names[2:]])
 
     rest = [c for c in docs.columns if c != "text"]
