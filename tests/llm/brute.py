@@ -32,14 +32,19 @@ def _signed(x):
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _hash(*values):
-    """Spark's xxhash64 of words (UTF-8) or longs (8 bytes), each seeding the next."""
+def chained(parts):
+    """Spark's xxhash64 of values given as bytes, each seeding the next."""
     h = 42
-    for v in values:
-        h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q", v), seed=h)
+    for v in parts:
+        h = xxhash.xxh64_intdigest(v, seed=h)
     return _signed(h)
 
 
+def _hash(*values):
+    """Spark's xxhash64 of words (UTF-8) or longs (8 bytes)."""
+    return chained([v.encode() if isinstance(v, str) else struct.pack("<q", v) for v in values])
+
+
 def grams(text, buckets):
     one = [_hash(x) for x in spaced(text)]
     return [x % buckets for x in one + [_hash(a, b) for a, b in zip(one, one[1:])]]

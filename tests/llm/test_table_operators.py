@@ -1,12 +1,16 @@
 import hashlib
 import random
 import re
+import struct
 import textwrap
+import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from agrolens.llm import chat, licence, sharding, warc
 from tests.conftest import SF_SMALL
+from tests.llm import brute
 
 CONV = "conv_id long, turn long, role string, text string"
 
@@ -93,6 +97,48 @@ def test_fisher_yates_is_uniform():
     assert len(seen) == 6 and all(850 < n < 1150 for n in seen.values())
 
 
+def test_places_equal_the_plain_version(spark, make_docs):
+    rows = [(i % 40, f"text {i % 23}") for i in range(900)] + [(5, "again"), (5, "again")]
+    got = sharding.place(make_docs(rows), shards=7, seed=3, bucket_bytes=100_000).collect()
+    buckets = {}
+    for i, t in rows:
+        key = brute.chained([struct.pack("<i", 3), struct.pack("<q", i), struct.pack("<q", zlib.crc32(t.encode())),
+                             struct.pack("<q", len(t) + 8)])
+        buckets.setdefault(key % sharding.MIN_BUCKETS, []).append((key, i, zlib.crc32(t.encode())))
+    want, at = [], 0
+    for b in sorted(buckets):
+        order = sorted(buckets[b])
+        for k in sharding.fisher_yates(len(order), [3, b]):
+            want.append((order[k][1], order[k][2], at % 7, at // 7))
+            at += 1
+    assert sorted((r.doc_id, r["__crc"], r.shard, r.slot) for r in got) == sorted(want)
+
+
+def test_equal_rows_are_spread_over_buckets(spark, make_docs):
+    rows = [(i, f"t{i}") for i in range(2000)] + [(None, "the very same text")] * 3000
+    parts = [make_docs(rows).repartition(6), make_docs(rows[::-1]).coalesce(1)]
+    found = []
+    for docs in parts:
+        keyed = sharding._sized(docs).withColumn("__key", F.xxhash64("doc_id", "__crc", "__size"))
+        spread = sharding._spread_copies(keyed, 4000).where("doc_id is null").collect()
+        assert sorted(r["__copy"] for r in spread) == list(range(3000))
+        got = sharding.place(docs, bucket_bytes=4000).collect()
+        found.append(sorted((r.doc_id or -1, r.text, r.shard, r.slot) for r in got))
+    assert found[0] == found[1] and len(found[0]) == 5000
+    assert sorted((s, at) for _, _, s, at in found[0]) == sorted((i % 24, i // 24) for i in range(5000))
+    copies = [at * 24 + s for i, _, s, at in found[0] if i < 0]
+    assert 2300 < sum(copies) / len(copies) < 2700  # all over the order, not one run
+
+
+def test_write_shards_keeps_columns_of_its_own_names(spark, make_docs, tmp_path):
+    names = ["key", "bucket", "shard", "slot", "row"]
+    docs = make_docs([(i, f"t{i}") for i in range(50)]).select("*", *[F.lit(n).alias(n) for n in names])
+    sharding.write_shards(docs, str(tmp_path / "out"), shards=4)
+    back = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert all(r[n] == n for r in back for n in names) and len(back) == 50
+    assert sorted((r["__shard"], r["__slot"]) for r in back) == sorted((i % 4, i // 4) for i in range(50))
+
+
 def test_write_shards(spark, make_docs, tmp_path):
     sharding.write_shards(make_docs([(i, f"t{i}") for i in range(50)]), str(tmp_path / "out"), shards=4)
     back = spark.read.parquet(str(tmp_path / "out"))

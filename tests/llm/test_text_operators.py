@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -84,6 +85,50 @@ def test_language_edge_rows(spark, make_docs):
     assert langid.language_id(make_docs([])).count() == 0
 
 
+def test_language_sample_keeps_every_language_beside_a_hot_id(spark, make_docs):
+    words = {"en": "the cat is here", "fr": "le chat est ici", "de": "die katze ist hier"}
+    rows = [(0, f"hot {words['en']} {i}", "en") for i in range(3000)] + [(3, "all the same text", "fr")] * 3000
+    rows += [(10 + i, f"{w} {k}", k) for i in range(60) for k, w in words.items()]
+    langs, bits = langid.training_rows(make_docs(rows), per_lang=30)
+    assert {k: langs.count(k) for k in words} == {"en": 30, "fr": 30, "de": 30} and len(bits) == 90
+    assert langs == langid.training_rows(make_docs(rows[::-1]).repartition(7), per_lang=30)[0]
+    few = langid.training_rows(make_docs(rows), per_lang=1000)[0]
+    assert few.count("fr") <= 61 and few.count("en") == 1000  # equal rows count once
+
+
+def test_language_model_equals_plain_kernel_ridge(monkeypatch):
+    monkeypatch.setattr(langid, "LANDMARKS_PER_LANG", 10_000)  # every training row a landmark: the plain kernel machine
+    rnd = random.Random(8)
+    letters = {"aa": "abcde ", "bb": "cdefgh ", "cc": "fghijk "}
+    text = lambda k: "".join(rnd.choice(letters[k]) for _ in range(60))
+    train = sorted((k, text(k)) for k in letters for _ in range({"aa": 12, "bb": 20, "cc": 7}[k]))
+    tests = [text(k) for k in letters for _ in range(10)]
+
+    def grams(t):
+        row = np.zeros(langid.DIM, dtype=np.uint8)
+        langid.ngram_bits(t, row)
+        return row, set(np.flatnonzero(row).tolist())
+    kernel = lambda a, b: len(a & b) / (len(a) * len(b)) ** 0.5
+    sets = [grams(t)[1] for _, t in train]
+    k = np.array([[kernel(a, b) for b in sets] for a in sets])
+    n, classes = len(train), sorted(letters)
+    weight = np.array([n / (len(classes) * sum(x == lang for x, _ in train)) for lang, _ in train])
+    system = np.zeros((n + 1, n + 1))  # weighted least squares with a ridge and a free bias
+    system[:n, :n] = weight[:, None] * k + langid.RIDGE * n * np.eye(n)
+    system[:n, n] = weight
+    system[n, :n], system[n, n] = weight @ k, weight.sum()
+    want = []
+    for c in classes:
+        y = np.array([1.0 if lang == c else -1.0 for lang, _ in train])
+        solved = np.linalg.solve(system, np.append(weight * y, weight @ y))
+        want.append([sum(a * kernel(grams(t)[1], s) for a, s in zip(solved, sets)) + solved[n] for t in tests])
+    want = np.array(want)
+    model = langid.fit([lang for lang, _ in train], np.array([grams(t)[0] for _, t in train]))
+    langs, scores = langid._score(model, tests)
+    assert langs == [classes[i] for i in want.argmax(axis=0)]
+    assert np.allclose(scores, np.clip((want.max(axis=0) + 1) / 2, 0, 1), atol=1e-4)
+
+
 def test_ngram_bits_do_not_depend_on_blocks(monkeypatch):
     text = "".join(random.Random(1).choice("aé b.ß ") for _ in range(5000))
     a, b = np.zeros(langid.DIM, np.uint8), np.zeros(langid.DIM, np.uint8)
@@ -149,17 +194,17 @@ def test_dense_fingerprints_take_both_exact_ways(spark, bucket):
 def test_near_dedup_keeps_one_of_each_group(spark, make_docs):
     rows = [(5, "a b c d e f"), (2, "A b  c d E f"), (9, "other words in this text"), (9, "other words in this text"), (None, "a b c d e f")]
     got = simhash.drop_near_copies(make_docs(rows)).collect()
-    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == [(False, 2), (False, 9), (True, 0)]
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == [(False, 2), (False, 9)]
     assert simhash.drop_near_copies(make_docs([])).count() == 0
 
 
 def test_near_dedup_tells_rows_apart_by_id_and_text(spark, make_docs):
     kept = lambda rows: sorted(((r.doc_id, r.text) for r in simhash.drop_near_copies(make_docs(rows)).collect()), key=str)
     one, two, three = "a b c d e f", "other words in this text", "something else again is here"
-    # a: copies without a doc_id go, those of a document with an id too but for one of them
+    # a: copies without a doc_id go but for one, next to a document with an id all of them
     assert kept([(None, one)] * 40 + [(None, "A b C d e f")] * 9 + [(None, two)]) in (
         [(None, "A b C d e f"), (None, two)], [(None, one), (None, two)])
-    assert len(kept([(5, one)] + [(None, one)] * 30 + [(None, two)] * 3)) == 3
+    assert kept([(5, one)] + [(None, one)] * 30 + [(None, two)] * 3) == [(5, one), (None, two)]
     # b: unrelated texts under one doc_id both stay
     assert kept([(1, one), (1, two), (1, two), (4, three)]) == [(1, one), (1, two), (4, three)]
     # c: the row of a repeated doc_id that copies a kept document goes, the other one stays
@@ -303,6 +348,54 @@ def test_substring_dedup_equals_brute_force(spark, make_docs, hot):
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
 
 
+def test_substring_dedup_of_texts_in_many_blocks(spark, make_docs):
+    rnd = random.Random(10)
+    shared = [f"s{i}" for i in range(90)]
+    texts = []
+    for at in (10, 5000, 60_000, 119_900):
+        w = [f"{rnd.randrange(10**9)}" for _ in range(120_000)]
+        w[at:at] = shared
+        texts.append(" ".join(w))
+    texts += ["L" * 9000 + " " + " ".join(shared[:40]) + " " + "M" * 5000, " ".join(["L" * 9000] * 36)]
+    got = substring.substring_dedup(make_docs(list(enumerate(texts)))).collect()
+    want = brute.removed(texts)
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [(i, len(g), sum(g)) for i, g in enumerate(want)]
+    for r in got:
+        kept = " ".join(w for w, g in zip(texts[r.doc_id].split(), want[r.doc_id]) if not g)
+        assert r.kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def test_blocks_and_pieces_do_not_change_the_windows(monkeypatch):
+    rnd = random.Random(3)
+    text = "".join(rnd.choice("ab cé \n\tx ") for _ in range(6000))
+    join = lambda parts, k: np.concatenate([p[k] for p in parts])
+    whole = list(substring.minimisers(text, True))
+    assert len(whole) == 1
+    for piece, block in [(1, 10), (7, 300), (50, 2000), (1000, 1)]:
+        monkeypatch.setattr(substring, "PIECE_CHARS", piece)
+        monkeypatch.setattr(substring, "BLOCK_BYTES", block)
+        assert [w for p in substring.word_pieces(text) for w in p] == text.encode().split()
+        parts = list(substring.minimisers(text, True))
+        assert len(parts) > 1 and all(p[0] == sum(len(q[1]) for q in parts[:i]) for i, p in enumerate(parts))
+        assert all(np.array_equal(join(parts, k), whole[0][k]) for k in (1, 2, 3))
+        n, kept = substring.kept_words(text, [{"at": 3, "mask": 5}])
+        stay = [w for i, w in enumerate(text.encode().split()) if not 3 <= i < 3 + 2 + substring.WINDOW]
+        assert n == len(text.split()) and [w for p in kept for w in p] == stay
+
+
+def test_memory_of_a_very_long_text_is_bounded():
+    text = " ".join(f"{i * 7919 % 1000003}-some-words" for i in range(1_700_000))
+    assert len(text) > 30_000_000
+    tracemalloc.start()
+    n = sum(len(m[1]) for m in substring.minimisers(text, True))
+    words, kept = substring.kept_words(text, [{"at": 3, "mask": 1}])
+    left = sum(map(len, kept))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == words - substring.WINDOW + 1 and left == words - substring.WINDOW
+    assert peak < 100 << 20
+
+
 def test_hot_windows_are_salted_and_found(spark, make_docs):
     line = " ".join(f"c{i}" for i in range(50))
     texts = [f"a{i} b{i} {line} d{i}" for i in range(150)]
