@@ -32,7 +32,7 @@ SHARDS = 24
 SEED = 20_240_607
 BUCKET_BYTES = 16 << 20  # UTF-8 bytes of text in a bucket, so that one fits a worker's memory
 MIN_BUCKETS = 240        # so that a small table still spreads over many tasks
-TASK_BUCKETS = 4         # buckets that one task shuffles, one after the other (on average)
+TASK_BUCKETS = 4         # buckets that one task shuffles, one after the other
 HOT_PART = 8             # records of one hash are spread if together they exceed a bucket / HOT_PART
 FILE_BYTES = 128 << 20   # text in a written file
 
@@ -93,18 +93,21 @@ def place(df: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: i
     key = F.xxhash64(F.lit(seed), "doc_id", "__crc", "__size")
     keyed = _spread_copies(_sized(df).withColumn("__key", key), bucket_bytes)
     drawn = F.when(F.col("__copy") == 0, F.col("__key")).otherwise(F.xxhash64("__key", "__copy"))
+    tasks = max(min(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets), -(-buckets // TASK_BUCKETS))
     scattered = (keyed.withColumn("__key", drawn).drop("__copy")
-                 .withColumn("__bucket", F.pmod("__key", F.lit(buckets)).cast("int")))
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-buckets // TASK_BUCKETS))
+                 .withColumn("__bucket", F.pmod("__key", F.lit(buckets)).cast("int"))
+                 .withColumn("__task", F.pmod("__bucket", F.lit(tasks)).cast("int")))
     schema = T.StructType(scattered.schema.fields + [T.StructField("__at", T.LongType())])
 
-    def shuffle(bucket, rows):
+    def shuffle(place, rows):
         order = rows.select(["__key", "doc_id", "__crc"]).add_column(0, "i", pa.array(np.arange(len(rows))))
         order = order.sort_by([(c, "ascending") for c in ("__key", "doc_id", "__crc", "i")])
-        mixed = order.column("i").to_numpy()[fisher_yates(len(rows), [seed, bucket[0].as_py()])]
+        mixed = order.column("i").to_numpy()[fisher_yates(len(rows), [seed, place[1].as_py()])]
         return rows.take(pa.array(mixed)).append_column("__at", pa.array(np.arange(len(rows))))
 
-    written = write_scratch(scattered.repartition(tasks, "__bucket").groupBy("__bucket").applyInArrow(shuffle, schema), "shuffled")
+    # Buckets are dealt to tasks by number, not by hash, so that each task has as many.
+    dealt = scattered.repartitionById(tasks, F.col("__task"))
+    written = write_scratch(dealt.groupBy("__task", "__bucket").applyInArrow(shuffle, schema), "shuffled")
     # One row per bucket: BUCKET_BYTES of input each, so a million buckets are 16 TB.
     counts = written.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = F.sum("__n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
@@ -113,7 +116,7 @@ def place(df: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: i
     return (written.join(offsets, F.col("__bucket") == F.col("__b"))
             .withColumn(shard, F.pmod(at, F.lit(shards)).cast("int"))
             .withColumn(slot, ((at - F.pmod(at, F.lit(shards))) / shards).cast("long"))
-            .drop("__key", "__bucket", "__at", "__b", "__offset"))
+            .drop("__key", "__bucket", "__task", "__at", "__b", "__offset"))
 
 
 def shard_rows(df: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
