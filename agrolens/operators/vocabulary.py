@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agrolens.functions.clean import with_row_index
+from agrolens.session import BROADCAST_ROWS
 
 
 def _levels(df: DataFrame, cols, *keep) -> DataFrame:
@@ -29,9 +30,9 @@ def fit_vocabulary(df: DataFrame, cols, drop_first: bool = True, null_level: boo
     if not null_level:
         found = found.where(F.col("level").isNotNull())
     if drop_first:
-        first = found.groupBy(F.col("column").alias("_c")).agg(F.min("level").alias("_first"))
-        found = (found.join(first, F.col("column") == F.col("_c"))
-                 .where(F.col("level").isNull() | (F.col("level") > F.col("_first"))).drop("_c", "_first"))
+        first = df.agg(F.array(*[F.min(F.col(c).cast("string")) for c in cols]).alias("_first"))  # one row
+        found = (found.crossJoin(F.broadcast(first))
+                 .where(F.col("level").isNull() | (F.col("level") > F.element_at("_first", F.col("column") + 1))).drop("_first"))
     ordered = found.orderBy("column", F.col("level").asc_nulls_last())
     names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("column") + 1)
     return with_row_index(ordered, "index", start=0).select("column", names.alias("name"), "level", "index")
@@ -54,11 +55,28 @@ def _same(a: Column, b: Column) -> Column:
 
 
 def one_hot(df: DataFrame, vocabulary: DataFrame, cols, key: str, out: str = "onehot") -> DataFrame:
-    """``df`` plus the sorted indexes of its entries (at most one a column; an empty list if there are none). ``key``: unique."""
-    lists = (one_hot_pairs(df, vocabulary, cols, key).groupBy(F.col(key).alias("_k"))
-             .agg(F.sort_array(F.collect_list("index")).alias(out)))  # at most len(cols) a row
-    return (df.join(lists, F.col(key) == F.col("_k"), "left").drop("_k")
-            .withColumn(out, F.coalesce(out, F.array().cast("array<bigint>"))))
+    """``df`` plus the sorted indexes of its entries (at most one a column; an empty list if there are none). ``key``: unique.
+
+    Every column's levels are joined to the rows, the smallest vocabulary first, so a level's text is not shuffled once it has
+    become a number: columns of few levels take no shuffle, the others one each. Should a key repeat after all, its rows
+    all get the entries of them all, and a row without a key gets none.
+    """
+    sizes = {r["column"]: r["count"] for r in vocabulary.groupBy("column").count().collect()}  # a row a column
+    coded = df.select("*", *[F.col(c).cast("string").alias(f"_l{i}") for i, c in enumerate(cols)])
+    for i in sorted(range(len(cols)), key=lambda i: sizes.get(i, 0)):
+        v = vocabulary.where(F.col("column") == i).select(F.col("level").alias("_l"), F.col("index").alias(f"_x{i}"))
+        if sizes.get(i, 0) <= BROADCAST_ROWS:
+            v = F.broadcast(v)
+        coded = coded.join(v, _same(F.col(f"_l{i}"), F.col("_l")), "left").drop(f"_l{i}", "_l")
+    none = F.array().cast("array<bigint>")
+    entries = F.array_sort(F.array_compact(F.array(*[F.col(f"_x{i}") for i in range(len(cols))])))
+    coded = coded.select(*df.columns, F.when(F.col(key).isNotNull(), entries).otherwise(none).alias(out))
+    hashes = df.where(F.col(key).isNotNull()).groupBy(F.xxhash64(key).alias("_h")).agg(F.count(F.lit(1)).alias("_n"))
+    if hashes.where(F.col("_n") > 1).isEmpty():
+        return coded
+    lists = coded.groupBy(F.col(key).alias("_k")).agg(F.array_sort(F.flatten(F.collect_list(out))).alias("_all"))
+    return (coded.join(lists, F.col(key) == F.col("_k"), "left")
+            .select(*df.columns, F.when(F.col(key).isNotNull(), F.col("_all")).otherwise(none).alias(out)))
 
 
 def unknown_levels(df: DataFrame, known: DataFrame, cols) -> DataFrame:
