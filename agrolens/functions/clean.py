@@ -199,13 +199,13 @@ def with_row_index(df: DataFrame, out: str = "record_id", start: int = 1) -> Dat
     from agrolens.session import scratch_path
     spark = df.sparkSession
     path = scratch_path(spark, f"row-index-{uuid.uuid4().hex[:12]}")
-    df.withColumn("_mid", F.monotonically_increasing_id()).write.parquet(path)
+    df.withColumn("_mid", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
     d = spark.read.parquet(path).withColumn("_pid", F.shiftright("_mid", 33))
     counts = d.groupBy(F.col("_pid").alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_p", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     at = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return (d.join(offsets, F.col("_pid") == F.col("_p"))
+    return (d.join(F.broadcast(offsets), F.col("_pid") == F.col("_p"))  # one row a partition
              .withColumn(out, (F.col("_off") + at + start).cast("bigint"))
              .select(*df.columns, out))
 

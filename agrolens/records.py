@@ -11,8 +11,8 @@ Mapping (column of the register <- driver column):
 
 All joins are left joins from lineitem, so every lineitem row is one record.
 Orders and customer are joined first (orders is a quarter of lineitem), so the
-wide lineitem side is shuffled once per remaining big dimension; nation is a
-fixed 25-row table and is broadcast.
+lineitem side is shuffled once per remaining big dimension, narrow ones first; nation
+is a fixed 25-row table and is broadcast.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agrolens.session import scratch_path
+
 # Fixed value: status code of the driver's orders that plays "awaiting settlement".
 DRIVER_PENDING_STATUS = "P"
 # Fixed value: the region left out of the city lookup, so the fallback path is exercised.
@@ -46,22 +48,27 @@ def record_key_expr(prefix: str = "") -> F.Column:
 
 _MATERIALIZED: dict = {}
 
+RECORD_COLUMNS = ("record_key", "county", "township", "buyer", "item_category", "manufacturer", "product_name", "model",
+                  "quantity", "dealer", "purchase_date", "unit_price", "unit_subsidy", "total_subsidy", "serial_no", "status")
+
 
-def records(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str, materialize: bool | None = None, columns=None) -> DataFrame:
     """The record view. By default it is joined once per session and input version and
     written as parquet under the shared checkpoint folder (``spark.checkpoint.dir``); later
     calls read that table, so each analysis scans one columnar table with column pruning
     and filter pushdown instead of re-running the six-table join. Set
-    ``agrolens.records.materialize=false`` (or pass materialize=False) for the lazy join."""
+    ``agrolens.records.materialize=false`` (or pass materialize=False) for the lazy join.
+    ``columns``: the columns that the caller needs, in this order; all rows are joined alike, but other columns are
+    neither shuffled nor written. A written view that holds them is read again."""
+    wanted = tuple(columns) if columns is not None else RECORD_COLUMNS
     if materialize is None:
         materialize = spark.conf.get("agrolens.records.materialize", "true").lower() == "true"
     if not materialize:
-        return records_join(spark, sf_dir)
+        return records_join(spark, sf_dir).select(*wanted)
     import hashlib
     import os
     import uuid
 
-    from agrolens.session import scratch_path
     stamp = []
     for name in ("lineitem", "orders", "customer", "nation", "part", "supplier"):
         path = f"{sf_dir}/{name}.parquet"
@@ -71,34 +78,41 @@ def records(spark: SparkSession, sf_dir: str, materialize: bool | None = None) -
         except OSError:  # not a local path: key on the name only
             stamp.append(path)
     key = hashlib.md5("|".join(stamp).encode()).hexdigest()[:16]
-    if key not in _MATERIALIZED:
+    held = _MATERIALIZED.setdefault(key, {})
+    out = next((path for cols, path in held.items() if cols >= set(wanted)), None)
+    if out is None:
         out = scratch_path(spark, f"records-{key}-{uuid.uuid4().hex[:8]}")
         # written straight from the join's hash partitions: no extra shuffle of the full
         # table. AQE's skew-join split bounds the size of any partition a hot key lands in,
         # and the commit protocol keeps only one attempt's files per task (retry-safe).
-        records_join(spark, sf_dir).write.mode("overwrite").parquet(out)
-        _MATERIALIZED[key] = out
-    return spark.read.parquet(_MATERIALIZED[key])
+        records_join(spark, sf_dir).select(*wanted).write.mode("overwrite").option("compression", "zstd").parquet(out)
+        held[frozenset(wanted)] = out
+    return spark.read.parquet(out).select(*wanted)
 
 
 def records_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lazy six-table join behind the record view."""
-    li = table(spark, sf_dir, "lineitem")
+    """The lazy six-table join behind the record view.
+
+    The record key is computed before the joins and travels as 16 bytes, so the lineitem columns that only it needs are not
+    shuffled. Suppliers come first, while rows are narrow; the 25 nations come last, so that their names are not shuffled."""
+    li = table(spark, sf_dir, "lineitem").select(
+        F.unhex(record_key_expr()).alias("_key"), "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
 
+    oc = orders.join(cust, orders.o_custkey == cust.c_custkey, "left").drop("o_custkey", "c_custkey")
     # nation has a fixed size (25 rows), so broadcasting it is safe at any scale.
-    ocn = (orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
-                 .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey, "left"))
-    j = (li.join(ocn, li.l_orderkey == ocn.o_orderkey, "left")
-           .join(part, li.l_partkey == part.p_partkey, "left")
-           .join(supp, li.l_suppkey == supp.s_suppkey, "left"))
+    j = (li.join(supp, li.l_suppkey == supp.s_suppkey, "left").drop("l_suppkey", "s_suppkey")
+           .join(oc, li.l_orderkey == oc.o_orderkey, "left").drop("o_orderkey")
+           .join(part, li.l_partkey == part.p_partkey, "left").drop("p_partkey")
+           .join(F.broadcast(nation), F.col("c_nationkey") == nation.n_nationkey, "left"))
     unit_price = F.col("l_extendedprice") / F.col("l_quantity")
     return j.select(
-        record_key_expr().alias("record_key"),
+        F.lower(F.hex("_key")).alias("record_key"),
         F.col("n_name").alias("county"),
         F.col("c_mktsegment").alias("township"),
         F.col("c_name").alias("buyer"),

@@ -20,6 +20,10 @@ _BASE_CONF = {
 }
 
 
+# A table of at most this many narrow rows is sent to all tasks; a larger one is shuffled.
+BROADCAST_ROWS = 500_000
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "agrolens", extra: dict | None = None,
               driver_memory: str | None = None) -> SparkSession:
