@@ -109,3 +109,33 @@ def test_alert_if(spark):
     r = D.alert_if(many, "f").collect()
     assert len(r) == 1 and r[0].n == 11 and "11" in r[0].text
     assert D.alert_if(few, "f").count() == 0
+
+
+def test_forest_walk_equals_plain_walk_and_holds_few_rows_at_a_time():
+    import tracemalloc
+
+    import numpy as np
+    import pandas as pd
+
+    from agrolens.operators import isolation_forest as I
+    rng = np.random.default_rng(3)
+    x = np.c_[rng.normal(size=20_000), rng.integers(0, 4, 20_000).astype(float)]
+    nodes = pd.DataFrame([n for t in range(60) for n in I._grow(t, x[rng.choice(20_000, 64, False)], 1, 6)],
+                         columns=["tree", "node", "feature", "threshold", "left", "right", "size", "depth", "leaf"])
+    x[7, 0] = np.nan
+    tracemalloc.start()
+    (got,) = I._score_batches(iter([pd.DataFrame(x, columns=["a", "b"])]), nodes, ["a", "b"], 64)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8_000_000  # all rows x trees at once take 10 MB for the places alone
+
+    def path(row, t):
+        n = t[t.node == 0].iloc[0]
+        while not n.leaf:
+            n = t[t.node == (n.left if row[int(n.feature)] < n.threshold else n.right)].iloc[0]
+        return n.depth + I._c(n["size"])
+
+    trees = [t for _, t in nodes.groupby("tree")]
+    for i in (0, 7, 4095, 4096, 19_999):
+        want = np.power(2.0, -np.mean([path(x[i], t) for t in trees]) / I._c(64))
+        assert abs(got["iforest_score"][i] - want) < 1e-12
