@@ -106,3 +106,30 @@ def test_ordered_statistics_in_several_orders(spark):
                     s, n = seen.get(r[c], (0.0, 0))
                     assert abs(got[r[0]][f"{name}_enc{o}"] - (s + prior) / (n + 1)) < 1e-9
                     seen[r[c]] = (s + r[3], n + 1)
+
+
+def test_ordered_target_columns_equal_the_single_ones_for_any_slices(spark):
+    from agrolens.operators.features import ordered_target_columns
+    rows = [(f"k{i}", "hot" if i % 3 else f"c{i}", f"d{i % 7}", float(i * i % 101) if i % 11 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "record_key string, a string, b string, y double").repartition(3)
+    want = {}
+    for c in "ab":
+        for r in ordered_target_encoding(df, c, "y", prior=7.0, split_hex=0).collect():
+            want[r.record_key, c] = r[f"{c}_enc"]
+    for slices in (1, 5, 64):
+        got = ordered_target_columns(df, ["a", "b"], "y", "record_key", 7.0, slices)
+        assert got.columns == [*df.columns, "a_enc", "b_enc"]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        found = got.collect()
+        assert len(found) == 400
+        assert all(abs(r[f"{c}_enc"] - want[r.record_key, c]) < 1e-9 for r in found for c in "ab")
+        # one shuffle of the rows, whatever the number of columns; the others are of totals and extra rows
+        assert plan.count("REPARTITION_BY_COL") == 1 and "SortMergeJoin" not in plan
+
+
+def test_orders_of_repeated_keys_and_no_rows(spark):
+    from agrolens.operators.features import ordered_target_orders
+    df = spark.createDataFrame([("k1", "x", 1.0), ("k1", "x", 1.0), ("k2", None, 3.0)], "record_key string, a string, y double")
+    got = {r.record_key: (r.a_enc0, r.a_enc1) for r in ordered_target_orders(df, ["a"], "y", orders=2, prior=2.0).collect()}
+    assert got == {"k1": (2.0, 2.0), "k2": (2.0, 2.0)}
+    assert ordered_target_orders(df.limit(0), ["a"], "y", orders=2).collect() == []
