@@ -118,3 +118,16 @@ def test_plain_fast_path_matches_html_parser():
         plain += parse_first_table(h) is not None
         assert parse_first_table(h) == parse_first_table(h, fast=False), repr(h)
     assert plain > 50
+
+
+def test_a_landed_file_is_read_by_several_tasks(spark, tmp_path):
+    """One file of 24 MB of pages that do not compress, read on four cores."""
+    from pyspark.sql import functions as F
+
+    from agrolens.streaming.page_ingest import land_pages
+    noise = F.concat(*[F.sha2(F.concat(F.col("id"), F.lit(f":{i}")), 512) for i in range(200)])
+    pages = spark.range(0, 1000, 1, 1).select(F.col("id").alias("page_id"), F.lit(None).cast("string").alias("url"), noise.alias("html"))
+    land_pages(pages, str(tmp_path / "pages"))
+    back = spark.read.parquet(str(tmp_path / "pages"))
+    assert back.select(F.spark_partition_id()).distinct().count() > 2
+    assert back.count() == 1000 and back.exceptAll(pages).count() == 0
