@@ -120,6 +120,53 @@ def test_plain_fast_path_matches_html_parser():
     assert plain > 50
 
 
+def test_bare_rows_match_html_parser():
+    """Rows cut by string splits agree with the html.parser state machine, whatever stands around and between them."""
+    import random
+    rnd = random.Random(5)
+    bare = ["<tr><td>1</td><td> a&amp;b </td></tr>", "<tr><td>\t2</td><td>x > 'y' \"z\"</td></tr>\n", "<tr><td>3</td></tr>"]
+    toks = ["<table>", "<table><tr><th>k</th><th>v</th></tr>", "</table>", "<tr></tr>", "<tr>", "<td>", "</td>", "</tr>", "<TR><td>u</td></TR>",
+            "<tr><td>a<b>c</b></td><td>d</td></tr>", "<tr><td>e<td>f</td></tr>", "<tr>g<td>h</td></tr>", "<!--", "-->", "<a b='", "'>",
+            "<title>", "</title>", "<script>", "</script>", "\x00", "text", "<td/>", "<tr><td></td></tr>"]
+    some = 0
+    for _ in range(6000):
+        h = "<table><tr><th>k</th><th>v</th></tr>" * rnd.randint(0, 1) + "".join(
+            rnd.choice(bare if rnd.random() < 0.5 else toks) for _ in range(rnd.randint(1, 14)))
+        t = parse_first_table(h, fast=False)
+        some += t is not None
+        assert parse_first_table(h) == t, repr(h)
+    assert some > 300
+
+
+def test_each_step_of_a_roundtrip_is_compiled(spark):
+    """The JVM leaves methods of over 8,000 bytes uncompiled, as the one of lookup and cleaning was."""
+    import re
+
+    from agrolens.functions.clean import clean_records
+    from agrolens.schema import SOURCE_TO_COLUMN
+    pages = spark.createDataFrame([(1, "<table><tr><th>k</th></tr><tr><td>1</td></tr></table>")], "page_id long, html string")
+    rows = extract_tables(pages)
+    c = clean_records(to_columns(rows, list(SOURCE_TO_COLUMN)).drop("page_id", "row_no"))
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = c._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_batches_of_many_pages_keep_their_rows(spark):
+    """More pages than are built at a time, with short rows, empty rows and pages without a table between."""
+    from agrolens.sources.html_tables import PAGES_PER_BATCH
+    n = 2 * PAGES_PER_BATCH + 3
+    page = "<table><tr><th>k</th><th>v</th></tr><tr><td>{0}</td></tr><tr></tr><tr><td>{0}</td><td>b</td></tr></table>"
+    pages = spark.createDataFrame([(i, page.format(i) if i % 3 else "<p>x</p>") for i in range(n)], "page_id long, html string").coalesce(1)
+    got = sorted((r.page_id, r.row_no, r.k, r.v) for r in to_columns(extract_tables(pages), ["k", "v"]).collect())
+    assert got == [(i, j, str(i), v) for i in range(n) if i % 3 for j, v in ((0, None), (1, "b"))]
+
+
 def test_a_landed_file_is_read_by_several_tasks(spark, tmp_path):
     """One file of 24 MB of pages that do not compress, read on four cores."""
     from pyspark.sql import functions as F
