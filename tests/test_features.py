@@ -133,3 +133,27 @@ def test_orders_of_repeated_keys_and_no_rows(spark):
     got = {r.record_key: (r.a_enc0, r.a_enc1) for r in ordered_target_orders(df, ["a"], "y", orders=2, prior=2.0).collect()}
     assert got == {"k1": (2.0, 2.0), "k2": (2.0, 2.0)}
     assert ordered_target_orders(df.limit(0), ["a"], "y", orders=2).collect() == []
+
+
+def test_slices_are_summed_without_windows_and_exactly(spark):
+    """Before: one window, sorted by level and hash, over all rows for every column."""
+    import math
+
+    import numpy as np
+
+    from agrolens.operators.features import _sums_before, ordered_target_columns
+    df = spark.createDataFrame([(f"k{i}" if i % 5 else None, f"c{i % 3}", 0.1 * i) for i in range(50)], "record_key string, a string, y double")
+    got = ordered_target_columns(df, ["a"], "y", "record_key", 7.0, 1)
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 50 and got.where("a_enc is null").count() == 0
+    assert ordered_target_columns(df, ["a"], "y", "record_key", 7.0, 1, keep=["y"]).columns == ["y", "a_enc"]
+    rng = np.random.default_rng(3)
+    y, codes = rng.random(5000) * 10.0 ** rng.integers(-6, 6, 5000), np.sort(rng.integers(0, 300, 5000))
+    sums = _sums_before(y, codes)
+    for k in range(300):
+        mine = np.flatnonzero(codes == k)
+        for j, i in enumerate(mine):
+            assert sums[i] == pytest.approx(math.fsum(y[mine[:j]]), rel=1e-14, abs=1e-18)
+    y[10] = np.inf
+    spoiled = _sums_before(y, codes)
+    assert np.isfinite(spoiled[codes != codes[10]]).all() and np.isinf(spoiled[11:][codes[11:] == codes[10]]).all()
